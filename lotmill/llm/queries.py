@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .mixing import OP5_SQL, op5_fair_queue_mixing
+from .packing import op3_karmarkar_karp_packing
 from .sharding import op6_hilbert_sharding
+from .simhash import op7_simhash_pigeonring
+from .token_file import op9_bit_packed_tokens
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_karmarkar_karp_packing": op3_karmarkar_karp_packing,
     "op5_fair_queue_mixing": op5_fair_queue_mixing,
     "op6_hilbert_sharding": op6_hilbert_sharding,
+    "op7_simhash_pigeonring": op7_simhash_pigeonring,
+    "op9_bit_packed_tokens": op9_bit_packed_tokens,
 }
 
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op5_fair_queue_mixing": OP5_SQL}
