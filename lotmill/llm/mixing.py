@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stage_table, text_or_empty, without, word_count
 
 OUT = ("size", "source_size", "target", "copies", "taken")
-ROWS_PER_BUCKET = 1 << 15
+ROWS_PER_BUCKET = 1 << 12
 MAX_BROADCAST_SOURCES = 200_000
 
 
