@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,14 @@ def dedup_key(urls: Sequence[Column], fields: Sequence[Column]) -> Column:
 
 
 def first_seen(rows: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
-    """All rows with ``kept``: whether they are the first of their key; the others go to the rejects."""
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy(*order))
-    return rows.withColumn("__key", key).withColumn("kept", nth == 1).drop("__key")
+    """All rows with ``kept``: whether they are the first of their key; the others go to the rejects.
+
+    ``order`` names columns that tell every two rows apart.  The first of a key is a minimum, taken before the shuffle, so
+    that a key of very many rows is no hot task.
+    """
+    place = F.struct(*order)
+    first = rows.groupBy(key.alias("__key")).agg(F.min(place).alias("__first"))
+    return rows.withColumn("__k", key).join(first, F.col("__k") == F.col("__key")).withColumn("kept", place == F.col("__first")).drop("__k", "__key", "__first")
 
 
 def recent(rows: DataFrame, today: Column, days: int, date_col: str = "notice_date") -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import currency, nearest_upcoming, show_date
 from ..params import DEFAULTS, PLATE, SECTIONS, VEHICLES, Params
 
+#: Input numbers that one task orders within a section.
+BLOCK = 1 << 16
+
 
 def location_route(rows: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds ``route``: kept, other_location or unknown_location; every row gets one."""
@@ -49,9 +52,22 @@ def report_sections(rows: DataFrame, today: Column, order: str = "input_seq", pa
         *[F.when(F.col("status") == s, name) for s, name in label.items()],
     ))
     rest = rows.select(F.explode(sections).alias("section"), "closing_date", order)
-    day = F.when(F.col("section") == "closing_soon", F.col("closing_date"))
-    rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("section").orderBy(day, order)))
-    return top.unionByName(rest.select("section", "nth", order))
+    rest = rest.withColumn("day", F.when(F.col("section") == "closing_soon", F.col("closing_date")))
+    return top.unionByName(_numbered(rest, order).select("section", "nth", order))
+
+
+def _numbered(rows: DataFrame, order: str) -> DataFrame:
+    """Number the rows of each section by day and ``order``: blocks of ``order`` are counted first, then their rows.
+
+    A section may hold nearly all rows; no task holds more than a block of it.
+    """
+    rows = rows.withColumn("__block", F.floor(F.col(order) / BLOCK))
+    upto = Window.partitionBy("section").orderBy("day", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("section", "day", "__block").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    inside = Window.partitionBy("section", "day", "__block").orderBy(order)
+    r, b = rows.withColumn("__nth", F.row_number().over(inside)).alias("r"), blocks.alias("b")
+    same = (F.col("r.section") == F.col("b.section")) & F.col("r.day").eqNullSafe(F.col("b.day")) & (F.col("r.__block") == F.col("b.__block"))
+    return r.join(b, same).select("r.section", (F.col("before") + F.col("__nth")).cast("int").alias("nth"), f"r.{order}")
 
 
 def section_counts(sections: DataFrame) -> DataFrame:

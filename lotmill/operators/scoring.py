@@ -9,6 +9,10 @@ from ..functions.text import area_mentions, blank, flags, land_class, mean_known
 from ..params import DEFAULTS, POSSESSION_SCORES, Params
 
 
+#: Ranges of prices within each doubling.
+RANGES = 64
+
+
 def _percentile(less: Column, equal: Column, n: Column) -> Column:
     share = F.when(n > 1, (less + 0.5 * (equal - 1)) / (n - 1)).otherwise(0.5)
     return round1((1 - share) * 100)
@@ -18,34 +22,26 @@ def price_flag(price: Column) -> Column:
     return F.when(price.isNull(), "price.missing").when(price == 0, "price.placeholder_zero").when(price < 0, "price.negative")
 
 
-def price_percentile(rows: DataFrame, batch: str, price: str = "reserve_price") -> DataFrame:
+def price_percentile(rows: DataFrame, batch: str | None = None, price: str = "reserve_price") -> DataFrame:
     """Adds ``price_score``: 100 for the lowest price of the batch, 0 for the highest, ties by average rank.
 
-    Prices that are NULL or not above zero have no score and are nobody's peers.
-    """
-    known = F.col(price) > 0
-    peers = Window.partitionBy(batch, known)
-    less = F.rank().over(peers.orderBy(price)) - 1
-    equal = F.count("*").over(Window.partitionBy(batch, known, price))
-    score = F.when(known, _percentile(less, equal, F.count("*").over(peers)))
-    return rows.withColumns({"price_score": score, "price_flag": price_flag(F.col(price))})
-
-
-def price_percentile_global(rows: DataFrame, price: str = "reserve_price") -> DataFrame:
-    """The same score over all rows as one batch, without one task that holds them.
-
-    Equal prices become one row; the distinct prices are sorted over the cluster, and each sorted partition is told how
-    many rows lie before it.
+    Prices that are NULL or not above zero have no score and are nobody's peers.  Without ``batch`` all rows are one.
+    No task holds a batch: equal prices become one row before they are shuffled, prices fall into ranges that follow from
+    the price alone, and each range is told how many rows lie before it.
     """
-    counts = rows.where(F.col(price) > 0).groupBy(F.col(price).alias("__p")).agg(F.count("*").alias("equal"))
-    span = F.floor(F.log2(F.col("__p")) * 64)  # ranges that follow from the price alone
-    ranges = counts.groupBy(span.alias("__r")).agg(F.sum("equal").alias("n"))
-    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # at most 64 * 63 ranges
-    starts = ranges.select("__r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("n"))
-    inside = Window.partitionBy("__r").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("__r", span).join(F.broadcast(starts), "__r").withColumn("less", F.col("start") + F.coalesce(F.sum("equal").over(inside), F.lit(0)))
-    ranked = ranked.select("__p", _percentile(F.col("less"), F.col("equal"), F.col("n")).alias("price_score"))
-    return rows.join(ranked, rows[price] == F.col("__p"), "left").drop("__p").withColumn("price_flag", price_flag(F.col(price)))
+    group = F.col(batch) if batch else F.lit(0)
+    known = rows.where(F.col(price) > 0)
+    counts = known.groupBy(group.alias("__b"), F.col(price).alias("__p")).agg(F.count("*").alias("equal"))
+    counts = counts.withColumn("__r", F.floor(F.log2("__p") * RANGES))
+    ranges = counts.groupBy("__b", "__r").agg(F.sum("equal").alias("n"))
+    before = Window.partitionBy("__b").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # at most 64 * RANGES rows
+    starts = ranges.select("__b", "__r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy("__b")).alias("n"))
+    inside = Window.partitionBy("__b", "__r").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("before", F.coalesce(F.sum("equal").over(inside), F.lit(0)))
+    ranked = ranked.alias("c").join(starts.alias("s"), F.col("c.__b").eqNullSafe(F.col("s.__b")) & (F.col("c.__r") == F.col("s.__r")))
+    ranked = ranked.select("c.__b", "c.__p", _percentile(F.col("start") + F.col("before"), F.col("equal"), F.col("n")).alias("price_score"))
+    out = rows.join(ranked, group.eqNullSafe(F.col("__b")) & (F.col(price) == F.col("__p")), "left").drop("__b", "__p")
+    return out.withColumn("price_flag", price_flag(F.col(price)))
 
 
 def location_score(rows: DataFrame, params: Params = DEFAULTS) -> DataFrame:

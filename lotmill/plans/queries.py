@@ -48,7 +48,7 @@ def price_percentile(spark, sf_dir):
 
 @query
 def price_percentile_global(spark, sf_dir):
-    return scoring.price_percentile_global(listings(spark, sf_dir)).select("input_seq", "reserve_price", "price_score", "price_flag")
+    return scoring.price_percentile(listings(spark, sf_dir)).select("input_seq", "reserve_price", "price_score", "price_flag")
 
 
 @query

@@ -107,7 +107,7 @@ def test_percentile(spark):
     got = {(r.batch, r.reserve_price): r.price_score for r in scoring.price_percentile(df, "batch").collect()}
     assert got == {(1, 1_000_000): 100.0, (1, 5_000_000): 0.0, (1, 3_000_000): 50.0, (1, None): None, (1, 0): None, (2, 7): 50.0}
     one = df.where("batch = 1")
-    assert sorted(map(str, scoring.price_percentile_global(one).select("price_score", "price_flag").collect())) == sorted(
+    assert sorted(map(str, scoring.price_percentile(one).select("price_score", "price_flag").collect())) == sorted(
         map(str, scoring.price_percentile(one, "batch").select("price_score", "price_flag").collect())
     )
 
