@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -17,12 +18,14 @@ _own_dir: str | None = None
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder of this machine is taken.
+    Only on a local master without the setting (tests) a temporary folder of this machine is taken; a cluster must name one.
     """
     global _own_dir
-    told = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="lotmill-")
     return _own_dir

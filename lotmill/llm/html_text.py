@@ -52,13 +52,14 @@ NEVER_NAMES = frozenset(
 )
 
 
-def _never(tag: str, attributes: str) -> bool:
-    if tag in NEVER:
+def _never(tag: str, attributes: str, never: frozenset[str] = NEVER) -> bool:
+    if tag in never:
         return True
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            if tag not in ("html", "body") and any(w.lower() in NEVER_NAMES for w in _NAME.findall(value)):
+            words = value.split() if tag in HOLDERS else [] if tag in ("html", "body") else _NAME.findall(value)
+            if any(w.lower() in NEVER_NAMES for w in words):  # a holder's own name has to be one of them, not a part of it
                 return True
         elif name == "role" and value.lower() in NEVER_ROLES:
             return True
@@ -78,7 +79,7 @@ def _label(tag: str, attributes: str) -> str:
     return tag
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
+def blocks(page: str, never: frozenset[str] = NEVER) -> list[tuple[tuple[str, ...], bool, str, int]]:
     """Pieces of text in page order: path, whether it runs through an element without article, text, length of links."""
     out: list[tuple[tuple[str, ...], bool, str, int]] = []
     tags: list[str] = []
@@ -139,10 +140,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
         else:
             flush()
             in_link = 0
-            if tag in HOLDERS:
-                while tags and bad[-1] and (len(bad) < 2 or not bad[-2] or tags[-1] in NEVER):
-                    close(len(tags) - 1)
-            elif tag in LISTS:
+            if tag in LISTS:
                 for k in range(len(tags) - 1, -1, -1):
                     if tags[k] in LISTS[tag]:
                         break
@@ -154,7 +152,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
             attributes = m[3]
             tags.append(tag)
             path.append(_label(tag, attributes))
-            bad.append(bool(bad and bad[-1]) or _never(tag, attributes))
+            bad.append(bool(bad and bad[-1]) or _never(tag, attributes, never))
     flush()
     return out
 
@@ -189,6 +187,9 @@ def main_text(page: str) -> str:
     """The article's blocks, joined by line feeds."""
     pieces = blocks(page)
     scores = ratios(pieces)
+    if not any(scores.values()):  # some sites put the whole page into a form
+        pieces = blocks(page, NEVER - {"form"})
+        scores = ratios(pieces)
     if not any(scores.values()):
         return ""
     mass: dict[tuple[str, ...], float] = {}

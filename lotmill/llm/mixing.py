@@ -69,7 +69,7 @@ def mix_sources(
     Adds ``size`` (words), ``source_size``, ``target`` (words, of its source), ``copies`` (0 to ``max_repeats``) and
     ``taken`` (``copies`` times ``size``).  The order within a source is the MD5 of seed, id and text, so reruns agree.
 
-    Defined results: null text has size 0 and is taken where its place in the order is; a null source is a source of
+    Defined results: null text has size 0 and is taken like the documents around it; a null source is a source of
     its own, the last; rows that repeat id and text share one place and are taken together; a source without words has
     target 0; an empty table gives an empty result; input columns named as an output column are replaced.
     """
@@ -100,7 +100,7 @@ def mix_sources(
 
     copies = running.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
     finish = (F.col("epoch") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
-    copies = copies.where("target > 0").withColumn("finish", finish)
+    copies = copies.where("target > 0 AND size > 0").withColumn("finish", finish)  # documents without words change no sum
     steps = max(1, -(-copies.count() // ROWS_PER_BUCKET))
     copies = copies.withColumn("step", F.floor(F.col("finish") * steps))
     total = targets.agg(F.max("total")).first()[0] or 0

@@ -121,7 +121,8 @@ def hilbert_shards(
         points = sorted({int(x) for x in cuts[i] or []})
         at = F.array(*[F.lit(x).cast("long") for x in points]) if points else F.array().cast("array<bigint>")
         value = F.col(f"__d{i}")
-        cells.append(F.size(F.filter(at, _below(value))).alias(f"__c{i}"))
+        place = F.size(F.filter(at, _below(value)))  # few values are spread over all cells, so that their first bits tell them apart
+        cells.append(F.floor(place * (1 << BITS) / (len(points) + 1)).cast("int").alias(f"__c{i}"))
     rows = rows.withColumns({f"__c{i}": c for i, c in enumerate(cells)})
     rows = rows.withColumn("hilbert", hilbert_index([F.col(f"__c{i}") for i in range(len(dims))]))
     order = ["hilbert", "text_crc32", id_col]
