@@ -2,8 +2,8 @@
 
 Pass one hashes every text to two slots of a bit space and keeps the slots that were hit more than once, as bitmaps.
 Pass two tests every row against these bitmaps.  A row of which a slot was hit once has no copy: it passes straight
-through, without any shuffle.  The others, which may be repeated, are shuffled by the SHA-256 of their text and
-settled exactly.  The filter holds ``bits_per_row`` bits a row and never more than ``max_filter_bits`` (64 MB by
+through, without any shuffle (pass one moves slot numbers only, counted before they move).  The others, which may be
+repeated, are shuffled by the SHA-256 of their text and settled exactly.  The filter holds ``bits_per_row`` bits a row and never more than ``max_filter_bits`` (64 MB by
 default, the bound of what is broadcast); beyond that bound it fills up, more rows shuffle, and results stay the same.
 """
 
