@@ -34,7 +34,9 @@ CLOSE = 1e-9
 
 
 def kmeans(points: np.ndarray, count: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
-    """Centroids by Lloyd's rounds from distinct random points."""
+    """Centroids by Lloyd's rounds from distinct random points; one for a half without components."""
+    if not points.shape[1]:
+        return np.zeros((1, 0))
     points = np.unique(points, axis=0)
     rng = np.random.default_rng(seed)
     centroids = points[rng.choice(len(points), min(count, len(points)), replace=False)]

@@ -47,6 +47,8 @@ def test_edges(spark):
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA + ", score string")
     got = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in search(df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 6, round(0.5**0.5, 9)), (0, 2, 50, round(0.5**0.5, 9)), (50, 1, 6, 1.0), (50, 2, 0, round(0.5**0.5, 9))]
+    flat = spark.createDataFrame([(0, [2.0]), (1, [3.0]), (2, [-1.0])], SCHEMA)
+    assert [(r.vec_id, r.score) for r in search(flat).orderBy("rank").collect()] == [(1, 1.0), (2, -1.0)]
     assert search(df.limit(0)).count() == 0 and search(df, df.limit(0)).count() == 0
 
 
