@@ -25,13 +25,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import A_TO_Z, stage_table, text_or_empty
+from .common import A_TO_Z, release_memory, stage_table, text_or_empty
 
 SEGMENTS = 7
 WORDS = 3
 RADIUS = 2
 MAX_KEY = 8192
 TILE = 1024
+#: Rows of id and hash that are broadcast at most: some 20 MB.
+MAX_BROADCAST_ROWS = 500_000
 _LOWER = bytes.maketrans(A_TO_Z.encode(), A_TO_Z.lower().encode())
 
 
@@ -64,6 +66,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
         for batch in batches:
             fp = np.array([fingerprint(t, words) for t in batch["__text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"__id": batch["__id"], "fp": fp, "text_hash": batch["text_hash"]})
+        release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_or_empty(text_col)
@@ -220,7 +223,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = labelled(docs, id_col=id_col, text_col=text_col, **options)
     stays = F.col("__id").eqNullSafe(F.col("keeper.id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
-    gone = found.where(~stays).select("__id", F.col("text_hash").alias("__hash")).distinct()
+    gone = stage_table(found.where(~stays).select("__id", F.col("text_hash").alias("__hash")).distinct(), "gone")
+    if gone.count() <= MAX_BROADCAST_ROWS:  # then texts need not shuffle; beyond, both sides do
+        gone = F.broadcast(gone)
     same = docs[id_col].eqNullSafe(gone["__id"]) & (F.xxhash64(text_or_empty(text_col)) == gone["__hash"])
     return docs.join(gone, same, "left_anti")
 
