@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -44,6 +45,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system; workers live on between tasks, beside the executor's heap."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop columns that clash with output names, whatever their case."""
     taken = {n.lower() for n in names}

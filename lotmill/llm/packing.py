@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import release_memory, text_or_empty
 from .token_cache import encoder, slices
 
 WINDOW = 4096
@@ -133,6 +133,7 @@ def pack_documents(
                     yield pd.DataFrame(rows, columns=names)
         if waiting:
             yield pd.DataFrame(settle(), columns=names)
+        release_memory()
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("__text")).mapInPandas(work, schema)
 

@@ -33,7 +33,7 @@ JOINED = 4000
 class CachedEncoder:
     """Ids of texts as little-endian 32-bit bytes; ``max_words`` bounds the cache."""
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

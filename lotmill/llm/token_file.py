@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_path, stage_table, text_or_empty
+from .common import release_memory, stage_path, stage_table, text_or_empty
 from .token_cache import encoder, slices
 
 MAGIC = b"LMT1"
@@ -195,6 +195,7 @@ def write_token_files(
             return
         out.write(writer.finish())
         out.close()
+        release_memory()
         yield pd.DataFrame({"part": [part], "path": [path], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.ids]})
 
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_or_empty(text_col).alias("__text"))
