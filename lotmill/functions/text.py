@@ -91,14 +91,19 @@ def form_fields(text: Column) -> Column:
     last = F.regexp_instr(text, F.lit(FORM_END))
     end = F.when(last > 0, last).otherwise(F.length(text) + 1)
 
-    def value(mark: Column, k: Column) -> Column:
-        following = F.coalesce(F.try_element_at(marks, k + 2)["start"], F.greatest(end, mark["stop"]))
-        return F.struct(
-            mark["name"].alias("key"),
-            F.trim(F.regexp_replace(F.substring(text, mark["stop"], F.greatest(following - mark["stop"], F.lit(0))), r"\s+", " ")).alias("value"),
-        )
-
-    return F.map_from_entries(F.transform(marks, value))
+    def values(bound: Column) -> Column:
+        def value(mark: Column, k: Column) -> Column:
+            following = F.coalesce(F.try_element_at(bound["marks"], k + 2)["start"], F.greatest(bound["end"], mark["stop"]))
+            return F.struct(
+                mark["name"].alias("key"),
+                F.trim(F.regexp_replace(F.substring(text, mark["stop"], F.greatest(following - mark["stop"], F.lit(0))), r"\s+", " ")).alias("value"),
+            )
+
+        return F.transform(bound["marks"], value)
+
+    # bound to a lambda's variable, so that the patterns run once a text and not once a label
+    once = F.transform(F.array(F.struct(marks.alias("marks"), end.alias("end"))), values)
+    return F.map_from_entries(F.element_at(once, 1))
 
 
 def area_mentions(text: Column) -> Column:
