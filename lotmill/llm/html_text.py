@@ -42,6 +42,12 @@ NEVER = frozenset("nav header footer aside form button select option optgroup me
 HOLDERS = frozenset(["article", "main"])
 LISTS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+#: Elements whose class names and ids count; those of headings, paragraphs and the like are anchors and styles.
+NAMED = frozenset("div section ul ol dl table article main".split())
+#: In has-sidebar, no-ads and the like the name tells of something beside the element.
+BESIDE = frozenset("has with without no".split())
+#: Less than this share of the page's text beside named elements: the names are not to be trusted.
+TRUSTED = 0.1
 #: Words in class names and ids of elements that hold no article.
 NEVER_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted "
@@ -52,14 +58,22 @@ NEVER_NAMES = frozenset(
 )
 
 
-def _never(tag: str, attributes: str, never: frozenset[str] = NEVER) -> bool:
+def _words(tag: str, value: str) -> list[str]:
+    """Words of a class name or id that tell what the element is."""
+    if tag in HOLDERS:  # a holder's own name has to be one of them, not a part of it
+        return value.lower().split()
+    return [w.lower() for name in value.split() if (found := _NAME.findall(name)) and found[0].lower() not in BESIDE for w in found]
+
+
+def _never(tag: str, attributes: str, never: frozenset[str] = NEVER, names: bool = True) -> bool:
     if tag in never:
         return True
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            words = value.split() if tag in HOLDERS else [] if tag in ("html", "body") else _NAME.findall(value)
-            if any(w.lower() in NEVER_NAMES for w in words):  # a holder's own name has to be one of them, not a part of it
+            if not names or tag not in NAMED or (tag, name) == ("section", "id"):  # a section's id is its anchor
+                continue
+            if any(w in NEVER_NAMES for w in _words(tag, value)):
                 return True
         elif name == "role" and value.lower() in NEVER_ROLES:
             return True
@@ -79,7 +93,7 @@ def _label(tag: str, attributes: str) -> str:
     return tag
 
 
-def blocks(page: str, never: frozenset[str] = NEVER) -> list[tuple[tuple[str, ...], bool, str, int]]:
+def blocks(page: str, never: frozenset[str] = NEVER, names: bool = True) -> list[tuple[tuple[str, ...], bool, str, int]]:
     """Pieces of text in page order: path, whether it runs through an element without article, text, length of links."""
     out: list[tuple[tuple[str, ...], bool, str, int]] = []
     tags: list[str] = []
@@ -152,7 +166,7 @@ def blocks(page: str, never: frozenset[str] = NEVER) -> list[tuple[tuple[str, ..
             attributes = m[3]
             tags.append(tag)
             path.append(_label(tag, attributes))
-            bad.append(bool(bad and bad[-1]) or _never(tag, attributes, never))
+            bad.append(bool(bad and bad[-1]) or _never(tag, attributes, never, names))
     flush()
     return out
 
@@ -185,11 +199,19 @@ def ratios(pieces: list[tuple[tuple[str, ...], bool, str, int]], width: float =
 
 def main_text(page: str) -> str:
     """The article's blocks, joined by line feeds."""
-    pieces = blocks(page)
+    pieces, names = blocks(page), True
+    clean = sum(len(text) for _, never, text, _ in pieces if not never)
+    if any(never for _, never, _, _ in pieces):  # some sites name the wrapper of the whole page so
+        unnamed = blocks(page, names=False)
+        if clean < TRUSTED * sum(len(text) for _, never, text, _ in unnamed if not never):
+            pieces, names = unnamed, False
     scores = ratios(pieces)
     if not any(scores.values()):  # some sites put the whole page into a form
-        pieces = blocks(page, NEVER - {"form"})
+        pieces = blocks(page, NEVER - {"form"}, names)
         scores = ratios(pieces)
+        if not any(scores.values()):
+            pieces = blocks(page, NEVER - {"form"}, False)
+            scores = ratios(pieces)
     if not any(scores.values()):
         return ""
     mass: dict[tuple[str, ...], float] = {}
