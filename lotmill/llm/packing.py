@@ -4,30 +4,33 @@ A document longer than the window fills whole windows; what is left over is pack
 left-overs is dealt into the least number of windows that can hold it: every left-over starts as a partition with one
 loaded window, and the two partitions of largest imbalance are merged again and again, the heavy windows of one with
 the light windows of the other, until one partition is left.  If its heaviest window exceeds the capacity, the number
-of windows rises by one and the block is dealt anew.  Blocks are filled and packed while a task reads its partition,
-so nothing is shuffled and a task holds one block at a time.
+of windows rises by one and the block is dealt anew.  Short left-overs are bundled in the order they come until a bundle
+is worth differencing, so that a block of short texts fills as many windows as any other.  Blocks are filled and packed
+while a task reads its partition, so nothing is shuffled and a task holds one block at a time.
 """
 
 from __future__ import annotations
 
 import heapq
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import release_memory, text_or_empty
-from .token_cache import encoder, slices
+from .token_cache import MAX_WORDS, encoder, slices
 
 WINDOW = 4096
-BLOCK = 512
+#: Windows that a block of left-overs is worth.
+BLOCK = 64
 #: Pieces of a left-over are at most this long, so that the windows of a block come out near equal.
 LARGEST_PIECE = 1024
+#: A bundle of left-overs is closed at a length between a quarter of this and this, another for each, as equal bundles would not fill a window.
+BUNDLE = 256
 
 
 def karmarkar_karp(sizes: list[int], windows: int) -> list[list[int]]:
@@ -72,70 +75,97 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """Cut documents into pieces and give each piece its place in a sequence of at most ``window`` ids.
 
     Returns, for each piece: the id, ``start`` (ids of the document before it), ``length``, ``ids_crc32`` (of its ids
     as little-endian 32-bit), ``doc_tokens`` (with the end id), ``sequence_id``, ``offset`` (in the sequence, gapless
-    from 0), and ``ids`` with ``with_ids``.  Sequence ids are unique, not gapless: task number and a count.
+    from 0), and ``ids`` with ``with_ids``.  Sequence ids are unique, not gapless: task number and a count.  Left-overs
+    worth ``block`` windows are packed at a time, and ``max_words`` bounds the words that a Python worker remembers.
 
-    Defined results: a null or empty text is one piece that holds the end id alone; a null id stays null; repeated
-    rows are packed each for itself; an empty table gives an empty result; other columns are left out.
+    Defined results: a null or empty text is one piece that holds the end id alone; a null id stays null and others stay
+    exact, whatever their type; repeated rows are packed each for itself; added tokens of the tokenizer in a text are
+    those tokens, as the tokenizer has it; an empty table gives an empty result; other columns are left out.
     """
     schema = (
         f"{id_col} {docs.schema[id_col].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long" + (", ids array<int>" if with_ids else "")
     )
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], "<u4")
+    largest, least = min(LARGEST_PIECE, window), min(BUNDLE, window // 4)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path).encode
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer_path, max_words).encode
         context = TaskContext.get()
         following = (context.partitionId() if context else 0) << 36
-        waiting: list[tuple] = []  # pieces of left-overs: id, start, length, doc_tokens, bytes
-
-        def row(doc, start, total, raw, sequence, offset):
-            piece = [doc, start, len(raw) // 4, zlib.crc32(raw), total, sequence, offset]
-            return [*piece, np.frombuffer(raw, "<u4").astype("int32").tolist()] if with_ids else piece
-
-        def settle() -> list[list]:
+        waiting: list[list[tuple]] = []  # bundles of pieces of left-overs: id, start, doc_tokens, ids
+        sizes: list[int] = []
+        held = 0
+
+        def row(doc, start, total, ids, sequence, offset):
+            piece = (doc, start, len(ids), zlib.crc32(ids.tobytes()), total, sequence, offset)
+            return (*piece, ids.view("<i4")) if with_ids else piece
+
+        def add(piece: tuple) -> None:
+            nonlocal held
+            size = len(piece[3])
+            held += size
+            if sizes and sizes[-1] < least // 4 + len(sizes) * 37 % 64 * least * 3 // 256 and sizes[-1] + size <= window:
+                waiting[-1].append(piece)
+                sizes[-1] += size
+            else:
+                waiting.append([piece])
+                sizes.append(size)
+
+        def settle() -> list[tuple]:
             nonlocal following
             rows = []
-            for members in pack_block([len(w[3]) // 4 for w in waiting], window):
+            for members in pack_block(sizes, window):
                 offset = 0
                 for k in members:
-                    doc, start, total, raw = waiting[k]
-                    rows.append(row(doc, start, total, raw, following, offset))
-                    offset += len(raw) // 4
+                    for doc, start, total, ids in waiting[k]:
+                        rows.append(row(doc, start, total, ids, following, offset))
+                        offset += len(ids)
                 following += 1
             waiting.clear()
+            sizes.clear()
             return rows
 
+        def made(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+            kinds = [kind, *[pa.int64()] * 6, *[pa.list_(pa.int32())] * with_ids]
+            return pa.RecordBatch.from_arrays([pa.array(column, k) for column, k in zip(zip(*rows), kinds)], names=names)
+
+        kind = None
         for batch in batches:
-            ids, texts = batch[id_col].tolist() if batch[id_col].notna().all() else [None if pd.isna(x) else x for x in batch[id_col]], batch["__text"].tolist()
+            docs_in, texts = batch.column(0), batch.column(1).to_pylist()
+            kind, keys = docs_in.type, docs_in.to_pylist()
             for a, b in slices(texts):
                 rows = []
-                for doc, raw in zip(ids[a:b], encode(texts[a:b])):
-                    raw += end
-                    total, whole = len(raw) // 4, len(raw) // 4 // window * window
+                for doc, ids in zip(keys[a:b], encode(texts[a:b])):
+                    ids = np.concatenate([ids, end])
+                    total = len(ids)
+                    whole = total // window * window
                     for start in range(0, whole, window):
-                        rows.append(row(doc, start, total, raw[4 * start : 4 * (start + window)], following, 0))
+                        rows.append(row(doc, start, total, ids[start : start + window], following, 0))
                         following += 1
                     rest = total - whole
                     if rest:
-                        parts = -(-rest // LARGEST_PIECE)
+                        parts = -(-rest // largest)
                         marks = [whole + rest * k // parts for k in range(parts + 1)]
-                        waiting += [(doc, x, total, raw[4 * x : 4 * y]) for x, y in zip(marks, marks[1:])]
-                    if len(waiting) >= block:
+                        for x, y in zip(marks, marks[1:]):
+                            add((doc, x, total, ids[x:y]))
+                    if held >= block * window:
                         rows += settle()
+                        held = 0
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield made(rows, kind)
         if waiting:
-            yield pd.DataFrame(settle(), columns=names)
+            yield made(settle(), kind)
         release_memory()
 
-    return docs.select(F.col(id_col), text_or_empty(text_col).alias("__text")).mapInPandas(work, schema)
+    return docs.select(F.col(id_col), text_or_empty(text_col).alias("__text")).mapInArrow(work, schema)
 
 
 def op3_karmarkar_karp_packing(spark, sf_dir):

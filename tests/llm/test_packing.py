@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, tokenizer, window):
@@ -83,11 +81,33 @@ def test_edges(spark, tokenizer):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_encoder_is_the_tokenizer(name):
     rng = random.Random(2)
-    signs = list("abcAB  \n\t.,!'_-09éÉßñ") + ["\x1c", "\xa0", " ", "Σ", "ς", "ﬁ", "é", "İ", "中", "'s", " \n", "  ", "<|endoftext|>", "\x00", "🙂", "½", "Ⅷ", "\r\n"]
+    signs = list("abcAB  \n\t.,!'_-09éÉßñ") + ["\x1c", "\xa0", " ", "Σ", "ς", "ﬁ", "é", "İ", "中", "'s", " \n", "  ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "й", "й", "ǅ", "\x00", "🙂", "½", "Ⅷ", "\r\n"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(4000)] + ["", " ", "a" * 3000 + " b", "\n\na", "a\n"]
     encoder = CachedEncoder(public_tokenizers.path(name), max_words=3000)
     plain = Tokenizer.from_file(public_tokenizers.path(name))
-    plain.encode_special_tokens = True
-    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
-    got = [x for k in range(0, len(texts), 300) for x in encoder.encode(texts[k : k + 300])]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    got = [x.tolist() for k in range(0, len(texts), 300) for x in encoder.encode(texts[k : k + 300])]
     assert got == want and encoder.kind != "plain"
+    assert any(max(x, default=0) == plain.token_to_id("<|endoftext|>") for x in want)
+    assert len(encoder.young) + len(encoder.old) < 2 * 3000  # two generations, rotated between calls
+
+
+def test_words_come_back_from_the_older_generation():
+    encoder = CachedEncoder(PATH, max_words=8)
+    first = encoder.encode(["one two three four five six"])[0].tolist()
+    assert encoder.old and "one" not in encoder.young
+    assert encoder.encode(["one two three four five six"])[0].tolist() == first
+
+
+def test_short_texts_fill_windows(spark, tokenizer):
+    texts = {k: f"word number {k} here" for k in range(30_000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    assert check(pack_documents(df, PATH).collect(), texts, tokenizer, 4096) > 0.97
+
+
+def test_large_ids_beside_null(spark):
+    ids = [None, 9007199254740993, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in pack_documents(df, PATH).collect()} == set(ids)
+    names = spark.createDataFrame([("x", "a"), (None, "b")], "doc_id string, text string")
+    assert {r.doc_id for r in pack_documents(names, PATH).collect()} == {"x", None}

@@ -43,7 +43,6 @@ def test_stages_against_brute_force(spark, sf_dir):
     single = mixed.dropDuplicates(["doc_id"])
     packed = stages["packing"](spark, single, sf_dir).collect()
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     check(packed, dict(rows), tokenizer, 4096)
 
 
