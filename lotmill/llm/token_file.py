@@ -20,13 +20,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import release_memory, stage_path, stage_table, text_or_empty
-from .token_cache import encoder, slices
+from .token_cache import MAX_WORDS, encoder, slices
 
 MAGIC = b"LMT1"
 TRAILER = struct.Struct("<4sIQQIIQQ")
@@ -161,77 +161,88 @@ class TokenFile:
 
 def write_token_files(
     docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    block_ids: int = BLOCK_IDS,
+    block_ids: int = BLOCK_IDS, max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """Write the ids of all documents, in ascending order of the id, to token files in ``out_dir``.
 
     ``out_dir`` is a URI that every executor can write (of any file system that pyarrow knows).  Returns the manifest,
     one row a file: ``part`` (order of the files), ``path``, ``n_docs``, ``n_ids``, ``first_id`` (ids in all files
     before it).  A file's name is its own for each attempt, and only the manifest tells which files count, so a task
-    may run again at any time.
+    may run again at any time.  ``max_words`` bounds the words that a Python worker remembers.
 
     Defined results: a null or empty text is the end id alone; null ids come first; of repeated ids the order is that of
-    a hash of the text; an empty table gives an empty manifest; other columns are left out.
+    a hash of the text; added tokens of the tokenizer in a text are those tokens, as the tokenizer has it; an empty table
+    gives an empty manifest; other columns are left out.
     """
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encoded = encoder(tokenizer_path)
+        encoded = encoder(tokenizer_path, max_words)
         part = TaskContext.get().partitionId()
         files, folder = fs.FileSystem.from_uri(out_dir)
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.lmt"
         end = np.array([end_id], np.uint32)
         writer = out = None
         for batch in batches:
-            ids, texts = batch[id_col].tolist(), batch["__text"].tolist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
                 if writer is None:
                     files.create_dir(folder, recursive=True)
                     out = files.open_output_stream(path)
                     writer = TokenFileWriter(bits_for(encoded.size), block_ids)
-                for doc, raw in zip(ids[a:b], encoded.encode(texts[a:b])):
-                    out.write(writer.add(None if pd.isna(doc) else int(doc), np.concatenate([np.frombuffer(raw, "<u4"), end])))
+                for doc, ids in zip(keys[a:b], encoded.encode(texts[a:b])):
+                    out.write(writer.add(doc, np.concatenate([ids, end])))
         if writer is None:
             return
         out.write(writer.finish())
         out.close()
         release_memory()
-        yield pd.DataFrame({"part": [part], "path": [path], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.ids]})
+        row = {"part": pa.array([part], pa.int32()), "path": [path], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.ids]}
+        yield pa.RecordBatch.from_pydict(row)
 
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_or_empty(text_col).alias("__text"))
     rows = rows.withColumn("__tie", F.xxhash64("__text"))
     rows = rows.repartitionByRange(id_col, "__tie").sortWithinPartitions(id_col, "__tie").drop("__tie")
-    manifest = stage_table(rows.mapInPandas(work, "part int, path string, n_docs long, n_ids long"), "manifest")
+    manifest = stage_table(rows.mapInArrow(work, "part int, path string, n_docs long, n_ids long"), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
 def read_token_files(manifest: DataFrame, uri: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Documents of the files in ``manifest``: id, ``start`` (ids of all documents before it), ``n_tokens``,
-    ``ids_crc32`` (of its ids as little-endian 32-bit), and ``ids`` with ``with_ids``."""
+    ``ids_crc32`` (of its ids as little-endian 32-bit), and ``ids`` with ``with_ids``.
+
+    Defined results: every document that was written comes back once, in no order, null, repeated and large ids as they
+    were and null and empty texts as the end id alone; a document of any length is read whole; an empty manifest gives an
+    empty result; columns of the manifest beside ``path`` and ``first_id`` are left out.
+    """
     schema = f"{id_col} long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     names = [id_col, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * with_ids
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(column, k) for column, k in zip(zip(*rows), kinds)], names=names)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         files, _ = fs.FileSystem.from_uri(uri)
         for batch in batches:
-            for path, first in zip(batch["path"], batch["first_id"]):
+            for path, first in zip(batch.column("path").to_pylist(), batch.column("first_id").to_pylist()):
                 with files.open_input_file(path) as source:
                     found, rows, held = TokenFile(source), [], 0
                     for k, (doc, ids) in enumerate(found.documents()):
-                        row = [doc, int(first) + int(found.firsts[k]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())]
-                        rows.append([*row, ids.astype("int32").tolist()] if with_ids else row)
+                        row = (doc, first + int(found.firsts[k]), len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                        rows.append((*row, ids.astype("int32")) if with_ids else row)
                         held += len(ids) if with_ids else 1
                         if held >= (1 << 20 if with_ids else 1 << 14):
-                            yield pd.DataFrame(rows, columns=names).astype({id_col: "Int64"})
+                            yield made(rows)
                             rows, held = [], 0
                     if rows:
-                        yield pd.DataFrame(rows, columns=names).astype({id_col: "Int64"})
+                        yield made(rows)
 
     files = max(1, manifest.count())
-    return manifest.repartition(files).mapInPandas(work, schema)
+    return manifest.select("path", "first_id").repartition(files).mapInArrow(work, schema)
 
 
 def op9_bit_packed_tokens(spark, sf_dir):

@@ -37,7 +37,6 @@ def test_random_access():
 
 def expected(rows):
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     out, at = [], 0
     for (i, _), e in zip(rows, plain.encode_batch([t or "" for _, t in rows], add_special_tokens=False)):
         ids = np.array(e.ids + [0], "<u4")
@@ -53,7 +52,7 @@ def test_query(spark, sf_dir):
 
 
 def test_edges(spark):
-    rows = [(None, "a"), (1, None), (2, ""), (3, "long " * 100_000), (4, "é <|endoftext|>"), (2**40, "x")]
+    rows = [(None, "a"), (1, None), (2, ""), (3, "long " * 100_000), (4, "é <|endoftext|> x<|endoftext|>"), (9007199254740993, "x"), (2**63 - 1, "y")]
     df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, n_tokens int").repartition(3)
     out = stage_path(spark, "tokens")
     manifest = write_token_files(df, PATH, out, block_ids=1000)
