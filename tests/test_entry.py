@@ -13,13 +13,22 @@ def test_entry_and_names(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_imports_without_the_training_data_folders(tmp_path):
-    shutil.copytree(os.path.join(ROOT, "lotmill"), tmp_path / "lotmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
-    code = "import __spark_entry__ as e; print(sorted(n for n in e.queries() if n.startswith('op') or n == 'pipeline'), len(e.queries()) > 40)"
+def test_all_but_the_training_data_works_without_its_folders(tmp_path):
+    """The whole repository but the two folders, corpus_pipeline.py included: entry(), all names, and every test module."""
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", "__pycache__", ".git", ".pytest_cache"))
+    code = """
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+names = sorted(e.queries())
+print([n for n in names if n[:2] == "op" and n[2:3].isdigit() or n == "pipeline"], len(names) > 40, set(e.oracle_sql()) <= set(names), e.entry(spark).count())
+"""
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    out = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
-    assert out.stdout.strip() == "[] True", out.stderr
+    run = lambda *args: subprocess.run([sys.executable, "-B", *args], cwd=tmp_path / "repo", env=env, capture_output=True, text=True)
+    out = run("-c", code)
+    assert out.stdout.strip() == "[] True True 15", out.stderr
+    listed = run("-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider")
+    assert listed.returncode == 0 and "error" not in listed.stdout.lower(), listed.stdout
 
 
 def spark_mode(df):
