@@ -133,7 +133,11 @@ def mix_sources(
 
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:
-    """One row for each copy that the mix takes."""
+    """One row for each copy that the mix takes.
+
+    Defined results: documents with no copy are left out; null and repeated rows, ties and long texts are copied as they
+    are; an empty table gives an empty result; all columns stay, whatever their names (one named ``__copy`` is dropped).
+    """
     return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("__copy")
 
 

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,16 +63,16 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``fp`` (the fingerprint as a signed long) and ``text_hash`` of every row."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t, words) for t in batch["__text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"__id": batch["__id"], "fp": fp, "text_hash": batch["text_hash"]})
+            fp = np.array([fingerprint(t.as_py(), words) for t in batch.column("__text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"__id": batch.column("__id"), "fp": fp, "text_hash": batch.column("text_hash")})
         release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("text_hash"))
-    return rows.mapInPandas(work, f"__id {kind}, fp long, text_hash long")
+    return rows.mapInArrow(work, f"__id {kind}, fp long, text_hash long")
 
 
 def segments(count: int = SEGMENTS) -> list[tuple[int, int]]:
@@ -91,6 +92,20 @@ def equal_run(radius: int, count: int) -> int:
     return max(length for length in range(count + 1) if length * radius < count)
 
 
+def ring_near(differ: np.ndarray, radius: int, count: int = SEGMENTS) -> np.ndarray:
+    """Where ``differ`` (exclusive or of two fingerprints) has at most ``radius`` bits: first some chain has to keep within
+    its budget at every length, then all bits are counted."""
+    near = np.zeros(differ.shape, bool)
+    bits = [np.bitwise_count(differ & np.uint64(chain_mask(k, 1, count))).astype(np.int64) for k in range(count)]
+    for first in range(count):
+        keeps, sums = np.ones(differ.shape, bool), np.zeros(differ.shape, np.int64)
+        for length in range(1, count):
+            sums = sums + bits[(first + length - 1) % count]
+            keeps &= sums * count <= length * radius
+        near |= keeps
+    return near & (np.bitwise_count(differ) <= radius)
+
+
 def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >= 1 << 63 else mask
 

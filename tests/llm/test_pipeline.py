@@ -1,6 +1,6 @@
 import corpus_pipeline
 from test_packing import PATH, check
-from test_simhash import brute_components, brute_print
+from test_near_dedup import brute_kept
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -32,8 +32,7 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert once.columns == columns and [i for i, _ in rows] == sorted(best.values())
 
     apart = stages["near_dedup"](spark, once, sf_dir)
-    ids = [i for i, _ in rows]
-    want = sorted({ids[k] for k in brute_components(ids, [brute_print(t) for _, t in rows])})
+    want = brute_kept(rows)
     assert apart.columns == columns and sorted(r.doc_id for r in apart.collect()) == want
 
     mixed = stages["mixing"](spark, apart, sf_dir)
@@ -46,5 +45,17 @@ def test_stages_against_brute_force(spark, sf_dir):
     check(packed, dict(rows), tokenizer, 4096)
 
 
+def test_columns_of_users_stay(spark, sf_dir):
+    prose = "It was a mild day, and the people of the town went out. They came back at night, tired and glad."
+    rows = [(k, f"{prose} Then number {k} spoke of {k * 7} other things that no one knew, and went home.", "s") for k in range(40)] + [(100, None, None), (None, "", "s")]
+    names = ["keep", "quality_score", "kept", "keep_id", "taken", "size", "copies", "__text", "target"]
+    df = spark.createDataFrame([(*r, *names) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, df, sf_dir)
+        assert got.columns == df.columns and stage(spark, df.limit(0), sf_dir).count() == 0
+        found = got.collect()
+        assert found and all(r[n] == n for r in found for n in names), name
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).where("length > 0").count() > 100

@@ -68,6 +68,19 @@ def test_chains_lose_nothing():
         )
 
 
+def test_ring_filter_is_the_radius():
+    rng = np.random.default_rng(4)
+    differ = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) & rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    for radius in (2, 8, 16, 24):
+        assert (simhash.ring_near(differ, radius) == (np.bitwise_count(differ) <= radius)).all()
+
+
+def test_large_ids_beside_null(spark):
+    rows = [(None, "a b c d"), (9007199254740993, "x y z w"), (2**63 - 1, "k l m n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.component_id) for r in simhash_components(df).collect()} == {(i, i) for i, _ in rows}
+
+
 def test_long_path_of_links(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (502, 501)], "a long, b long")
     got = {r.node: r.least for r in components(edges).collect()}
