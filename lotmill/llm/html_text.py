@@ -1,12 +1,14 @@
 """Main text of web pages by tag-path ratios.
 
 Every piece of text hangs at the end of a path of tags from the root.  For each path of a page the length of text and
-the number of punctuation marks are summed up and divided by the number of pieces, both are smoothed over neighbouring
-paths, weakened by their share of link text and fused into one score: prose stands at few paths, with long and
-punctuated pieces; menus, notices and adverts stand at paths with many short ones.  Paths through elements that never
-hold an article (menus, forms, scripts and the like, or named so) score nothing.  The best path points to the element
-that holds the article, and the paths inside it are the content; where that is the whole page, a threshold on the score
-decides.
+the number of punctuation marks are divided by the number of pieces and smoothed over neighbouring paths; both, taken by
+their logarithms, and the share of text outside links are fused into one score.  Tags, roles and the words of class names
+and ids weigh: a path through a menu, a form or a box named so has a small part of its score, one through an article
+several times as much.  Nothing of them decides by itself: a wrapper of the whole page weighs on all paths alike.
+
+The path of the greatest score by its text points to the content.  From its element the region grows to the one around as
+long as what that adds scores well enough beside what is there already, and within the region a threshold on the score
+chooses the paths.  Only what a browser does not show as text (scripts, styles, hidden elements) is left out at once.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,7 +40,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var".split()
 )
-NEVER = frozenset("nav header footer aside form button select option optgroup menu dialog head fieldset".split())
+NEVER = frozenset("nav footer aside button select option optgroup menu dialog".split())
+#: These may be around a whole page or an article's heading.
+RARELY = frozenset("header form fieldset".split())
 HOLDERS = frozenset(["article", "main"])
 LISTS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
@@ -46,9 +50,7 @@ NEVER_ROLES = frozenset("navigation banner contentinfo complementary search dial
 NAMED = frozenset("div section ul ol dl table article main".split())
 #: In has-sidebar, no-ads and the like the name tells of something beside the element.
 BESIDE = frozenset("has with without no".split())
-#: Less than this share of the page's text beside named elements: the names are not to be trusted.
-TRUSTED = 0.1
-#: Words in class names and ids of elements that hold no article.
+#: Words in class names and ids of elements that seldom hold an article.
 NEVER_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer header masthead topbar toolbar "
@@ -56,6 +58,17 @@ NEVER_NAMES = frozenset(
     "popup modal overlay dialog newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations pagination pager skip copyright legal hidden form search".split()
 )
+#: What a path's score is multiplied with for an element that seldom holds an article, for the first that mostly does,
+#: and for a header inside that one, which holds its heading.
+SELDOM, MOSTLY, HEADING = 0.03, 4.0, 0.5
+#: Where all that is left stands in elements that seldom hold an article, prose scores at least this without their weight.
+PROSE = 6.0
+#: A path of links only keeps this much of its score.
+LINKS = 0.05
+#: The region grows to the element around it if what that adds scores this much of what is there (by text).
+GROW = 0.3
+#: Paths of the region that have this much of the best score are content.
+CONTENT = 0.08
 
 
 def _words(tag: str, value: str) -> list[str]:
@@ -65,23 +78,23 @@ def _words(tag: str, value: str) -> list[str]:
     return [w.lower() for name in value.split() if (found := _NAME.findall(name)) and found[0].lower() not in BESIDE for w in found]
 
 
-def _never(tag: str, attributes: str, never: frozenset[str] = NEVER, names: bool = True) -> bool:
-    if tag in never:
-        return True
+def _weight(tag: str, attributes: str, held: bool) -> float:
+    """What an element weighs on the scores of the paths through it; 0 if it is hidden.  ``held``: inside a holder."""
+    seldom = tag in NEVER or tag in RARELY
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            if not names or tag not in NAMED or (tag, name) == ("section", "id"):  # a section's id is its anchor
-                continue
-            if any(w in NEVER_NAMES for w in _words(tag, value)):
-                return True
-        elif name == "role" and value.lower() in NEVER_ROLES:
-            return True
+            if tag in NAMED and (tag, name) != ("section", "id"):  # a section's id is its anchor
+                seldom |= any(w in NEVER_NAMES for w in _words(tag, value))
+        elif name == "role":
+            seldom |= value.lower() in NEVER_ROLES
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return 0.0
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return 0.0
+    if seldom:
+        return HEADING if tag == "header" and held else SELDOM
+    return MOSTLY if tag in HOLDERS and not held else 1.0
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -93,12 +106,34 @@ def _label(tag: str, attributes: str) -> str:
     return tag
 
 
-def blocks(page: str, never: frozenset[str] = NEVER, names: bool = True) -> list[tuple[tuple[str, ...], bool, str, int]]:
-    """Pieces of text in page order: path, whether it runs through an element without article, text, length of links."""
-    out: list[tuple[tuple[str, ...], bool, str, int]] = []
+class Paths:
+    """The tag paths of a page, each known by number: parent, label, weight, and whether a holder is on it."""
+
+    def __init__(self) -> None:
+        self.parent, self.label, self.own, self.weight, self.held, self.never = [-1], [""], [1.0], [1.0], [False], [False]
+        self.numbers: dict[tuple[int, str, float], int] = {}
+
+    def below(self, parent: int, tag: str, attributes: str) -> int:
+        weight = _weight(tag, attributes, self.held[parent])
+        key = (parent, _label(tag, attributes), weight)
+        if (number := self.numbers.get(key)) is None:
+            number = self.numbers[key] = len(self.parent)
+            self.parent.append(parent)
+            self.label.append(key[1])
+            self.own.append(weight)
+            self.weight.append(self.weight[parent] * weight)
+            self.never.append(self.never[parent] or tag in NEVER)
+            self.held.append(self.held[parent] or tag in HOLDERS)
+        return number
+
+
+def blocks(page: str) -> tuple[Paths, list[tuple[int, str, int]]]:
+    """The paths, and the pieces of text in page order: path, text, length of links."""
+    paths = Paths()
+    out: list[tuple[int, str, int]] = []
     tags: list[str] = []
-    path: list[str] = []
-    bad: list[bool] = []
+    path = [0]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     links = in_link = 0
 
@@ -106,13 +141,14 @@ def blocks(page: str, never: frozenset[str] = NEVER, names: bool = True) -> list
         nonlocal links
         if text:
             piece = " ".join(entities.unescape("".join(text)).split())
-            if piece:
-                out.append((tuple(path), bool(bad and bad[-1]), piece, links))
+            if piece and paths.weight[path[-1]]:
+                out.append((path[-1], piece, links))
             text.clear()
         links = 0
 
     def close(upto: int) -> None:
-        del tags[upto:], path[upto:], bad[upto:]
+        opened.subtract(tags[upto:])
+        del tags[upto:], path[upto + 1 :]
 
     at, end = 0, len(page)
     while at < end:
@@ -141,8 +177,10 @@ def blocks(page: str, never: frozenset[str] = NEVER, names: bool = True) -> list
                 in_link = 0 if closing else 1
         elif closing:
             flush()
-            if tag in tags:
-                k = len(tags) - 1 - tags[::-1].index(tag)
+            if opened[tag]:
+                k = len(tags) - 1
+                while tags[k] != tag:
+                    k -= 1
                 close(k)
             in_link = 0
         elif tag in RAW:
@@ -155,91 +193,93 @@ def blocks(page: str, never: frozenset[str] = NEVER, names: bool = True) -> list
             flush()
             in_link = 0
             if tag in LISTS:
-                for k in range(len(tags) - 1, -1, -1):
-                    if tags[k] in LISTS[tag]:
-                        break
-                    if tags[k] == tag or (tag in ("dt", "dd") and tags[k] in ("dt", "dd")) or (tag in ("td", "th") and tags[k] in ("td", "th")):
-                        close(k)
-                        break
+                same = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {tag}
+                if any(opened[t] for t in same):
+                    for k in range(len(tags) - 1, -1, -1):
+                        if tags[k] in LISTS[tag]:
+                            break
+                        if tags[k] in same:
+                            close(k)
+                            break
             if tags and tags[-1] == "p":
                 close(len(tags) - 1)
-            attributes = m[3]
             tags.append(tag)
-            path.append(_label(tag, attributes))
-            bad.append(bool(bad and bad[-1]) or _never(tag, attributes, never, names))
+            opened[tag] += 1
+            path.append(paths.below(path[-1], tag, m[3].rstrip(">/").strip()))
     flush()
-    return out
+    return paths, out
 
 
-def ratios(pieces: list[tuple[tuple[str, ...], bool, str, int]], width: float = 1.0) -> dict[tuple[str, ...], float]:
-    """Score of each path: smoothed text ratio times smoothed punctuation ratio, weakened by links, 0 where never."""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for path, never, text, linked in pieces:
-        s = sums.setdefault(path, [0, 0, 0, 0, 0])
+def ratios(paths: Paths, pieces: list[tuple[int, str, int]], width: float = 1.0) -> dict[int, float]:
+    """Score of each path: smoothed text and punctuation ratios, fused, with the path's links and its weight."""
+    sums: dict[int, list[int]] = {}
+    for path, text, linked in pieces:
+        s = sums.setdefault(path, [0, 0, 0, 0])
         s[0] += len(text)
         s[1] += len(_MARKS.findall(text))
         s[2] += 1
-        s[3] += linked
-        s[4] += never
-    paths = list(sums)
-    raw = [(0.0, 0.0) if s[4] == s[2] else (s[0] / s[2], s[1] / s[2]) for s in sums.values()]
+        s[3] += min(linked, len(text))
+    order = list(sums)
+    part = [(1 - LINKS) * (1 - s[3] / s[0]) + LINKS for s in sums.values()]  # what links and weights leave of a path
+    part = [x * paths.weight[p] for x, p in zip(part, order)]
+    raw = [(s[0] / s[2], s[1] / s[2]) for s in sums.values()]
     kernel = [math.exp(-(d * d) / (2 * width * width)) for d in range(3)]
     scores = {}
-    for k, path in enumerate(paths):
-        s = sums[path]
-        if s[4] == s[2]:
-            scores[path] = 0.0
-            continue
-        near = [(kernel[abs(j - k)], raw[j]) for j in range(max(0, k - 2), min(len(paths), k + 3))]
+    for k, path in enumerate(order):
+        near = [(kernel[abs(j - k)] * min(1.0, part[j] / part[k]), raw[j]) for j in range(max(0, k - 2), min(len(order), k + 3))]
         total = sum(w for w, _ in near)
         length, marks = (sum(w * r[i] for w, r in near) / total for i in (0, 1))
-        scores[path] = length * (1 + marks) * max(0.0, 1 - s[3] / max(1, s[0]))
+        scores[path] = math.log1p(length) * (1 + math.log1p(marks)) * part[k]
     return scores
 
 
 def main_text(page: str) -> str:
     """The article's blocks, joined by line feeds."""
-    pieces, names = blocks(page), True
-    clean = sum(len(text) for _, never, text, _ in pieces if not never)
-    if any(never for _, never, _, _ in pieces):  # some sites name the wrapper of the whole page so
-        unnamed = blocks(page, names=False)
-        if clean < TRUSTED * sum(len(text) for _, never, text, _ in unnamed if not never):
-            pieces, names = unnamed, False
-    scores = ratios(pieces)
-    if not any(scores.values()):  # some sites put the whole page into a form
-        pieces = blocks(page, NEVER - {"form"}, names)
-        scores = ratios(pieces)
-        if not any(scores.values()):
-            pieces = blocks(page, NEVER - {"form"}, False)
-            scores = ratios(pieces)
-    if not any(scores.values()):
+    paths, pieces = blocks(page)
+    if not pieces:
+        return ""
+    scores = ratios(paths, pieces)
+    mass = [0] * len(paths.parent)
+    for path, text, _ in pieces:
+        mass[path] += len(text)
+    able = [p for p in scores if not paths.never[p]]
+    if not able:  # menus, footers and the like only
         return ""
-    mass: dict[tuple[str, ...], float] = {}
-    for path, never, text, _ in pieces:
-        if not never:
-            mass[path] = mass.get(path, 0.0) + len(text)
-    held = {p for p in mass if any(tag in HOLDERS for tag in p)}
-    if sum(mass[p] for p in held) < 0.1 * sum(mass.values()):
-        held = set(mass)
-    best = max((p for p in mass if p in held), key=lambda p: scores[p] * mass[p])
-    within = [k for k, tag in enumerate(best) if tag in HOLDERS]
-    holder = best[: within[0] + 1] if within else best[:-1]
-    if not within:  # lists, quotes and tables inside the article are no holders of their own
-        while len(holder) > 1 and holder[-1].split(".")[0] in ("li", "ul", "ol", "blockquote", "td", "tr", "tbody", "table", "dl", "dd"):
-            holder = holder[:-1]
-    if holder and holder[-1] not in ("html", "body"):
-        chosen = {p for p in mass if p[: len(holder)] == holder}
-    else:
-        limit = 0.7 * scores[best]
-        chosen = {p for p in mass if scores[p] >= limit or p[-1] in ("h1", "h2", "h3") and len(p) == len(best)}
-    return "\n".join(text for path, never, text, _ in pieces if not never and path in chosen)
+    best = max(able, key=lambda p: scores[p] * math.log1p(mass[p]))
+    if paths.weight[best] < 1 and scores[best] < PROSE * paths.weight[best]:
+        return ""
+    chain = set()  # what is around the best path holds the article, whatever its name
+    p = best
+    while p >= 0:
+        chain.add(p)
+        p = paths.parent[p]
+    weight = [1.0]
+    for p in range(1, len(mass)):
+        weight.append(weight[paths.parent[p]] * (max(1.0, paths.own[p]) if p in chain else paths.own[p]))
+    scores = {p: s * weight[p] / paths.weight[p] for p, s in scores.items()}
+    under, worth = list(map(float, mass)), [scores.get(p, 0.0) * n for p, n in enumerate(mass)]
+    for p in range(len(mass) - 1, 0, -1):  # a path's number is greater than its parent's
+        under[paths.parent[p]] += under[p]
+        worth[paths.parent[p]] += worth[p]
+    region = max(0, paths.parent[best])
+    while (around := paths.parent[region]) >= 0:
+        more, adds = under[around] - under[region], worth[around] - worth[region]
+        if more > 0 and adds / more < GROW * worth[region] / under[region]:
+            break
+        region = around
+    inside = [False] * len(mass)
+    for p in range(len(mass)):
+        inside[p] = p == region or p > 0 and inside[paths.parent[p]]
+    limit = CONTENT * scores[best]
+    return "\n".join(text for path, text, _ in pieces if inside[path] and scores[path] >= limit)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """All rows with ``text`` (main text, empty if there is none) and ``n_chars`` (its code points) in place of the page.
 
-    Defined results: a null page counts as empty and gives an empty text; broken markup is read as far as it goes; an
-    element that is not closed ends with the page; repeated rows give repeated results; an empty table gives an empty
+    Defined results: a null page counts as empty and gives an empty text, as does a page of menus, forms and notices only;
+    broken markup is read as far as it goes; an element that is not closed ends with the page; pages of any length and depth
+    are read whole, in linear time; null urls and ids stay; repeated rows give repeated results; an empty table gives an empty
     result; input columns named as an output column are replaced.
     """
     @F.pandas_udf("string")

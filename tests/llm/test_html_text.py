@@ -1,6 +1,10 @@
 import html
 import re
+import time
 
+import pytest
+
+from lotmill.llm import html_text
 from lotmill.llm.html_text import blocks, extract_main_text, main_text, op8_tag_path_ratios, ratios
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><div id="wrap"><div class="main-menu"><a href=x>Home</a> <a>About us</a></div>
@@ -15,9 +19,72 @@ def test_page():
 
 
 def test_best_path_is_prose():
-    scores = ratios(blocks(PAGE))
+    paths, pieces = blocks(PAGE)
+    scores = ratios(paths, pieces)
     best = max(scores, key=scores.get)
-    assert best[-1] in ("p", "h2") and "div.post" in best and min(scores.values()) == 0.0
+    assert paths.label[best] in ("p", "h2") and paths.label[paths.parent[best]] == "div.post"
+    menu = next(p for p, text, _ in pieces if "About" in text)
+    assert scores[menu] < 0.01 * scores[best]
+
+
+PROSE = "It was late in the year, and nobody had seen the ferry for a week. The harbour lay still; even the gulls had gone."
+BODY = "".join(f"<p>{PROSE} ({k})</p>" for k in range(5))
+TEXT = "\n".join(f"{PROSE} ({k})" for k in range(5))
+MENU = "<ul><li><a href=/a>Home</a><li><a href=/b>News of today</a><li><a href=/c>About us</a></ul>"
+LINKS = '<div><div><a href=/1>Ten things to know about boats</a></div><div><a href=/2>Why we moved north</a></div></div>'
+REPLY = '<div class="{0}"><article class="comment"><p>Great post, really! I liked it very much, thank you.</p></article></div>'
+
+UNNAMED = [  # pages that name nothing: only the ratios tell
+    (f"<body><div>{MENU}</div><div><h2>The ferry</h2>{BODY}</div><div>{LINKS}</div></body>", f"The ferry\n{TEXT}"),
+    (f"<body><div><div>{LINKS}</div><div><div><h2>The ferry</h2></div><div>{BODY}<ul><li>One boat.<li>Two oars.</ul></div></div></div>{MENU}</body>",
+     f"The ferry\n{TEXT}\nOne boat.\nTwo oars."),
+    (f"<body>{MENU}<h1>The ferry</h1>{BODY}{LINKS}</body>", f"The ferry\n{TEXT}"),
+    (f"<table><tr><td>{MENU}</td><td><div>{BODY}</div></td></tr></table>", TEXT),
+]
+
+
+@pytest.mark.parametrize("page, want", UNNAMED)
+def test_pages_without_names(page, want):
+    assert main_text(page) == want
+
+
+def test_ratios_decide(monkeypatch):
+    monkeypatch.setattr(html_text, "ratios", lambda paths, pieces, width=1.0: {p: 1.0 for p, _, _ in pieces})
+    assert all(main_text(page) != want for page, want in UNNAMED)
+    assert main_text(PAGE).startswith("Title") is False
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "page-with-comments", "site search-page", "post-header-layout", "hidden-xs-down", "sidebar", "comments"])
+@pytest.mark.parametrize("inner", ["<article>{0}</article>", "<div>{0}</div>", "<main>{0}</main>", "{0}"])
+def test_wrappers_of_any_name(name, inner):
+    page = f'<body><nav>{MENU}</nav><div class="{name}">{inner.format("<h1>The ferry</h1>" + BODY)}</div><footer>(c) All rights, and so on.</footer></body>'
+    assert main_text(page) == f"The ferry\n{TEXT}"
+
+
+@pytest.mark.parametrize("page", [
+    f'<main>{BODY}<section class="comments">{REPLY.format("x") * 9}</section></main>', f'<div>{BODY}</div><div id="comments">{REPLY.format("reply") * 9}</div>',
+    f"<article>{BODY}<aside><p>{PROSE}</p></aside><form><p>{PROSE}</p><button>Send</button></form></article><footer><p>{PROSE} {PROSE}</p></footer>",
+    f'<form action=/><div role=navigation>{MENU}</div><div class="cookie-notice"><p>We use cookies, as all do. More is said here.</p></div><div>{BODY}</div></form>',
+    f"<article>{BODY}<p hidden>{PROSE}</p><div style='display: none'>{PROSE}</div><script>'{PROSE}'</script></article>",
+])
+def test_boilerplate_goes(page):
+    assert main_text(page) == TEXT
+
+
+def test_short_articles_beside_long_footers():
+    page = f"<nav>{MENU}</nav><article><h1>Note</h1><p>So it is.</p></article><footer><p>{PROSE}</p><p>{PROSE}</p></footer>"
+    assert main_text(page) == "Note\nSo it is."
+
+
+def test_depth_is_linear():
+    def took(depth):
+        began = time.process_time()
+        assert main_text("<div>" * depth + "deep, text." + "</div>" * depth) == "deep, text."
+        assert main_text("<div><p>so it goes, on and on.</p>" * depth).count("\n") == depth - 1
+        return time.process_time() - began
+
+    took(500)
+    assert took(12_000) < 4 * took(6_000) + 0.2
 
 
 def test_given_pages(spark, duck, sf_dir):
