@@ -3,11 +3,15 @@
 Unit vectors are cut in two halves.  Each half is quantised by its own few centroids, and a vector is filed under its pair
 of centroids: with K centroids a half there are K * K cells, for the cost of finding 2 K distances.  A query walks the
 pairs in order of their summed distance with a heap, from the nearest pair outwards, until the cells it has passed hold
-``probe`` of all vectors; their vectors are then ranked by exact cosine on the original vectors.
+a share of all vectors; their vectors are then ranked by exact cosine on the original vectors.  The share is measured on
+the sample that the centroids are fitted on: it is what finds ``recall`` of the true neighbours there, a few hundredths
+where vectors form clusters and most of all vectors where they have no structure.
 
 Entries are kept in lists, one for each centroid of the first half, and a list of more than ``list_rows`` vectors is
 dealt into several by hash, so that a hot cell is many small lists.  Queries travel to the lists that they probe, and each
-list returns its best few only.  Equal vectors are one entry with their least ids, as many as could ever be returned.
+list returns its best few only.  A list that many queries probe is copied for each ``CHUNK`` of them, so that what moves
+stays in proportion to what is compared.  Equal vectors are one entry with their least ids, as many as could ever be
+returned.  Vectors of each length have cells and lists of their own.
 """
 
 from __future__ import annotations
@@ -23,11 +27,14 @@ from pyspark.sql import functions as F
 from .common import stage_table
 
 CENTROIDS = 32
-PROBE = 0.7
+RECALL = 0.95
 SAMPLE = 20_000
+#: Vectors of a length in the sample below which the length is one cell, and queries of the sample that the share is measured with.
+FEW = 64
+ASKED = 512
 LIST_ROWS = 8192
 #: Queries that one task holds beside a list, and that it compares at a time.
-CHUNK = 4096
+CHUNK = 16_384
 BLOCK = 256
 #: Scores this close are settled by exact recomputation, whatever the order in which products are summed up.
 CLOSE = 1e-9
@@ -94,20 +101,45 @@ def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Centroids of both halves and the number of entries in each cell."""
+    """Centroids of both halves, the number of entries in each cell, and the share of them that a query looks at."""
 
-    def __init__(self, vectors: np.ndarray, count: int = CENTROIDS):
+    def __init__(self, vectors: np.ndarray, count: int = CENTROIDS, k: int = 5, recall: float = RECALL, probe: float | None = None):
         units = unit(vectors)
         self.half = units.shape[1] // 2
+        if len(units) < FEW:
+            count = 1
         self.first, self.second = kmeans(units[:, : self.half], count), kmeans(units[:, self.half :], count)
         self.sizes = np.zeros((len(self.first), len(self.second)), np.int64)
+        self.probe = self._measure(units, k, recall) if probe is None else probe
+
+    def _measure(self, units: np.ndarray, k: int, recall: float) -> float:
+        """Share of the sample that walks have to pass to reach the cells of ``recall`` of the true neighbours in it."""
+        if len(self.first) * len(self.second) == 1:
+            return 1.0
+        cells = nearest(units[:, : self.half], self.first) * len(self.second) + nearest(units[:, self.half :], self.second)
+        held = np.bincount(cells, minlength=len(self.first) * len(self.second))
+        asked = units[:: max(1, len(units) // ASKED)]
+        passed = []
+        for at in range(0, len(asked), 64):
+            some = asked[at : at + 64]
+            scores = some @ units.T
+            scores[np.arange(len(some)), (np.arange(at, at + len(some))) * max(1, len(units) // ASKED)] = -np.inf  # itself
+            best = np.argpartition(-scores, min(k, len(units) - 1) - 1, axis=1)[:, :k]
+            d1, d2 = distances(some[:, : self.half], self.first), distances(some[:, self.half :], self.second)
+            order = (d1[:, :, None] + d2[:, None, :]).reshape(len(some), -1).argsort(axis=1, kind="stable")
+            for row, near in zip(order, best):
+                before = np.empty(len(held), np.int64)
+                before[row] = np.cumsum(held[row]) - held[row]  # entries that a walk has passed when it comes to a cell
+                passed.append(before[cells[near]] + 1)
+        return min(1.0, float(np.quantile(np.concatenate(passed), recall, method="higher")) / len(units))
 
     def cells(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         units = unit(vectors)
         return nearest(units[:, : self.half], self.first), nearest(units[:, self.half :], self.second)
 
-    def probes(self, vectors: np.ndarray, wanted: float) -> Iterator[list[tuple[int, int]]]:
-        units = unit(vectors)
+    def probes(self, vectors: np.ndarray, least: int) -> Iterator[list[tuple[int, int]]]:
+        """Cells of each query: they hold the share ``probe`` of all entries, and ``least`` at least."""
+        units, wanted = unit(vectors), max(self.probe * self.sizes.sum(), least)
         d1, d2 = distances(units[:, : self.half], self.first), distances(units[:, self.half :], self.second)
         for a, b in zip(d1, d2):
             yield walk(a, b, self.sizes, wanted)
@@ -124,75 +156,79 @@ def search(
     vectors: DataFrame,
     queries: DataFrame | None = None,
     k: int = 5,
-    probe: float = PROBE,
+    recall: float = RECALL,
+    probe: float | None = None,
     centroids: int = CENTROIDS,
     sample: int = SAMPLE,
     list_rows: int = LIST_ROWS,
+    chunk: int = CHUNK,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """The ``k`` nearest of ``vectors`` found for each of ``queries``: query_id, rank (from 1), vec_id, score (cosine).
 
     Without ``queries``, they are the rows whose id is divisible by 50.  A row with the query's id is no candidate.  The
-    centroids are fitted on at most ``sample`` vectors, the least by hash; every vector is indexed.  ``probe`` is the
-    share of all entries that a query looks at: 0.7 finds over nine in ten of the true neighbours even of vectors
-    without any structure; vectors that form clusters need far less.
+    centroids are fitted on at most ``sample`` vectors, the least by hash; every vector is indexed.  A query looks at the
+    share ``probe`` of all entries; without it, at the share that finds ``recall`` of the true neighbours in the sample
+    (neighbours in all vectors are nearer than those in a sample, so they are found no less often).
 
     Defined results: vectors that are null, all zero or hold a null or non-finite component take no part, nor do null
-    ids; with vectors of several lengths each length is a world of its own; rows that repeat id and vector count once; of
-    equal scores the smaller id comes first; fewer candidates than ``k`` are all returned; without candidates or
-    queries the result is empty; other columns are left out.
+    ids; with vectors of several lengths each length, however many there are, is a world of its own (one of which the
+    sample holds only few vectors is searched whole); rows that repeat id and vector count once; of equal scores the
+    smaller id comes first; fewer candidates than ``k`` are all returned; without candidates or queries the result is
+    empty; other columns are left out.
     """
-    spark = vectors.sparkSession
     rows = stage_table(usable(vectors, id_col, vector_col), "vectors")
     asked = rows.where("id % 50 = 0") if queries is None else stage_table(usable(queries, id_col, vector_col), "asked")
-    dims = [r[0] for r in rows.select(F.size("vec").alias("d")).distinct().orderBy("d").limit(64).collect()]
-    found = None
-    for dim in dims:
-        part = _search(rows.where(F.size("vec") == dim), asked.where(F.size("vec") == dim), dim, k, probe, centroids, sample, list_rows)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return found
-
-
-def _search(rows, asked, dim, k, probe, centroids, sample, list_rows):
-    spark = rows.sparkSession
-    drawn = rows.orderBy(F.xxhash64("id", "vec")).limit(sample).collect()
-    index = MultiIndex(np.array([r["vec"] for r in drawn], float), centroids)
+    drawn: dict[int, list] = {}
+    for r in rows.orderBy(F.xxhash64("id", "vec")).limit(sample).collect():
+        drawn.setdefault(len(r["vec"]), []).append(r["vec"])
+    indexes = {dim: MultiIndex(np.array(vecs, float), centroids, k, recall, probe) for dim, vecs in drawn.items() if len(vecs) >= FEW}
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            a, b = index.cells(np.stack(batch["vec"].to_numpy()).astype(float))
-            yield pd.DataFrame({"id": batch["id"], "vec": batch["vec"], "a": a, "b": b}).astype({"a": "int32", "b": "int32"})
-
-    filed = rows.mapInPandas(file, "id long, vec array<double>, a int, b int")
-    nth = F.row_number().over(Window.partitionBy("a", "b", "vec").orderBy("id"))
+            dims = batch["vec"].map(len).to_numpy()
+            a, b = np.zeros(len(batch), np.int32), np.zeros(len(batch), np.int32)
+            for dim in np.unique(dims):
+                if int(dim) in indexes:
+                    at = np.flatnonzero(dims == dim)
+                    a[at], b[at] = indexes[int(dim)].cells(np.stack(batch["vec"].to_numpy()[at]).astype(float))
+            yield pd.DataFrame({"id": batch["id"], "vec": batch["vec"], "dim": dims.astype("int32"), "a": a, "b": b})
+
+    filed = rows.mapInPandas(file, "id long, vec array<double>, dim int, a int, b int")
+    nth = F.row_number().over(Window.partitionBy("dim", "a", "b", "vec").orderBy("id"))
     filed = filed.withColumn("nth", nth).where(F.col("nth") <= k + 1)  # of equal vectors no more can be returned
     filed = stage_table(filed.drop("nth"), "filed")
-    for r in filed.groupBy("a", "b").count().collect():  # one row a cell, at most centroids squared
-        index.sizes[r["a"], r["b"]] = r["count"]
-    total = int(index.sizes.sum())
-    parts = np.maximum(1, -(-index.sizes.sum(axis=1) // list_rows))  # lists of each first centroid
+    held = filed.groupBy("dim", "a", "b").count()
+    for r in held.where(F.col("dim").isin(list(indexes))).collect():  # one row a cell, of at most sample / FEW lengths
+        indexes[r["dim"]].sizes[r["a"], r["b"]] = r["count"]
+    parts = held.groupBy("dim", "a").agg(F.ceil(F.sum("count") / list_rows).cast("int").alias("parts"))
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), BLOCK):
-                block = batch.iloc[at : at + BLOCK]
-                out = []
-                vecs = np.stack(block["vec"].to_numpy()).astype(float)
-                for q, vec, pairs in zip(block["id"], block["vec"], index.probes(vecs, max(probe * total, k + 1))):
-                    cells: dict[int, list[int]] = {}
-                    for a, b in pairs:
-                        cells.setdefault(a, []).append(b)
-                    out += [(q, vec, a, p, bs) for a, bs in cells.items() for p in range(parts[a])]
-                yield pd.DataFrame(out, columns=["q", "qvec", "a", "p", "bs"])
-
-    chunks = max(1, -(-asked.count() // CHUNK))
-    travelling = asked.mapInPandas(ask, "q long, qvec array<double>, a int, p int, bs array<int>")
-    travelling = travelling.withColumn("c", F.pmod(F.xxhash64("q", "qvec"), F.lit(chunks)).cast("int"))
-    lists = filed.withColumn("p", F.pmod(F.xxhash64("id"), F.element_at(F.array(*[F.lit(int(n)) for n in parts]), F.col("a") + 1)).cast("int"))
-    lists = lists.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+            out = []
+            for dim, of in batch.groupby(batch["vec"].map(len)):
+                for at in range(0, len(of), BLOCK):
+                    block = of.iloc[at : at + BLOCK]
+                    if (index := indexes.get(int(dim))) is None:
+                        out += [(q, vec, dim, 0, [0]) for q, vec in zip(block["id"], block["vec"])]
+                        continue
+                    vecs = np.stack(block["vec"].to_numpy()).astype(float)
+                    for q, vec, pairs in zip(block["id"], block["vec"], index.probes(vecs, k + 1)):
+                        cells: dict[int, list[int]] = {}
+                        for a, b in pairs:
+                            cells.setdefault(a, []).append(b)
+                        out += [(q, vec, dim, a, bs) for a, bs in cells.items()]
+            yield pd.DataFrame(out, columns=["q", "qvec", "dim", "a", "bs"])
+
+    travelling = asked.mapInPandas(ask, "q long, qvec array<double>, dim int, a int, bs array<int>")
+    travelling = stage_table(travelling, "travelling")
+    load = travelling.groupBy("dim", "a").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
+    lists = stage_table(parts.join(load, ["dim", "a"]), "lists")  # of lists that a query probes
+    deal = lambda salt, n, *keys: F.pmod(F.xxhash64(*keys, F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    travelling = travelling.join(lists, ["dim", "a"]).withColumn("c", deal(1, "chunks", "q", "qvec")).withColumn("p", every("parts")).drop("parts", "chunks")
+    entries = filed.join(lists, ["dim", "a"]).withColumn("p", deal(2, "parts", "id")).withColumn("c", every("chunks")).drop("parts", "chunks")
 
     def compare(asking: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -213,7 +249,8 @@ def _search(rows, asked, dim, k, probe, centroids, sample, list_rows):
                     out += zip([q] * len(best), ids[top][best], exact[best])
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    best = travelling.groupBy("a", "p", "c").cogroup(lists.groupBy("a", "p", "c")).applyInPandas(compare, "query_id long, vec_id long, score double")
+    key = ("dim", "a", "p", "c")
+    best = travelling.groupBy(*key).cogroup(entries.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
     best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # an id that repeats with several vectors
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

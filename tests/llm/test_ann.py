@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from lotmill.llm.ann import op4_inverted_multi_index, search, walk
+from lotmill.llm.ann import MultiIndex, op4_inverted_multi_index, search, walk
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -52,6 +52,33 @@ def test_edges(spark):
     assert search(df.limit(0)).count() == 0 and search(df, df.limit(0)).count() == 0
 
 
+def test_many_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1000 * d + k, [float(x) for x in rng.normal(size=d)]) for d in range(1, 80) for k in (0, 1, 2)]
+    rows += [(k, [float(x) for x in rng.normal(size=90)]) for k in range(200_000, 200_400)]
+    got = search(spark.createDataFrame(rows, SCHEMA), list_rows=50, chunk=3, probe=1.0).collect()
+    want = [x for d in range(1, 80) for x in brute([r for r in rows if r[0] // 1000 == d])] + brute([r for r in rows if r[0] >= 200_000])
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(x[:3] for x in want)
+
+
+def test_clusters_are_pruned(spark):
+    """Of clustered vectors a query looks at a small share, and finds its neighbours."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(150, 16))
+    rows = [(k, [float(x) for x in centres[k % 150] + 0.15 * rng.normal(size=16)]) for k in range(9000)]
+    index = MultiIndex(np.array([v for _, v in rows], float))
+    assert index.probe < 0.1
+    want = {(q, i) for q, _, i, _ in brute(rows)}
+    got = search(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(want & {(r.query_id, r.vec_id) for r in got}) >= 0.9 * len(want)
+
+
+def test_share_follows_the_recall_asked_for():
+    vecs = np.random.default_rng(7).normal(size=(3000, 32))
+    shares = [MultiIndex(vecs, recall=r).probe for r in (0.5, 0.8, 0.95, 1.0)]
+    assert shares == sorted(shares) and shares[0] < 0.5 and MultiIndex(vecs[:10]).probe == 1.0
+
+
 def test_walk_is_by_summed_distance():
     rng = np.random.default_rng(1)
     a, b = rng.random(7), rng.random(9)
