@@ -4,9 +4,10 @@ Within each source documents stand in shuffled order, and the order repeats ``ma
 finish time is the number of words of its source up to and with it, divided by the source's target.  All copies of all
 sources are then taken in order of finish time until the budget of words is spent.
 
-Running sums are two-level: words by source and bucket of the shuffled order first, then within buckets, so that a hot
-source is spread like any other.  Finish times grow evenly with the words taken, so equal steps of time are the ranges
-of the global sort; only the range that holds the cut is ordered row by row.  The cut becomes one threshold for each
+Running sums have levels: words by source and block of buckets of the shuffled order first, then by bucket, then within
+buckets, so that a hot source is spread like any other.  Finish times grow evenly with the words taken, so equal steps of
+time are the ranges of the global sort.  They are summed up in blocks of steps first, then those of the one block that holds
+the cut; only the step that holds it is ordered row by row.  Rows that repeat id and text are summed up before.  The cut becomes one threshold for each
 source and repetition, and the documents are decided in place: their texts never shuffle.
 """
 
@@ -20,7 +21,10 @@ from pyspark.sql import functions as F
 from .common import stage_table, text_or_empty, without, word_count
 
 OUT = ("size", "source_size", "target", "copies", "taken")
-ROWS_PER_BUCKET = 1 << 12
+ROWS_PER_BUCKET = 1 << 9
+#: Rows that a step of finish times holds on average, and buckets or steps of a block.
+ROWS_PER_STEP = 1 << 12
+BLOCK = 1 << 10
 MAX_BROADCAST_SOURCES = 200_000
 
 
@@ -55,6 +59,21 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeats: int) -
     return ranked.select("source", "source_size", "rank", target.alias("target"), "total")
 
 
+def sums_before(sums: DataFrame, at: str, words: str, *keys: str) -> DataFrame:
+    """``sums`` with ``before``: the sum of ``words`` over smaller ``at`` with equal ``keys``, by blocks and then in blocks."""
+    block = F.floor(F.col(at) / BLOCK).alias("block")
+    over = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.groupBy(*keys, block).agg(F.sum(words).alias("n")).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("block").alias("__block"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("__first")
+    )
+    within = Window.partitionBy(*keys, "block").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    inner = sums.withColumn("block", block).withColumn("before", F.coalesce(F.sum(words).over(within), F.lit(0)))
+    same = F.col("block") == F.col("__block")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return inner.join(blocks, same).withColumn("before", F.col("before") + F.col("__first")).select(*sums.columns, "before")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
@@ -83,12 +102,10 @@ def mix_sources(
     few = F.broadcast if n_sources <= MAX_BROADCAST_SOURCES else (lambda df: df)
 
     buckets = max(1, -(-thin.count() // ROWS_PER_BUCKET))
+    thin = thin.groupBy("source", "key").agg(F.sum("size").alias("size"))  # rows that repeat id and text have one place
     thin = thin.withColumn("bucket", F.expr(f"CAST(CAST(conv(substring(key, 1, 8), 16, 10) AS BIGINT) * {buckets}L DIV 4294967296L AS INT)"))
-    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = thin.groupBy("source", "bucket").agg(F.sum("size").alias("words")).select(
-        "source", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("before")
-    )
-    here = Window.partitionBy("source", "bucket").orderBy("key")  # equal keys share their place
+    offsets = sums_before(thin.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "bucket", "words", "source")
+    here = Window.partitionBy("source", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     local = thin.withColumn("here", F.sum("size").over(here))
     running = local.alias("l").join(
         offsets.alias("o"), F.col("l.source").eqNullSafe(F.col("o.source")) & (F.col("l.bucket") == F.col("o.bucket"))
@@ -101,18 +118,16 @@ def mix_sources(
     copies = running.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
     finish = (F.col("epoch") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
     copies = copies.where("target > 0 AND size > 0").withColumn("finish", finish)  # documents without words change no sum
-    steps = max(1, -(-copies.count() // ROWS_PER_BUCKET))
+    steps = max(1, -(-copies.count() // ROWS_PER_STEP))
     copies = copies.withColumn("step", F.floor(F.col("finish") * steps))
     total = targets.agg(F.max("total")).first()[0] or 0
-    ranges = copies.groupBy("step").agg(F.sum("size").alias("words")).withColumn(
-        "spent", F.sum("words").over(Window.orderBy("step"))  # one row for each range
-    )
-    cut = ranges.where(F.col("spent") > total).agg(F.min("step")).first()[0]
+    ranges = stage_table(copies.groupBy("step").agg(F.sum("size").alias("words")), "ranges")
+    ranges = sums_before(ranges, "step", "words")
+    cut, spent = ranges.where(F.col("before") + F.col("words") > total).agg(F.min("step"), F.min_by("before", "step")).first()
     full = copies.groupBy("rank", "epoch")
     if cut is None:
         within = full.agg(F.max("key").alias("last"))
     else:
-        spent = ranges.where(F.col("step") < cut).agg(F.max("spent")).first()[0] or 0
         order = Window.orderBy("finish", "rank", "epoch", "key")  # of the one range that holds the cut
         over = copies.where(F.col("step") == cut).withColumn("spent", F.lit(spent) + F.sum("size").over(order))
         taken = copies.where(F.col("step") < cut).select("rank", "epoch", "key").unionByName(

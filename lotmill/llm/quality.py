@@ -168,9 +168,9 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for p, n in zip(posterior, counts):
         sides[bool(p >= 0.5)] += n
     for side in (True, False):
-        part = marked.where((F.col("belief") >= 0.5) == F.lit(side)).select("order", "belief").orderBy("order").limit(sample)
+        part = marked.where((F.col("belief") >= 0.5) == F.lit(side)).groupBy("order").agg(F.first("belief").alias("belief")).orderBy("order").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = F.broadcast(chosen.groupBy("order").agg(F.first("belief").alias("belief")))  # at most 2 * sample rows
+    chosen = F.broadcast(chosen)  # at most 2 * sample rows
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -191,7 +191,8 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """All documents with ``quality_score`` and ``keep``; fitted on the documents themselves.
 
     Defined results: a null text counts as empty; texts without words have the score of the bias, as nothing speaks
-    against them; ids serve to draw the training rows only and may be null or repeat; repeated rows get equal scores;
+    against them; ids serve to draw the training rows only and may be null or repeat; repeated rows count once
+    among the training rows and get equal scores;
     an empty table gives an empty result; input columns named as an output column are replaced.
     """
     return fit_quality(docs, id_col, text_col, sample).score(docs, text_col, threshold)

@@ -66,12 +66,13 @@ def _below(value: Column):
     return lambda point: point < value
 
 
+def is_text(kind: str) -> bool:
+    return kind in ("string", "binary") or kind.startswith(("char", "varchar"))
+
+
 def as_number(column: Column, kind: str) -> Column:
-    """A long in the column's own order; of text the first seven bytes; null is before all."""
-    if kind in ("string", "binary") or kind.startswith(("char", "varchar")):
-        code = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0")
-        column = F.conv(code, 16, 10).cast("long")
-    elif kind in ("timestamp", "timestamp_ntz"):
+    """A long in the column's own order; null is before all."""
+    if kind in ("timestamp", "timestamp_ntz"):
         column = F.unix_micros(column.cast("timestamp"))
     elif kind == "date":
         column = F.unix_date(column).cast("long")
@@ -80,6 +81,27 @@ def as_number(column: Column, kind: str) -> Column:
     return F.coalesce(column, F.lit(-(2**62)))
 
 
+def text_cells(docs: DataFrame, column: Column, cells: int) -> list[tuple[str, int]]:
+    """First text and number of each cell, by rank: a cell ends where a further ``1 / cells`` of all rows do.
+
+    Rows are counted by text first, so that a hot text is one row; the texts are sorted over the whole cluster, and places
+    are summed up within sorted partitions and over partitions.  At most ``cells`` rows come to the driver.
+    """
+    counts = docs.groupBy(column.alias("value")).agg(F.count("*").alias("n")).where("value IS NOT NULL")
+    nulls = docs.where(column.isNull()).count()
+    run = counts.repartitionByRange("value").sortWithinPartitions("value").withColumn("part", F.spark_partition_id())
+    run = stage_table(run, "values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each sorted partition
+    sums = run.groupBy("part").agg(F.sum("n").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy()).alias("all")
+    )
+    within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    middle = F.lit(nulls) + F.col("before") + F.col("upto") - F.col("n") / 2
+    placed = run.withColumn("upto", F.sum("n").over(within)).join(F.broadcast(sums), "part")
+    placed = placed.select("value", F.floor(middle * cells / (F.col("all") + nulls)).cast("int").alias("cell"))
+    return [(r["value"], r["cell"]) for r in placed.groupBy("cell").agg(F.min("value").alias("value")).orderBy("cell").collect()]
+
+
 def hilbert_shards(
     docs: DataFrame,
     shards: int = 40,
@@ -96,6 +118,8 @@ def hilbert_shards(
     gapless from 0).  ``law`` is ``rows`` (counts at most one apart) or ``bytes`` (sizes near equal).  ``size`` may be
     named in ``dims``.
 
+    Texts, numbers and times in a dimension are quantised by rank, whatever they begin with.
+
     Defined results: null texts have no bytes and the checksum of the empty text; a null in a dimension sorts first;
     rows of one cell are ordered by checksum and id, so that a hot cell is split like any other; with fewer rows than
     shards some shards are empty; an empty table gives an empty result; carried columns named as an output column are
@@ -106,21 +130,30 @@ def hilbert_shards(
     out = ("size", "text_crc32", "hilbert", "law", "shard", "slot")
     kinds = {name.lower(): kind for name, kind in docs.dtypes}
     size = F.octet_length(text_or_empty(text_col)).cast("long") + 16
-    keys = [size if d == "size" else as_number(F.col(d), kinds[d.lower()]) for d in dims]
+    texts = [i for i, d in enumerate(dims) if d != "size" and is_text(kinds[d.lower()])]
+    numbers = [i for i in range(len(dims)) if i not in texts]
+    keys = [F.col(d) if i in texts else size if d == "size" else as_number(F.col(d), kinds[d.lower()]) for i, d in enumerate(dims)]
     taken = {*out, id_col.lower()}
     rows = docs.select(
         F.col(id_col), *[F.col(f"`{c}`") for c in carry if c.lower() not in taken], size.alias("size"),
         F.crc32(text_or_empty(text_col)).alias("text_crc32"), *[k.alias(f"__d{i}") for i, k in enumerate(keys)],
     )
     marks = [i / (1 << BITS) for i in range(1, 1 << BITS)]
-    cuts = docs.select([k.alias(f"__d{i}") for i, k in enumerate(keys)]).agg(
-        *[F.percentile_approx(f"__d{i}", marks, 10_000).alias(f"c{i}") for i in range(len(dims))]
-    ).first()
+    cuts = {}
+    if numbers:
+        asked = [F.percentile_approx(f"__d{i}", marks, 10_000).alias(f"c{i}") for i in numbers]
+        cuts = docs.select([keys[i].alias(f"__d{i}") for i in numbers]).agg(*asked).first().asDict()
     cells = []
     for i in range(len(dims)):
-        points = sorted({int(x) for x in cuts[i] or []})
-        at = F.array(*[F.lit(x).cast("long") for x in points]) if points else F.array().cast("array<bigint>")
         value = F.col(f"__d{i}")
+        if i in texts:
+            cell = F.lit(0)
+            for first, number in text_cells(docs, keys[i], 1 << BITS):
+                cell = F.when(value >= F.lit(first), number).otherwise(cell)
+            cells.append(cell.cast("int").alias(f"__c{i}"))
+            continue
+        points = sorted({int(x) for x in cuts[f"c{i}"] or []})
+        at = F.array(*[F.lit(x).cast("long") for x in points]) if points else F.array().cast("array<bigint>")
         place = F.size(F.filter(at, _below(value)))  # few values are spread over all cells, so that their first bits tell them apart
         cells.append(F.floor(place * (1 << BITS) / (len(points) + 1)).cast("int").alias(f"__c{i}"))
     rows = rows.withColumns({f"__c{i}": c for i, c in enumerate(cells)})

@@ -42,6 +42,29 @@ def test_filter_that_is_full(spark):
     assert got.where("kept").count() == 90_000 and got.where("group_size = 2").count() == 20_000
 
 
+@pytest.mark.parametrize("bits, most", [(2**20, 0.02), (2**17, 0.35), (2**15, 1.0)])
+def test_rows_that_shuffle(spark, bits, most):
+    """Rows without a copy pass straight through but for the filter's share of mistakes; nothing shuffles for them alone."""
+    rows = [(k, f"text number {k}") for k in range(32_000)] + [(k, f"twice {k % 500}") for k in range(40_000, 41_000)]
+    got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), max_filter_bits=bits)
+    assert got.where("kept").count() == 32_500
+    through, settled = branches(got)
+    assert through + settled == len(rows) and 1000 <= settled <= 1000 + most * 32_000
+
+
+def branches(df):
+    """Rows of each branch of the union that ends the operator: those that pass through, and those that were shuffled."""
+    parts = df._jdf.queryExecution().analyzed().children()
+    dataset = df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset
+    return [dataset.ofRows(df.sparkSession._jsparkSession, parts.apply(k)).count() for k in range(parts.size())]
+
+
+def test_one_row_repeated_many_times(spark):
+    rows = [(7, "same")] * 3000 + [(3, "same"), (9, "other")]
+    got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert answer(got) == brute(rows) and got.where("kept").count() == 2
+
+
 def test_a_third_is_one_text(spark):
     rows = [(k, "same" if k % 3 == 0 else f"t{k}") for k in range(3000)]
     got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -33,10 +33,26 @@ def test_query(spark, sf_dir):
     assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
 
 
+def spread(docs, **more):
+    """Of all sources, languages and sizes, how much a shard spans on average."""
+    got = hilbert_shards(docs, carry=["source", "lang"])
+    by = got.groupBy("shard").agg(F.countDistinct("lang").alias("l"), F.countDistinct("source").alias("s"), F.percentile_approx("size", [0.1, 0.9]).alias("z")).toPandas()
+    sizes = np.sort(got.select("size").toPandas()["size"].to_numpy())
+    span = [(np.searchsorted(sizes, z[1]) - np.searchsorted(sizes, z[0])) / len(sizes) for z in by.z]
+    return by.s.mean(), by.l.mean(), float(np.mean(span))
+
+
 def test_shards_prune(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    got = hilbert_shards(docs, carry=["source", "lang"]).groupBy("shard").agg(F.countDistinct("lang").alias("l"), F.countDistinct("source").alias("s")).toPandas()
-    assert got.s.mean() < 13 and got.l.mean() < 3.5  # of 20 and 4
+    sources, langs, sizes = spread(docs)
+    assert sources < 7 and langs < 2.2 and sizes < 0.45  # of 20, 4 and 1
+
+
+def test_common_prefixes_do_not_matter(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = {r.doc_id: r.shard for r in hilbert_shards(docs).collect()}
+    long = docs.withColumn("source", F.concat(F.lit("https://crawl-2024-"), "source"))
+    assert {r.doc_id: r.shard for r in hilbert_shards(long).collect()} == plain
 
 
 def test_edges(spark):
