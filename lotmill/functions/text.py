@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..params import AREA, FORM_LABELS, FORM_END, LAND_CLASSES, PLACEHOLDERS, REGISTRAR_STATES, SQFT
+from ..params import AREA, BEGINS, FEET, FORM_END, FORM_LABELS, LAND_CLASSES, NUMBER, PLACEHOLDERS, POSSESSION, REGISTRAR_STATES, SQFT
 
 
 def strip(text: Column) -> Column:
@@ -76,52 +76,60 @@ def collapse_teaser(pieces: Column) -> Column:
 
 
 def form_fields(text: Column) -> Column:
-    """Map of field to value of a numbered form: each label's text runs to the next label that occurs, or to the end."""
-    found = [
-        F.when(
-            F.regexp_instr(text, F.lit(pattern)) > 0,
-            F.struct(
-                F.regexp_instr(text, F.lit(pattern)).alias("start"),
-                (F.regexp_instr(text, F.lit(pattern)) + F.length(F.regexp_substr(text, F.lit(pattern)))).alias("stop"), F.lit(name).alias("name"),
-            ),
-        )
-        for name, pattern in FORM_LABELS.items()
-    ]
-    marks = F.array_sort(F.array_compact(F.array(*found)))
-    last = F.regexp_instr(text, F.lit(FORM_END))
-    end = F.when(last > 0, last).otherwise(F.length(text) + 1)
-
-    def values(bound: Column) -> Column:
-        def value(mark: Column, k: Column) -> Column:
-            following = F.coalesce(F.try_element_at(bound["marks"], k + 2)["start"], F.greatest(bound["end"], mark["stop"]))
-            return F.struct(
-                mark["name"].alias("key"),
-                F.trim(F.regexp_replace(F.substring(text, mark["stop"], F.greatest(following - mark["stop"], F.lit(0))), r"\s+", " ")).alias("value"),
-            )
-
-        return F.transform(bound["marks"], value)
+    """Map of field to value of a numbered form: each label's text runs to the next label that occurs, or to the end.
+
+    One pattern of all labels cuts the text; the number that a label begins with names its field.  A label counts where it
+    stands first; further ones belong to the value that they stand in.  The form's end cuts the last value.
+    """
+    labels = F.lit("(?:" + "|".join(FORM_LABELS.values()) + ")")
+    numbers = {pattern.split(r"\.")[0].replace("\\", ""): name for name, pattern in FORM_LABELS.items()}
+    table = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+    cut = F.struct(
+        F.regexp_extract_all(text, labels, 0).alias("heads"), F.split(text, "(?:" + "|".join(FORM_LABELS.values()) + ")", -1).alias("pieces"),
+        F.regexp_instr(text, F.lit(FORM_END)).alias("end"), F.length(text).alias("length"),
+    )
+    name = lambda head: F.try_element_at(table, F.substring_index(head, ".", 1))
+    entry = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
+    empty = F.array().cast("array<struct<key: string, value: string>>")
+
+    def values(b: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            head, piece = F.element_at(b["heads"], k), F.element_at(b["pieces"], k + 1)
+            more = F.transform(acc, lambda e, i: F.when(i == F.size(acc) - 1, entry(e["key"], F.concat(e["value"], head, piece))).otherwise(e))
+            return F.when(F.exists(acc, lambda e: e["key"] == name(head)), more).otherwise(F.concat(acc, F.array(entry(name(head), piece))))
+
+        size = F.length(F.element_at(b["pieces"], -1))
+        begin = b["length"] - size + 1
+        over = F.when(b["end"] <= 0, 0).when(b["end"] <= begin, size).otherwise(size - b["end"] + begin)  # signs of the last value beyond the end
+
+        def bare(acc: Column) -> Column:
+            def value(e: Column, i: Column) -> Column:
+                kept = F.length(e["value"]) - F.when(i == F.size(acc) - 1, over).otherwise(0)
+                return entry(e["key"], F.trim(F.regexp_replace(F.substring(e["value"], F.lit(1), F.greatest(kept, F.lit(0))), r"\s+", " ")))
+
+            return F.transform(acc, value)
+
+        places = F.when(F.size(b["heads"]) > 0, F.sequence(F.lit(1), F.size(b["heads"]))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(places, empty, step, bare)
 
     # bound to a lambda's variable, so that the patterns run once a text and not once a label
-    once = F.transform(F.array(F.struct(marks.alias("marks"), end.alias("end"))), values)
-    return F.map_from_entries(F.element_at(once, 1))
+    return F.map_from_entries(F.element_at(F.transform(F.array(cut), values), 1))
 
 
 def area_mentions(text: Column) -> Column:
     """Figures with their units, as text."""
-    pattern = F.lit("(?i)" + AREA)
-    numbers, units = F.regexp_extract_all(text, pattern, 1), F.regexp_extract_all(text, pattern, 2)
-    return F.coalesce(F.transform(numbers, lambda n, k: F.concat(n, F.lit(" "), F.element_at(units, k + 1))), F.array().cast("array<string>"))
+    found = F.regexp_extract_all(text, F.lit("(?i)" + AREA), 0)  # one pass over the text; numbers and units are told apart in what it found
+    spaced = F.transform(found, lambda m: F.regexp_replace(m, rf"^({NUMBER})\s*", "$1 "))
+    return F.coalesce(spaced, F.array().cast("array<string>"))
 
 
 def area_sqft(mention: Column) -> Column:
     """Square feet of one mention; units are tried in a fixed order, feet before metres."""
-    number = F.replace(F.regexp_extract(mention, r"^\s*([\d,]+\.?\d*)", 1), F.lit(","), F.lit("")).try_cast("double")
-    unit = F.trim(F.replace(F.lower(F.regexp_extract(mention, r"^\s*[\d,]+\.?\d*\s*(.+?)\s*$", 1)), F.lit("."), F.lit("")))
-    chain = F.when(unit.startswith("acre"), number * SQFT["acre"])
-    for name in ("hectare", "gunta", "cent"):
-        chain = chain.when(unit.startswith(name), number * SQFT[name])
-    chain = chain.when(unit.contains("ft") | unit.contains("feet"), number)
-    return chain.when(unit.contains("m"), number * SQFT["m"])
+    number = F.replace(F.regexp_extract(mention, rf"^\s*({NUMBER})", 1), F.lit(","), F.lit("")).try_cast("double")
+    unit = F.trim(F.replace(F.lower(F.regexp_extract(mention, rf"^\s*{NUMBER}\s*(.+?)\s*$", 1)), F.lit("."), F.lit("")))
+    feet = F.when(F.greatest(*[unit.contains(w) for w in FEET]), number)
+    begun = [F.when(unit.startswith(name), number * SQFT[name]) for name in BEGINS]
+    return F.coalesce(*begun, feet, *[F.when(unit.contains(name), number * x) for name, x in SQFT.items() if name not in BEGINS])
 
 
 def round1(value: Column) -> Column:
@@ -175,7 +183,7 @@ def state_slug(state: Column) -> Column:
 
 def possession(text: Column) -> Column:
     """Struct of physical or symbolic and a flag; both or neither is unknown."""
-    physical, symbolic = text.rlike(r"(?i)\bphysical possession\b"), text.rlike(r"(?i)\bsymbolic possession\b")
+    physical, symbolic = (text.rlike(POSSESSION[k]) for k in ("physical", "symbolic"))
     return F.struct(
         F.when(physical & ~symbolic, "physical").when(symbolic & ~physical, "symbolic").alias("status"),
         F.when(physical & symbolic, "possession.ambiguous").when(~F.coalesce(physical | symbolic, F.lit(False)), "possession.none").alias("flag"),

@@ -92,16 +92,21 @@ def history(changed: DataFrame, at: str) -> DataFrame:
     )
 
 
-def final_state(changed: DataFrame, order: Sequence[str], at: str, carried: Sequence[str] = ()) -> DataFrame:
-    """State after the observations: identity and first sight from the owner's first, the rest from the owner's last."""
+def final_state(changed: DataFrame, order: Sequence[str], at: str, carried: Sequence[str] = (), raw: Sequence[str] = (*IDENTITY, *TRACKED)) -> DataFrame:
+    """State after the observations: identity and first sight from the owner's first, the rest from the owner's last.
+
+    ``raw_json`` holds the columns ``raw`` of the owner's last observation that was new or changed.
+    """
     own = changed.where("status <> 'collision'")
     rank = F.struct(*order)
+    moved = F.col("status").isin("new", "changed")
+    shown = F.to_json(F.struct(*[F.col(c) for c in raw]), {"ignoreNullFields": "false"})
     return own.groupBy("listing_key").agg(
         *[F.min_by(c, rank).alias(c) for c in IDENTITY],
         *[F.max_by(c, rank).alias(c) for c in (*TRACKED, *carried)],
         F.min(at).alias("first_seen"), F.max(at).alias("last_seen"),
         F.max(F.when(F.col("status").isin("new", "changed"), F.col(at))).alias("last_changed"),
-        F.count("*").alias("observations"),
+        F.count("*").alias("observations"), F.max_by(F.when(moved, shown), F.when(moved, rank)).alias("raw_json"),
     )
 
 
@@ -114,6 +119,7 @@ def merge_state(old: DataFrame, new: DataFrame, carried: Sequence[str] = ()) ->
         *[pick(c, "n", "o") for c in (*TRACKED, *carried, "last_seen")],
         F.greatest("o.last_changed", "n.last_changed").alias("last_changed"),
         (F.coalesce("o.observations", F.lit(0)) + F.coalesce("n.observations", F.lit(0))).alias("observations"),
+        F.coalesce("n.raw_json", "o.raw_json").alias("raw_json"),  # a run without a change leaves what is stored
     )
 
 

@@ -55,7 +55,8 @@ def enrichment_route(rows: DataFrame, enrichment: DataFrame) -> DataFrame:
 def cap_enrichment(routed: DataFrame, cap: int, order: Sequence[str]) -> DataFrame:
     """At most ``cap`` rows stay ``reenrich``, those never enriched first; the others become ``deferred``.
 
-    The first ``cap`` are a top-k, which every task cuts down for itself; no task sees all candidates.
+    The first ``cap`` are a top-k, which every task cuts down for itself; no task sees all candidates.  ``order`` has to tell
+    rows apart (end it with a key): rows of equal order at the cap would all stay.
     """
     keys = ["has_row", *order]
     chosen = routed.where("route = 'reenrich'").select(*keys).orderBy(*keys).limit(cap).agg(F.max(F.struct(*keys)).alias("__last"), F.count("*").alias("__n"))
@@ -82,32 +83,53 @@ def merge_enrichment(old: DataFrame, new: DataFrame, modules: Sequence[str], at:
     return o.join(n, F.col("o.listing_key") == F.col("n.listing_key"), "full").select(*cols)
 
 
+#: Words that are broadcast at most: some 10 MB.
+MAX_WORDS = 200_000
+
+
+def _few(words: DataFrame) -> DataFrame:
+    """Words, to be broadcast where they are few enough."""
+    return F.broadcast(words) if words.limit(MAX_WORDS + 1).count() <= MAX_WORDS else words
+
+
 def tiered_search(tiers: DataFrame, corpus: DataFrame, hits: int, entity: str = "item_id", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """First tier with a hit for each entity and its first ``hits`` documents; entities without any get one row of NULLs.
 
-    A phrase hits a document that contains it.  The longest word inside a phrase (not at its edges, where it may be part
-    of a longer word) meets the words of the documents in an equi join, and ``contains`` settles what meets; only phrases
-    without such a word are compared with every document, and they are few and broadcast.
+    A phrase hits a document that contains it; a phrase without a word hits none.  A phrase is looked up by one word: of
+    the words inside it (not at its edges, where they may be parts of longer words) by the one that the fewest documents
+    have; where there is none, by each word of the corpus that its longer edge may be a part of.  All joins are equi joins,
+    the rarest words come first, and ``contains`` settles what meets.
     """
-    words = F.filter(F.split("phrase", r"\s+"), lambda w: w != "")
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    phrases = tiers.withColumn("word", longest).withColumn("phrase", F.col("phrase"))
     docs = corpus.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
-    listed = phrases.where(F.col("word").isNotNull())
-    wanted = listed.select("word").distinct()
-    met = docs.select("doc_id", F.explode(F.array_distinct(F.split("body", r"\s+"))).alias("word")).join(wanted, "word")
-    by_word = listed.join(met, "word").select(entity, "tier", "phrase", "doc_id").join(docs, "doc_id").where(F.contains("body", "phrase"))
-    short = phrases.where(F.col("word").isNull() & F.col("phrase").isNotNull()).select(entity, "tier", "phrase")
-    found = by_word.select(entity, "tier", "doc_id").unionByName(
-        docs.join(F.broadcast(short), F.contains("body", "phrase")).select(entity, "tier", "doc_id")
-    )
+    in_docs = docs.select("doc_id", F.explode(F.array_distinct(F.split("body", r"\s+"))).alias("word")).where("word <> ''")
+
+    words = F.filter(F.split("phrase", r"\s+"), lambda w: w != "")
+    size = F.size(words)
+    phrases = tiers.select(entity, "tier", "phrase", words.alias("words")).where(size > 0)
+    inner = phrases.where(size > 2).select(entity, "tier", "phrase", F.explode(F.array_distinct(F.slice("words", 2, size - 2))).alias("word"))
+    sought = inner.select("word").distinct()
+    counts = in_docs.join(_few(sought), "word").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = inner.join(counts, "word", "left").groupBy(entity, "tier", "phrase").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+
+    first, last = F.element_at("words", 1), F.element_at("words", -1)
+    side = F.when(F.size("words") == 1, "any").when(F.length(first) >= F.length(last), "end").otherwise("start")
+    edges = phrases.where(F.size("words") <= 2).select(entity, "tier", "phrase", side.alias("side"), F.when(side == "start", last).otherwise(first).alias("edge"))
+    lengths = edges.groupBy("side").agg(F.collect_set(F.length("edge")).alias("lengths"))  # three rows
+    of = in_docs.select("word").distinct().join(F.broadcast(lengths))
+    starts = lambda n: F.when(F.col("side") == "start", F.array(F.lit(1))).when(F.col("side") == "end", F.array(F.length("word") - n + 1)).otherwise(F.sequence(F.lit(1), F.length("word") - n + 1))
+    fitting = F.filter("lengths", lambda n: n <= F.length("word"))
+    parts = F.flatten(F.transform(fitting, lambda n: F.transform(starts(n), lambda k: F.substring(F.col("word"), k, n))))
+    around = of.select("word", "side", F.explode(F.array_distinct(parts)).alias("edge")).join(edges.select("side", "edge").distinct(), ["side", "edge"])
+    listed = rarest.unionByName(edges.join(around, ["side", "edge"]).select(entity, "tier", "phrase", "word")).persist()  # small, and read twice
+    met = in_docs.join(_few(listed.select("word").distinct()), "word")
+    found = met.join(listed, "word").select(entity, "tier", "phrase", "doc_id").join(docs, "doc_id").where(F.contains("body", "phrase"))
+    found = found.select(entity, "tier", "doc_id").distinct()
     best = Window.partitionBy(entity).orderBy("tier", "doc_id")
-    first = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= hits)
-    first = first.withColumn("__t", F.min("tier").over(Window.partitionBy(entity))).where(F.col("tier") == F.col("__t")).drop("__t")
+    chosen = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= hits)
+    chosen = chosen.withColumn("__t", F.min("tier").over(Window.partitionBy(entity))).where(F.col("tier") == F.col("__t")).drop("__t")
     everyone = tiers.select(entity).distinct()
     flag = F.when(F.col("tier").isNull(), "search.exhausted").when(F.col("tier") > 1, "search.broadened")
-    return everyone.join(first, entity, "left").select(entity, "tier", "doc_id", "nth", flag.alias("flag"))
+    return everyone.join(chosen, entity, "left").select(entity, "tier", "doc_id", "nth", flag.alias("flag"))
 
 
 PROMPT = (
@@ -116,6 +138,22 @@ PROMPT = (
 )
 
 
+def assemble(changed: DataFrame, routed: DataFrame, enrichment: DataFrame, key: str = "input_seq") -> DataFrame:
+    """One entry for each observation: its status, changes and price drop, its enrichment, and whether that was reused.
+
+    ``changed`` comes from ``change_status``, ``routed`` (by ``key``) from ``enrichment_route``.  Colliding entries get no
+    enrichment, as it belongs to another listing, and a flag that says so.
+    """
+    routes = routed.select(F.col(key).alias("__key"), "route")
+    stored = enrichment.select(F.col("listing_key").alias("__stored"), "narrative")
+    rows = changed.join(routes, F.col(key) == F.col("__key"), "left").join(stored, F.col("listing_key") == F.col("__stored"), "left")
+    collides = F.col("status") == "collision"
+    return rows.withColumns({
+        "narrative": F.when(~collides, F.col("narrative")), "enrichment_reused": F.coalesce(F.col("route").isin("reuse", "deferred"), F.lit(False)),
+        "entry_flags": F.when(collides, F.array(F.lit("enrichment.skipped_collision"))).otherwise(F.array().cast("array<string>")),
+    }).drop("__key", "__stored", "route")
+
+
 def prompts(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Adds ``prompt``; fields that are null stay visible in it."""
     shown = F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false"})

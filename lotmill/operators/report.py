@@ -17,7 +17,7 @@ def location_route(rows: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     state = F.coalesce(F.lower("state").isin([s.lower() for s in params.included_states]), F.lit(False))
     place = F.lower("location")
-    word = F.coalesce(F.greatest(*[place.contains(k) for k in params.included_keywords]), F.lit(False))
+    word = F.coalesce(F.exists(F.array(*[F.lit(k) for k in params.included_keywords]).cast("array<string>"), lambda k: F.contains(place, k)), F.lit(False))
     return rows.withColumn(
         "route", F.when(empty("location") & empty("state"), "unknown_location").when(state | word, "kept").otherwise("other_location")
     )
@@ -76,9 +76,22 @@ def section_counts(sections: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.col(s).alias("n")) for s in SECTIONS])).alias("s")).select("s.*")
 
 
+LINKS = {"details_url": "details", "notice_url": "notice", "platform_url": "platform"}
+
+
 def listing_cards(rows: DataFrame) -> DataFrame:
-    """Facts of each listing as they are shown."""
+    """Facts of each listing as they are shown, with what changed, its flags and links.
+
+    Columns that the rows do not have (``state``, ``changes``, ``card_flags``, the links' urls) count as unknown or none.
+    """
+    has = set(rows.columns)
+    field = lambda c: F.col(c) if c in has else F.lit(None).cast("string")
+    links = [F.concat(F.lit(f"{label}: "), F.col(c)) for c, label in LINKS.items() if c in has]
+    lines = F.transform("changes", lambda c: F.concat(c["field"], F.lit(": "), c["old_value"], F.lit(" -> "), c["new_value"])) if "changes" in has else F.array().cast("array<string>")
     return rows.select(
+        F.coalesce(field("state"), F.lit("not stated in source data")).alias("state"), F.array_join(lines, "; ").alias("changes"),
+        F.array_join(F.col("card_flags") if "card_flags" in has else F.array().cast("array<string>"), "; ").alias("flags"),
+        F.coalesce(F.nullif(F.concat_ws(" | ", *links), F.lit("")), F.lit("no links yet")).alias("links"),
         "input_seq", currency(F.col("reserve_price")).alias("price"), F.coalesce("location", F.lit("not yet known")).alias("location"),
         show_date(F.col("auction_date")).alias("auction_date"), show_date(F.col("emd_due_date")).alias("emd_due_date"),
         F.coalesce("ip_name", F.lit("unknown")).alias("ip_name"), F.coalesce("nature_of_assets", F.lit("unknown")).alias("nature_of_assets"),
@@ -96,6 +109,22 @@ def run_summary(changed: DataFrame, routed: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b))
 
 
+def fetch_summary(gated: DataFrame) -> DataFrame:
+    """One row: sources that are fetched and those whose fields come from stored state, of rows with ``need_details`` and ``need_notice``."""
+    return gated.agg(*[
+        F.count_if(F.col(f"need_{s}") if fetched else ~F.col(f"need_{s}")).alias(f"{s}_{'fetched' if fetched else 'reused'}")
+        for s in ("details", "notice") for fetched in (True, False)
+    ])
+
+
+def filter_summary(rows: DataFrame) -> DataFrame:
+    """One row: listings by ``route``, and those that ``excluded`` keeps out; the counts of routes add up to the rows."""
+    return rows.agg(
+        *[F.count_if((F.col("route") == r) & ~F.col("excluded")).alias(r) for r in ("kept", "other_location", "unknown_location")],
+        F.count_if("excluded").alias("excluded"),
+    )
+
+
 def problem_lines(problems: DataFrame, most: int = 10) -> DataFrame:
     """The first problems, and how many more there are."""
     n = problems.agg(F.count("*").alias("n"))

@@ -47,7 +47,7 @@ def price_percentile(rows: DataFrame, batch: str | None = None, price: str = "re
 def location_score(rows: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Adds ``location_score`` and ``matched_region``, the first preferred region that the location names."""
     lower = F.lower("location")
-    region = F.coalesce(*[F.when(lower.contains(r.lower()), r) for r in params.preferred_regions])
+    region = F.coalesce(F.lit(None).cast("string"), *[F.when(lower.contains(r.lower()), r) for r in params.preferred_regions])
     return rows.withColumns({
         "matched_region": region, "location_score": F.lit(params.neutral) + F.when(region.isNotNull(), params.bonus).otherwise(0),
         "location_flag": F.when(blank(F.col("location")), "location.unknown"),

@@ -43,7 +43,11 @@ FORM_REQUIRED = ("cin", "emd_amount_raw", "location_raw", "nature_of_assets_pdf"
 
 # Area figures in free text.
 AREA = r"([\d,]+\.?\d*)\s*(sq\.?\s*(?:ft|feet|mtrs?|meters?|metres?|m)\.?|acres?|hectares?|guntas?|cents?)\b"
+#: Square feet of a unit, in the order in which units are tried: by how they begin, then by what they contain.
 SQFT = {"acre": 43560.0, "hectare": 107639.0, "gunta": 1089.0, "cent": 435.6, "m": 10.7639}
+NUMBER = r"[\d,]+\.?\d*"
+FEET = ("ft", "feet")
+BEGINS = ("acre", "hectare", "gunta", "cent")
 
 # State names and their spellings, in the order in which they are tried.
 STATES = [
@@ -130,6 +134,8 @@ LAND_CLASSES = [
     ("residential", r"(?i)\bresidential\b"),
     ("commercial", r"(?i)\bcommercial\b"),
 ]
+#: Phrases that tell of possession.
+POSSESSION = {"physical": r"(?i)\bphysical possession\b", "symbolic": r"(?i)\bsymbolic possession\b"}
 POSSESSION_SCORES = {"physical": 100, "symbolic": 40, None: 50}
 
 # What keeps a listing out of the report, and where reported listings lie.
@@ -150,11 +156,9 @@ NARRATIVE_KEYS = ("summary", "price_read", "risk_notes", "data_gaps")
 class Params:
     """What a user of the engine may set."""
 
-    preferred_regions: tuple[str, ...] = ("Delhi", "Rajpura", "Madhya Pradesh")
-    included_states: tuple[str, ...] = ("Jharkhand", "Gujarat", "Odisha")
-    included_keywords: tuple[str, ...] = (
-        "delhi", "gurugram", "gurgaon", "noida", "ghaziabad", "faridabad", "rajpura", "sikandrabad", "sikandarabad",
-    )
+    preferred_regions: tuple[str, ...] = ()
+    included_states: tuple[str, ...] = ()
+    included_keywords: tuple[str, ...] = ()
     preferred_land_classes: tuple[str, ...] = ()
     min_plot_sqft: float | None = None
     neutral: int = 50

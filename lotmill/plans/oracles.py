@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.enrich import PROMPT
 from ..params import HEADER_FIELDS, IDENTITY, PLATE, PROXY, REGIONS, REGISTRAR_STATES, SECTIONS, SQFT, STATUSES, TRACKED, VEHICLES
 from ..sources.views import duckdb_view
 
@@ -183,6 +184,21 @@ RAW_DATE = """raws AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orde
 RAW_AMOUNT = "raws AS (SELECT o_orderkey, o_orderkey % 4 AS k, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS n FROM orders)"
 MISSING = "; ".join(sorted(f for f in HEADER_FIELDS.values() if f == list(HEADER_FIELDS.values())[6]))
 
+EXCLUDED = f"(regexp_matches(nature_of_assets, '{VEHICLE}') OR regexp_matches(nature_of_assets, '{PLATE}'))"
+ROUTE = f"""CASE WHEN coalesce(location, '') = '' AND coalesce(named[1], '') = '' THEN 'unknown_location'
+        WHEN lower(named[1]) IN ({', '.join(f"'{s.lower()}'" for s in PROXY.included_states)}) OR {' OR '.join(f"contains(lower(location), '{k}')" for k in PROXY.included_keywords)} THEN 'kept' ELSE 'other_location' END"""
+POSSESSION_FLAGS = """CASE WHEN p_both THEN 'possession.ambiguous' END, CASE WHEN p_none THEN 'possession.none' END, CASE WHEN notice_text IS NULL THEN 'possession.no_text' END,
+        CASE WHEN land_classification IS NULL THEN 'land.none' END, CASE WHEN land_classification IS NOT NULL AND notice_text IS NULL THEN 'land.from_assets' END"""
+LOCATION_FLAG = "CASE WHEN location IS NULL THEN 'location.unknown' END"
+SCORE_FLAGS = f"concat_ws('; ', {PRICE_FLAG}, {LOCATION_FLAG}, {POSSESSION_FLAGS})"
+HREF = """(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)"""
+PLAIN = "replace(replace(replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', ''''), '&amp;', '&')"
+JSON_FIELDS = ("corporate_debtor", "notice_type", "ip_name", "auction_date", "emd_due_date", "reserve_price", "nature_of_assets", "location")
+AS_JSON = "'{' || " + " || ',' || ".join(
+    f"'\"{f}\":' || coalesce(" + (f"CAST({f} AS VARCHAR)" if f == "reserve_price" else f"CAST(to_json(CAST({f} AS VARCHAR)) AS VARCHAR)") + ", 'null')" for f in JSON_FIELDS
+) + " || '}'"
+BEFORE, AFTER = (part.replace("'", "''") for part in PROMPT.split("%s"))
+
 ORACLES = {
     "price_percentile": with_views("v_listings") + f"SELECT input_seq, batch_date, reserve_price, {percentile('batch_date')} AS price_score, {PRICE_FLAG} AS price_flag FROM v_listings",
     "price_percentile_global": with_views("v_listings") + f"SELECT input_seq, reserve_price, {percentile('1')} AS price_score, {PRICE_FLAG} AS price_flag FROM (SELECT * FROM v_listings)",
@@ -210,7 +226,9 @@ ORACLES = {
     ),
     "price_drops": with_views("v_snapshots", folded("c")) + "SELECT input_seq, listing_key, reserve_price FROM c WHERE price_drop",
     "collision_detect": with_views("v_snapshots", folded("c")) + """SELECT input_seq, listing_key, '{"corporate_debtor":"' || corporate_debtor || '","ip_name":"' || ip_name || '"}' AS incoming FROM c WHERE status = 'collision'""",
-    "listing_state_final": with_views("v_snapshots", folded("c"), final("s", "c")) + f"SELECT listing_key, corporate_debtor, ip_name, {', '.join(TRACKED)}, details_parsed, first_seen, last_seen, last_changed, observations FROM s",
+    "listing_state_final": with_views("v_snapshots", folded("c"), final("s", "c")) + f"""SELECT s.listing_key, s.corporate_debtor, s.ip_name, {', '.join(f's.{t}' for t in TRACKED)}, s.details_parsed, first_seen, last_seen, last_changed, observations,
+        '{{"corporate_debtor":"' || m.corporate_debtor || '","auction_date":"' || CAST(m.auction_date AS VARCHAR) || '","reserve_price":' || coalesce(CAST(m.reserve_price AS VARCHAR), 'null') || '}}' AS raw_json
+        FROM s JOIN (SELECT * FROM c WHERE status IN ('new', 'changed') QUALIFY row_number() OVER (PARTITION BY listing_key ORDER BY run_date DESC, input_seq DESC) = 1) m USING (listing_key)""",
     "status_summary": with_views("v_snapshots", folded("c")) + zero_filled(STATUSES, "status", "c"),
     "page_dedup": with_views("v_paged_rows") + """SELECT page, row_idx, debtor, row_number() OVER (
         PARTITION BY CASE WHEN details_url <> '' THEN 'u:' || details_url ELSE 'f:' || debtor || ':' || price_raw END ORDER BY page, row_idx) = 1 AS kept FROM v_paged_rows""",
@@ -251,16 +269,25 @@ ORACLES = {
         CASE WHEN f.listing_key IS NOT NULL THEN f.details_parsed ELSE e.details_at_enrich END AS details_at_enrich,
         CASE WHEN f.listing_key IS NOT NULL THEN f.notice_parsed ELSE e.notice_at_enrich END AS notice_at_enrich
         FROM enrichment e FULL JOIN fresh f ON e.listing_key = f.listing_key""",
-    "location_route": with_views("v_listings", LOCATED) + f"""SELECT input_seq, named[1] AS state, CASE WHEN coalesce(location, '') = '' AND coalesce(named[1], '') = '' THEN 'unknown_location'
-        WHEN lower(named[1]) IN ({', '.join(f"'{s.lower()}'" for s in PROXY.included_states)}) OR {' OR '.join(f"contains(lower(location), '{k}')" for k in PROXY.included_keywords)} THEN 'kept' ELSE 'other_location' END AS route FROM located""",
-    "asset_exclusion": with_views("v_listings") + f"SELECT input_seq, regexp_matches(nature_of_assets, '{VEHICLE}') OR regexp_matches(nature_of_assets, '{PLATE}') AS excluded FROM v_listings",
+    "location_route": with_views("v_listings", LOCATED) + f"SELECT input_seq, named[1] AS state, {ROUTE} AS route FROM located",
+    "asset_exclusion": with_views("v_listings") + f"SELECT input_seq, {EXCLUDED} AS excluded FROM v_listings",
     "report_sections": with_views(*SECTIONED) + "SELECT section, CAST(nth AS INT) AS nth, input_seq FROM sections",
     "report_counts": with_views(*SECTIONED) + zero_filled(SECTIONS, "section", "sections"),
     "run_summary": with_views("v_snapshots", *ROUTES, folded("c")) + """SELECT * FROM
         (SELECT CAST(count_if(status = 'new') AS BIGINT) AS n_new, CAST(count_if(status = 'changed') AS BIGINT) AS n_changed, CAST(count_if(status = 'unchanged') AS BIGINT) AS n_unchanged, CAST(count_if(status = 'collision') AS BIGINT) AS n_collision FROM c),
         (SELECT CAST(count_if(route = 'reenrich') AS BIGINT) AS reenriched, CAST(count_if(route IN ('reuse', 'deferred')) AS BIGINT) AS reused, CAST(count_if(route = 'deferred') AS BIGINT) AS deferred, CAST(count_if(route = 'collision') AS BIGINT) AS skipped_collision FROM capped)""",
-    "listing_cards": with_views("v_listings", *SCORED) + f"""SELECT input_seq, {currency('reserve_price')} AS price, coalesce(location, 'not yet known') AS location, {SHOWN.format(c='auction_date')} AS auction_date,
-        {SHOWN.format(c='emd_due_date')} AS emd_due_date, ip_name, nature_of_assets, coalesce(CAST(CAST(combined AS DECIMAL(9,1)) AS VARCHAR), 'no score') AS score FROM scored""",
+    "listing_cards": with_views("v_listings", *SCORED, f"located AS (SELECT *, list_filter({NAMED}, lambda x: x IS NOT NULL) AS named FROM scored)")
+    + f"""SELECT coalesce(named[1], 'not stated in source data') AS state, CASE WHEN input_seq % 8 = 1 THEN 'reserve_price: 1 -> ' || coalesce(CAST(reserve_price AS VARCHAR), '') ELSE '' END AS changes,
+        {SCORE_FLAGS} AS flags, coalesce(nullif(concat_ws(' | ', CASE WHEN input_seq % 3 = 0 THEN 'details: /d/' || input_seq END, CASE WHEN input_seq % 2 = 0 THEN 'notice: /n/' || input_seq END), ''), 'no links yet') AS links,
+        input_seq, {currency('reserve_price')} AS price, coalesce(location, 'not yet known') AS location, {SHOWN.format(c='auction_date')} AS auction_date,
+        {SHOWN.format(c='emd_due_date')} AS emd_due_date, ip_name, nature_of_assets, coalesce(CAST(CAST(combined AS DECIMAL(9,1)) AS VARCHAR), 'no score') AS score FROM located""",
+    "fetch_summary": with_views("v_snapshots", *STATE, LATE, PREVIEW) + "SELECT " + ", ".join(
+        f"CAST(count_if({'' if fetched else 'NOT '}({FRESH} OR NOT coalesce(old_{s}, FALSE))) AS BIGINT) AS {s}_{'fetched' if fetched else 'reused'}" for s in ("details", "notice") for fetched in (True, False)
+    ) + " FROM preview",
+    "filter_summary": with_views("v_listings", LOCATED, f"routes AS (SELECT {EXCLUDED} AS excluded, {ROUTE} AS route FROM located)") + "SELECT "
+    + ", ".join(f"CAST(count_if(route = '{r}' AND NOT excluded) AS BIGINT) AS {r}" for r in ("kept", "other_location", "unknown_location")) + ", CAST(count_if(excluded) AS BIGINT) AS excluded FROM routes",
+    "problem_lines": with_views("v_listings", f"p AS (SELECT input_seq, input_seq || ' ' || {PRICE_FLAG} AS reason FROM v_listings WHERE {PRICE_FLAG} IS NOT NULL)")
+    + "SELECT string_agg(reason, '; ' ORDER BY input_seq) FILTER (n <= 10) AS first, CAST(greatest(count(*) - 10, 0) AS BIGINT) AS more FROM (SELECT *, row_number() OVER (ORDER BY input_seq) AS n FROM p)",
     "coverage_profile": with_views("v_listings", NOTICE, POSSESSED, MENTIONS, PLOTS) + """SELECT count(*) AS n_rows, count(p.cin) AS with_cin, count(p.location) AS with_location, count(nullif(p.reserve_price, 0)) AS with_price,
         count(possession_status) AS with_possession, count(plot_sqft) AS with_plot FROM possessed p JOIN plotted USING (input_seq)""",
     "tiered_search": with_views("v_tiers", """found AS (SELECT t.item_id, t.tier, d.doc_id FROM v_tiers t JOIN documents d ON contains(d.text, t.phrase)),
@@ -272,13 +299,32 @@ best AS (
     + """SELECT input_seq, 0 AS tier, q || coalesce(' ' || l, '') || t AS phrase FROM q UNION ALL SELECT input_seq, 1, q || ' ' || l FROM q WHERE l IS NOT NULL
         UNION ALL SELECT input_seq, CASE WHEN l IS NULL THEN 1 ELSE 2 END, q FROM q UNION ALL SELECT input_seq, CASE WHEN l IS NULL THEN 2 ELSE 3 END, n FROM q""",
     "json_props_parse": "SELECT event_id, array_to_string(list_sort(json_keys(props)), ',') AS keys, array_to_string(list_transform(json_keys(props), lambda k: json_extract_string(props, '$.' || k)), ',') AS first_values FROM events",
-    "page_links": r"""SELECT page_id, CAST(nth AS INT) - 1 AS nth, CASE WHEN href = '' OR href LIKE 'javascript%' THEN NULL WHEN href LIKE 'http%' THEN href ELSE 'https://listings.example' || href END AS url FROM (
-        SELECT page_id, generate_subscripts(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1), 1) AS nth, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)""",
+    "page_links": f"""SELECT *, CASE WHEN url IS NULL THEN 'link.unusable' END AS flag FROM (
+        SELECT page_id, CAST(nth AS INT) - 1 AS nth, CASE WHEN href = '' OR href LIKE 'javascript%' THEN NULL WHEN href LIKE 'http%' THEN href ELSE 'https://listings.example' || href END AS url FROM (
+        SELECT page_id, nth, trim(raw, '"''') AS href FROM (
+        SELECT page_id, generate_subscripts(regexp_extract_all(html, '{HREF}', 1), 1) AS nth, unnest(regexp_extract_all(html, '{HREF}', 1)) AS raw FROM pages)))""",
     "teaser_collapse": with_views("v_listings") + "SELECT input_seq, CASE WHEN input_seq % 3 = 2 THEN 'Other ... | ' || trim(nature_of_assets) ELSE trim(nature_of_assets) END AS text, input_seq % 3 = 2 AS uncertain FROM v_listings",
     "html_table_roundtrip": with_views("v_listings") + """SELECT input_seq, notice_type, auction_date, notice_date, corporate_debtor, ip_name, reserve_price, nature_of_assets,
-        'https://listings.example/n/' || CAST(input_seq AS VARCHAR) || '.pdf' AS notice_url FROM v_listings""",
+        'https://listings.example/n/' || CAST(input_seq AS VARCHAR) || '.pdf' AS notice_url, CASE WHEN NOT cut THEN 'https://listings.example/d/' || CAST(input_seq AS VARCHAR) || '.pdf' END AS details_url,
+        CASE WHEN cut THEN 'cell.missing.details_pdf_url' ELSE '' END AS flags
+        FROM (SELECT *, input_seq % 50 = 1 AND date_diff('day', DATE '1990-01-01', notice_date) % 2 = 0 AS cut FROM v_listings)""",
     "malformed_row_reject": with_views("v_listings") + """SELECT CAST(date_diff('day', DATE '1990-01-01', notice_date) AS INT) AS page, CASE WHEN input_seq % 50 = 0 THEN 'row.too_few_cells' ELSE 'good' END AS kind, count(*) AS n
         FROM v_listings GROUP BY 1, 2""",
     "header_mapping": "SELECT CAST(page_id AS BIGINT) AS page, CAST(k AS INT) AS col_idx, ["
     + ", ".join(f"'{f}'" for f in HEADER_FIELDS.values()) + f"][k + 1] AS field, CASE WHEN page_id % 10 = 3 THEN '{MISSING}' ELSE '' END AS missing FROM pages, range({len(HEADER_FIELDS)}) r(k) WHERE page_id % 10 <> 3 OR k <> 6",
+    "prompt_build": with_views("v_listings") + f"SELECT input_seq, '{BEFORE}' || {AS_JSON} || '{AFTER}' AS prompt FROM v_listings",
+    "response_parse": with_views("v_listings") + """SELECT input_seq, CASE WHEN input_seq % 4 < 3 THEN corporate_debtor END AS summary, CASE WHEN input_seq % 4 < 2 THEN 1 END AS n_risks,
+        CASE input_seq % 4 WHEN 2 THEN 'narrative.missing.risk_notes; narrative.missing.data_gaps' WHEN 3 THEN 'narrative.unparseable' ELSE '' END AS flags FROM v_listings""",
+    "result_blocks": f"""SELECT page_id, CAST(nth AS INT) AS nth, title, url, 'About ' || title AS snippet FROM (
+        SELECT page_id, url, trim(regexp_replace({PLAIN.format(c="regexp_extract(html, '<title>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')) AS title FROM pages), range(3) r(nth)
+        WHERE title <> '' AND (nth <> 1 OR page_id % 2 = 1)""",
+    "assembled": with_views("v_listings", *SCORED, "v_registry", REGISTRY, f"asked AS (SELECT *, {CIN} AS number, {STATE_OF} AS registry_state FROM scored)")
+    + f"""SELECT input_seq, reserve_price, location, score_a, score_b, score_c, combined, company_name, company_status, paidup_capital,
+        concat_ws('; ', {PRICE_FLAG}, {LOCATION_FLAG}, CASE WHEN number IS NULL THEN 'registry.no_cin' WHEN registry_state IS NULL THEN 'registry.unmapped_code' WHEN registry_state = 'goa' THEN 'registry.file_absent'
+        WHEN l.cin IS NULL THEN 'registry.no_match' END, {POSSESSION_FLAGS}) AS flags FROM asked LEFT JOIN lasts l ON l.state = registry_state AND l.cin = number AND registry_state <> 'goa'""",
+    "assembled_entries": with_views("v_snapshots", *ROUTES, folded("c")) + f"""SELECT c.input_seq, c.listing_key, c.status, c.price_drop,
+        CASE WHEN c.status = 'changed' THEN concat_ws('; ', {', '.join(f"CASE WHEN c.prev[{k}] <> c.tracked[{k}] THEN '{t} ' || c.prev[{k}] || ' ' || c.tracked[{k}] END" for k, t in enumerate(TRACKED, 1))}) ELSE '' END AS changes,
+        CASE WHEN c.status <> 'collision' THEN e.narrative END AS narrative, r.route = 'reuse' AS enrichment_reused,
+        CASE WHEN c.status = 'collision' THEN 'enrichment.skipped_collision' ELSE '' END AS flags
+        FROM c JOIN routed r ON c.input_seq = r.input_seq LEFT JOIN enrichment e ON c.listing_key = e.listing_key WHERE c.run_date > {SPLIT}""",
 }

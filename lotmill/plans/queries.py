@@ -165,8 +165,8 @@ def collision_detect(spark, sf_dir):
 
 @query
 def listing_state_final(spark, sf_dir):
-    rows = changes.final_state(_changed(spark, sf_dir), ORDER, "run_date", ["details_parsed"])
-    return rows.select("listing_key", "corporate_debtor", "ip_name", *TRACKED, "details_parsed", "first_seen", "last_seen", "last_changed", "observations")
+    rows = changes.final_state(_changed(spark, sf_dir), ORDER, "run_date", ["details_parsed"], ["corporate_debtor", "auction_date", "reserve_price"])
+    return rows.select("listing_key", "corporate_debtor", "ip_name", *TRACKED, "details_parsed", "first_seen", "last_seen", "last_changed", "observations", "raw_json")
 
 
 @query
@@ -317,19 +317,19 @@ def field_reuse(spark, sf_dir):
     return rows.select("input_seq", "location", "details_parsed", F.col("need_details_reused").alias("reused"))
 
 
-def _enrichment(spark, sf_dir):
+def _enrichment(state):
     """Stored enrichment of two thirds of the known listings."""
-    state = _state(spark, sf_dir).where("length(ip_name || corporate_debtor) % 3 <> 0")
-    return state.select(
+    return state.where("length(ip_name || corporate_debtor) % 3 <> 0").select(
         "listing_key", F.concat(F.lit("narrative of "), F.col("corporate_debtor")).alias("narrative"), F.lit(None).cast("string").alias("registry"),
         F.col("last_seen").alias("narrative_at"), F.lit(None).cast("date").alias("registry_at"), F.lit(True).alias("narrative_attempted"),
         F.lit(False).alias("registry_attempted"), F.col("details_parsed").alias("details_at_enrich"), F.col("notice_parsed").alias("notice_at_enrich"),
     )
 
 
-def _routed(spark, sf_dir):
-    rows = changes.preview(_late(spark, sf_dir), _state(spark, sf_dir)).withColumn("notice_parsed", F.col("input_seq") % 3 == 0)
-    return enrich.enrichment_route(rows, _enrichment(spark, sf_dir))
+def _routed(spark, sf_dir, state=None):
+    state = _state(spark, sf_dir) if state is None else state
+    rows = changes.preview(_late(spark, sf_dir), state).withColumn("notice_parsed", F.col("input_seq") % 3 == 0)
+    return enrich.enrichment_route(rows, _enrichment(state))
 
 
 @query
@@ -345,11 +345,12 @@ def enrichment_cap(spark, sf_dir):
 @query
 def enrichment_merge(spark, sf_dir):
     last = Window.partitionBy("listing_key").orderBy(F.col("input_seq").desc())
-    new = _routed(spark, sf_dir).where("route = 'reenrich'").withColumn("n", F.row_number().over(last)).where("n = 1").select(
+    state = _state(spark, sf_dir)
+    new = _routed(spark, sf_dir, state).where("route = 'reenrich'").withColumn("n", F.row_number().over(last)).where("n = 1").select(
         "listing_key", F.when(F.col("input_seq") % 2 == 0, F.lit("fresh narrative")).alias("narrative"), F.concat(F.lit("registry "), F.col("input_seq").cast("string")).alias("registry"),
         "details_parsed", "notice_parsed",
     )
-    return enrich.merge_enrichment(_enrichment(spark, sf_dir), new, ["narrative", "registry"], F.expr("DATE '2024-02-01'"))
+    return enrich.merge_enrichment(_enrichment(state), new, ["narrative", "registry"], F.expr("DATE '2024-02-01'"))
 
 
 def _located(spark, sf_dir):
@@ -388,7 +389,34 @@ def run_summary(spark, sf_dir):
 
 @query
 def listing_cards(spark, sf_dir):
-    return report.listing_cards(scored(spark, sf_dir))
+    rows = scored(spark, sf_dir).withColumn("state", T.state_of(F.col("location"), REGIONS)["state"])
+    k, price = F.col("input_seq"), F.coalesce(F.col("reserve_price").cast("string"), F.lit(""))
+    change = F.struct(F.lit("reserve_price").alias("field"), F.lit("1").alias("old_value"), price.alias("new_value"))
+    rows = rows.withColumns({
+        "changes": F.when(k % 8 == 1, F.array(change)).otherwise(F.array().cast("array<struct<field: string, old_value: string, new_value: string>>")),
+        "card_flags": F.concat(T.flags(F.col("price_flag"), F.col("location_flag")), F.col("possession_flags")),
+        "details_url": F.when(k % 3 == 0, F.concat(F.lit("/d/"), k.cast("string"))), "notice_url": F.when(k % 2 == 0, F.concat(F.lit("/n/"), k.cast("string"))),
+    })
+    return report.listing_cards(rows)
+
+
+@query
+def fetch_summary(spark, sf_dir):
+    state = _state(spark, sf_dir)
+    return report.fetch_summary(enrich.refetch_gate(changes.preview(_late(spark, sf_dir), state), state))
+
+
+@query
+def filter_summary(spark, sf_dir):
+    return report.filter_summary(report.asset_exclusion(report.location_route(_located(spark, sf_dir), PROXY)))
+
+
+@query
+def problem_lines(spark, sf_dir):
+    """Listings whose price says nothing, as the problems of a run."""
+    rows = scoring.price_percentile(listings(spark, sf_dir)).where("price_flag IS NOT NULL")
+    problems = rows.select(F.col("input_seq").alias("seq"), F.concat(F.col("input_seq").cast("string"), F.lit(" "), F.col("price_flag")).alias("reason"))
+    return report.problem_lines(problems).select(joined("first").alias("first"), "more")
 
 
 @query
@@ -416,7 +444,7 @@ def json_props_parse(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    return P.page_links(table(spark, sf_dir, "pages"), "https://listings.example").select("page_id", "nth", "url")
+    return P.page_links(table(spark, sf_dir, "pages"), "https://listings.example").select("page_id", "nth", "url", "flag")
 
 
 @query
@@ -429,8 +457,11 @@ def teaser_collapse(spark, sf_dir):
 HEADERS = list(HEADER_FIELDS)
 
 
-def _tables(spark, sf_dir, short: bool = False):
-    """Listings rendered as HTML pages of one table each, a page for each day."""
+def _tables(spark, sf_dir, short: bool = False, vary: bool = False):
+    """Listings rendered as HTML pages of one table each, a page for each day.
+
+    ``vary``: columns of odd pages stand in reverse order, and some rows of even pages lack their last cell.
+    """
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     show = lambda c: F.coalesce(F.date_format(c, "dd-MM-yyyy"), F.lit(""))
     link = lambda p: F.concat(F.lit(f'<a href="/{p}/'), F.col("input_seq").cast("string"), F.lit('.pdf">PDF</a>'))
@@ -439,26 +470,33 @@ def _tables(spark, sf_dir, short: bool = False):
         F.coalesce(F.col("reserve_price").cast("string"), F.lit("")), F.col("nature_of_assets"), show(F.col("emd_due_date")), link("d"),
     ]
     cells = [v if k in (5, 9) else esc(v) for k, v in enumerate(values)]
-    row = F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *cells), F.lit("</td></tr>"))
+    page = F.datediff("notice_date", F.lit("1990-01-01").cast("date"))
+    tr = lambda part: F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *part), F.lit("</td></tr>"))
+    row = tr(cells)
+    if vary:
+        row = F.when(page % 2 == 1, tr(cells[::-1])).when(F.col("input_seq") % 50 == 1, tr(cells[:-1])).otherwise(row)
     if short:
         row = F.when(F.col("input_seq") % 50 == 0, F.concat(F.lit("<tr><td>cut "), F.col("input_seq").cast("string"), F.lit("</td></tr>"))).otherwise(row)
-    head = F.lit("<table><tr>" + "".join(f"<th>{h.title()}</th>" for h in HEADERS) + "</tr>")
-    rows = listings(spark, sf_dir).withColumn("page", F.datediff("notice_date", F.lit("1990-01-01").cast("date"))).withColumn("row", F.struct("input_seq", row.alias("html")))
+    heads = lambda names: F.lit("<table><tr>" + "".join(f"<th>{h.title()}</th>" for h in names) + "</tr>")
+    head = F.when(F.col("page") % 2 == 1, heads(HEADERS[::-1])).otherwise(heads(HEADERS)) if vary else heads(HEADERS)
+    rows = listings(spark, sf_dir).withColumn("page", page).withColumn("row", F.struct("input_seq", row.alias("html")))
     body = F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda r: r["html"]), "")
     return rows.groupBy("page").agg(F.concat(F.lit("<table><tr><td>menu</td></tr></table>"), head, body, F.lit("</table>")).alias("html"))
 
 
 @query
 def html_table_roundtrip(spark, sf_dir):
-    good, _ = P.split_rows(P.extract_rows(_tables(spark, sf_dir)))
-    at = {field: k + 1 for k, field in enumerate(HEADER_FIELDS.values())}
-    text = lambda f: F.element_at("cells", at[f])["text"]
+    """Rendered tables read back by each page's own header."""
+    good, _ = P.split_rows(P.extract_rows(_tables(spark, sf_dir, vary=True)))
+    good = P.records(good, list(HEADER_FIELDS.values()))
+    text = lambda f: F.col(f)["text"]
     day = lambda f: T.parse_date(text(f))
+    link = lambda f: T.absolute_link(F.col(f)["href"], "https://listings.example")
     return good.select(
-        F.regexp_extract(F.element_at("cells", at["details_pdf_url"])["href"], r"(\d+)", 1).cast("bigint").alias("input_seq"), text("notice_type").alias("notice_type"),
+        F.regexp_extract(F.col("notice_pdf_url")["href"], r"(\d+)", 1).cast("bigint").alias("input_seq"), text("notice_type").alias("notice_type"),
         day("auction_date").alias("auction_date"), day("notice_date").alias("notice_date"), text("corporate_debtor").alias("corporate_debtor"), text("ip_name").alias("ip_name"),
         T.parse_amount(text("reserve_price_raw")).alias("reserve_price"), text("nature_of_assets").alias("nature_of_assets"),
-        T.absolute_link(F.element_at("cells", at["notice_pdf_url"])["href"], "https://listings.example").alias("notice_url"),
+        link("notice_pdf_url").alias("notice_url"), link("details_pdf_url").alias("details_url"), joined("cell_flags").alias("flags"),
     )
 
 
@@ -499,20 +537,24 @@ def response_parse(spark, sf_dir):
 def result_blocks(spark, sf_dir):
     """Result pages rendered from the landed pages, one for each address."""
     host, title = F.col("url"), F.regexp_extract("html", r"<title>(.*?)</title>", 1)
-    block = F.concat(F.lit('<div class="result"><a href="'), host, F.lit('">'), title, F.lit('</a><p class="snippet">'), F.substring(title, 1, 20), F.lit("</p></div>"))
-    blank = F.lit('<div class="result"><a href="x"> </a></div>')
+    block = F.concat(F.lit('<div class="result"><div class=head><a href="'), host, F.lit('">'), title, F.lit('</a></div><p class="snippet">About '), title, F.lit("</p></div>"))
+    blank = F.lit('<div class="result"><div><a href="x"> </a></div></div>')
     rows = table(spark, sf_dir, "pages").withColumn("html", F.concat(F.lit("<html>"), block, F.when(F.col("page_id") % 2 == 0, blank).otherwise(block), block, block, F.lit("</html>")))
     return P.result_blocks(rows)
 
 
 @query
 def assembled(spark, sf_dir):
+    """Listings with their scores, their registry entry and all flags."""
     rows = R.lookup(scored(spark, sf_dir), _registry(spark, sf_dir), UNAVAILABLE)
-    flags = T.flags(F.col("price_flag"), F.col("location_flag"), F.concat(F.lit("registry."), F.col("miss_reason")))
-    return rows.select(
-        F.col("input_seq"), F.struct("corporate_debtor", "ip_name", "notice_type", "nature_of_assets", "reserve_price", "auction_date", "location").alias("raw"),
-        F.struct("score_a", "score_b", "score_c", "combined").alias("score"), F.struct("company_name", "company_status", "paidup_capital").alias("enrichment"),
-        F.concat(flags, "possession_flags", "plot_flags").alias("flags"),
-    )
+    flags = F.concat(T.flags(F.col("price_flag"), F.col("location_flag"), F.concat(F.lit("registry."), F.col("miss_reason"))), "possession_flags")
+    return rows.select("input_seq", "reserve_price", "location", "score_a", "score_b", "score_c", "combined", "company_name", "company_status", "paidup_capital", joined(flags).alias("flags"))
 
 
+@query
+def assembled_entries(spark, sf_dir):
+    """Later observations with status, changes, price drop and the enrichment that was stored before."""
+    state = _state(spark, sf_dir)
+    rows = enrich.assemble(changes.change_status(_late(spark, sf_dir), ORDER, state), _routed(spark, sf_dir, state), _enrichment(state))
+    shown = F.transform("changes", lambda c: F.concat_ws(" ", c["field"], c["old_value"], c["new_value"]))
+    return rows.select("input_seq", "listing_key", "status", "price_drop", joined(shown).alias("changes"), "narrative", "enrichment_reused", joined("entry_flags").alias("flags"))

@@ -6,13 +6,13 @@ from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import absolute_link
 from ..params import HEADER_FIELDS
 
-CELLS = "page int, row_idx int, is_header boolean, n_header int, cells array<struct<text string, href string, pieces array<string>>>"
+CELLS = "page int, row_idx int, is_header boolean, n_header int, headers array<string>, cells array<struct<text string, href string, pieces array<string>>>"
 
 
 class _Tables(HTMLParser):
@@ -61,20 +61,20 @@ def listing_table(html: str, marks: Sequence[str]) -> list[list[dict]] | None:
 
 
 def extract_rows(pages: DataFrame, marks: Sequence[str] = ("reserve price", "corporate debtor")) -> DataFrame:
-    """One row for each table row: page, row_idx, whether it is the header, cells.  Rows without cells are spacers."""
+    """One row for each table row: page, row_idx, whether it is the header, the header's texts, cells.  Rows without cells are spacers."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for page, html in zip(batch["page"], batch["html"]):
                 rows = listing_table(html or "", marks) or []
-                width = len(rows[0]) if rows else 0
+                headers = [" ".join(c["pieces"]) for c in rows[0]] if rows else []
                 for k, row in enumerate(rows):
                     cells = [c for c in row if k == 0 or c["tag"] == "td"]
                     if cells:
                         shown = [{"text": " ".join(c["pieces"]), "href": c["href"], "pieces": c["pieces"]} for c in cells]
-                        out.append((page, k, k == 0, width, shown))
-            yield pd.DataFrame(out, columns=["page", "row_idx", "is_header", "n_header", "cells"])
+                        out.append((page, k, k == 0, len(headers), headers, shown))
+            yield pd.DataFrame(out, columns=["page", "row_idx", "is_header", "n_header", "headers", "cells"])
 
     return pages.select("page", "html").mapInPandas(work, CELLS)
 
@@ -87,12 +87,28 @@ def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return body.where(~short), rejects
 
 
+def field_of(header: Column, fields: dict[str, str] | None = None) -> Column:
+    """Field of a header's text: that of the longest key that it contains."""
+    fields = fields or HEADER_FIELDS
+    return F.coalesce(*[F.when(F.lower(header).contains(k), fields[k]) for k in sorted(fields, key=len, reverse=True)])
+
+
 def header_mapping(headers: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
     """From (page, col_idx, header): the field of each column, by the longest key that the header contains."""
-    fields = fields or HEADER_FIELDS
-    keys = sorted(fields, key=len, reverse=True)
-    field = F.coalesce(*[F.when(F.lower("header").contains(k), fields[k]) for k in keys])
-    return headers.withColumn("field", field)
+    return headers.withColumn("field", field_of(F.col("header"), fields))
+
+
+def records(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Adds each field's cell (NULL where the row has none) and ``cell_flags``, by the page's own header.
+
+    Of columns with the same field the last one counts.  A row that is a cell short keeps what it has, with a flag.
+    """
+    rows = rows.withColumn("__f", F.transform("headers", lambda h: F.coalesce(field_of(h), F.lit(""))))
+    at = {f: F.size("__f") + 1 - F.array_position(F.reverse("__f"), f) for f in fields}  # beyond the header if it is not there
+    there = {f: F.array_contains("__f", f) for f in fields}
+    cells = {f: F.when(there[f], F.try_element_at("cells", at[f].cast("int"))) for f in fields}
+    short = [F.when(there[f] & (at[f] > F.size("cells")), f"cell.missing.{f}") for f in fields]
+    return rows.withColumns({**cells, "cell_flags": F.array_compact(F.array(*short))}).drop("__f")
 
 
 def missing_fields(mapped: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -101,18 +117,73 @@ def missing_fields(mapped: DataFrame, expected: Sequence[str]) -> DataFrame:
     return found.select("page", F.array_sort(F.array_except(F.array(*[F.lit(e) for e in expected]), "found")).alias("missing"))
 
 
+#: An address in double, single or no quotes; tags and attributes in any case.
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
 def page_links(pages: DataFrame, base_url: str, id_col: str = "page_id") -> DataFrame:
-    """Links of a page in order, absolute; NULL for scripts and empty ones."""
-    hrefs = F.regexp_extract_all("html", F.lit(r'<a\s[^>]*href="([^"]*)"'), 1)
-    return pages.select(id_col, F.posexplode(hrefs).alias("nth", "href")).withColumn("url", absolute_link(F.col("href"), base_url))
+    """Links of a page in order, absolute; NULL with a flag for scripts and empty ones."""
+    hrefs = F.transform(F.regexp_extract_all("html", F.lit(HREF), 1), lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
+    rows = pages.select(id_col, F.posexplode(hrefs).alias("nth", "href")).withColumn("url", absolute_link(F.col("href"), base_url))
+    return rows.withColumn("flag", F.when(F.col("url").isNull(), "link.unusable"))
+
+
+class _Results(HTMLParser):
+    """Blocks of search results: the first link and the snippet inside each ``div`` of class result, however nested."""
+
+    def __init__(self):
+        super().__init__()
+        self.blocks: list[dict] = []
+        self.depth = 0  # of open divs, from a block on
+        self.part: tuple[str, str, int] | None = None  # which text is read, the tag that ends it, and tags of its kind inside
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        classes = (attrs.get("class") or "").split()
+        if tag == "div":
+            if self.depth:
+                self.depth += 1
+            elif any(c.startswith("result") for c in classes):
+                self.depth = 1
+                self.blocks.append({"title": None, "url": "", "snippet": ""})
+        if not self.depth:
+            return
+        block = self.blocks[-1]
+        if self.part is not None:
+            if tag == self.part[1]:
+                self.part = (self.part[0], tag, self.part[2] + 1)
+        elif tag == "a" and block["title"] is None:
+            block["title"], block["url"], self.part = "", attrs.get("href") or "", ("title", tag, 0)
+        elif any("snippet" in c for c in classes):
+            self.part = ("snippet", tag, 0)
+
+    def handle_endtag(self, tag):
+        if self.part is not None and tag == self.part[1]:
+            self.part = (self.part[0], tag, self.part[2] - 1) if self.part[2] else None
+        if tag == "div" and self.depth:
+            self.depth -= 1
+            if not self.depth:
+                self.part = None
+
+    def handle_data(self, data):
+        if self.depth and self.part is not None:
+            self.blocks[-1][self.part[0]] += data
 
 
 def result_blocks(pages: DataFrame, most: int = 3) -> DataFrame:
     """Search results: the first ``most`` blocks of a page; of these, blocks without a title are dropped."""
-    blocks = F.slice(F.regexp_extract_all("html", F.lit(r'(?s)<div class="result[^"]*">(.*?)</div>'), 1), 1, most)
-    rows = pages.select("page_id", F.posexplode(blocks).alias("nth", "block"))
-    bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", " "), r"\s+", " "))
-    return rows.select(
-        "page_id", "nth", bare(F.regexp_extract("block", r"(?s)<a[^>]*>(.*?)</a>", 1)).alias("title"),
-        F.regexp_extract("block", r'<a[^>]*href="([^"]*)"', 1).alias("url"), bare(F.regexp_extract("block", r'(?s)class="snippet"[^>]*>(.*?)</', 1)).alias("snippet"),
-    ).where("title <> ''")
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for page, html in zip(batch["page_id"], batch["html"]):
+                parser = _Results()
+                parser.feed(html or "")
+                parser.close()
+                for nth, block in enumerate(parser.blocks[:most]):
+                    title, snippet = (" ".join((block[k] or "").split()) for k in ("title", "snippet"))
+                    if title:
+                        out.append((page, nth, title, block["url"], snippet))
+            yield pd.DataFrame(out, columns=["page_id", "nth", "title", "url", "snippet"])
+
+    return pages.select("page_id", "html").mapInPandas(work, "page_id long, nth int, title string, url string, snippet string")

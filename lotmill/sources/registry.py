@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +36,37 @@ def normalise(raw: DataFrame, state: str | None = None) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Registry of several states from CSV files: state -> path."""
-    parts = [normalise(spark.read.csv(path, header=True), state) for state, path in paths.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Registry of several states from CSV files: state -> path.  A file that cannot be used is an error."""
+    registry, reasons = open_files(spark, paths)
+    if reasons:
+        raise ValueError(f"registry files that cannot be used: {reasons}")
+    return registry
+
+
+def open_files(spark: SparkSession, paths: Mapping[str, str]) -> tuple[DataFrame | None, dict[str, str]]:
+    """Registry of the CSV files that can be used, and why the others cannot: state -> reason.
+
+    Reasons: ``file_absent``, ``unreadable``, ``no_key`` (no column of company numbers), ``no_rows`` (none with a number).
+    Values may hold line breaks, and quotes that are doubled.  A file is one split, so that its rows keep their order.
+    """
+    parts, reasons = {}, {}
+    for state, path in paths.items():
+        try:
+            raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+        except AnalysisException as e:
+            reasons[state] = "file_absent" if e.getCondition() == "PATH_NOT_FOUND" else "unreadable"
+            continue
+        if match_header(raw.columns, REGISTRY_HEADERS["cin"]) is None:
+            reasons[state] = "no_key"
+        else:
+            parts[state] = normalise(raw, state)
+    if not parts:
+        return None, reasons
+    first, *others = parts.values()
+    for part in others:
+        first = first.unionByName(part, allowMissingColumns=True)
+    filled = {r["state"] for r in first.groupBy("state").count().collect()}  # one row a file
+    return first, reasons | {state: "no_rows" for state in parts if state not in filled}
 
 
 def last_rows(registry: DataFrame) -> DataFrame:
@@ -50,27 +76,33 @@ def last_rows(registry: DataFrame) -> DataFrame:
     return registry.withColumns({"__nth": nth, "duplicates": F.count("*").over(last) - 1}).where("__nth = 1").drop("__nth")
 
 
-def availability(registry: DataFrame, expected: Sequence[str], missing: Sequence[str] = ()) -> DataFrame:
-    """For each expected state: ok, missing or empty, with its rows and duplicates."""
+def _reasons(unavailable: Mapping[str, str] | Sequence[str], default: str) -> dict[str, str]:
+    return dict(unavailable) if isinstance(unavailable, Mapping) else dict.fromkeys(unavailable, default)
+
+
+def availability(registry: DataFrame, expected: Sequence[str], missing: Mapping[str, str] | Sequence[str] = ()) -> DataFrame:
+    """For each expected state: ok, empty, or why it is missing (as ``open_files`` tells), with its rows and duplicates."""
     spark = registry.sparkSession
-    states = spark.createDataFrame([(s, s in set(missing)) for s in expected], "state string, gone boolean")
+    why = _reasons(missing, "missing")
+    states = spark.createDataFrame([(s, why.get(s)) for s in expected], "state string, gone string")
     counts = registry.groupBy("state").agg(F.count("*").alias("n_rows"), F.countDistinct("cin").alias("n_numbers"))
-    status = F.when(F.col("gone"), "missing").when(F.col("n_rows").isNull(), "empty").otherwise("ok")
+    status = F.when(F.col("gone").isNotNull(), F.col("gone")).when(F.col("n_rows").isNull(), "empty").otherwise("ok")
     return states.join(counts, "state", "left").select(
         "state", status.alias("status"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         (F.coalesce("n_rows", F.lit(0)) - F.coalesce("n_numbers", F.lit(0))).alias("duplicates"),
     )
 
 
-def lookup(rows: DataFrame, registry: DataFrame, unavailable: Sequence[str] = (), fields: Sequence[str] = ("company_name", "company_status", "paidup_capital")) -> DataFrame:
+def lookup(rows: DataFrame, registry: DataFrame, unavailable: Mapping[str, str] | Sequence[str] = (), fields: Sequence[str] = ("company_name", "company_status", "paidup_capital")) -> DataFrame:
     """Adds the registry's fields and, where there is no match, ``miss_reason``."""
     rows = rows.withColumns({"__cin": F.upper(strip(F.col("cin"))), "__state": registrar_state(F.col("cin"))})
-    there = last_rows(registry).where(~F.col("state").isin(list(unavailable)) if unavailable else F.lit(True))
+    why = _reasons(unavailable, "file_absent")
+    there = last_rows(registry).where(~F.col("state").isin(list(why)) if why else F.lit(True))
     there = there.select(F.col("state").alias("__s"), F.col("cin").alias("__c"), *fields)
-    known = F.array(*[F.lit(s) for s in unavailable]) if unavailable else F.array().cast("array<string>")
+    gone = F.try_element_at(F.create_map(*[F.lit(x) for pair in why.items() for x in pair]), F.col("__state")) if why else F.lit(None).cast("string")
     joined = rows.join(there, (F.col("__state") == F.col("__s")) & (F.col("__cin") == F.col("__c")), "left")
     reason = (
         F.when(F.coalesce(F.col("__cin"), F.lit("")) == "", "no_cin").when(F.col("__state").isNull(), "unmapped_code")
-        .when(F.array_contains(known, F.col("__state")), "file_absent").when(F.col("__c").isNull(), "no_match")
+        .when(gone.isNotNull(), gone).when(F.col("__c").isNull(), "no_match")
     )
     return joined.withColumn("miss_reason", reason).withColumn("registry_state", F.col("__state")).drop("__cin", "__state", "__s", "__c")

@@ -103,3 +103,12 @@ def test_tiers_and_means(apply, spark):
     assert len(a) == 4 and len(b) == 3 and a[-1] == b[-1] == "Acme" and a[0] == '"Acme" Pune auction OR insolvency OR NCLT'
     rows = spark.createDataFrame([(92.0, 80.0, 70.0), (None, 50.0, 50.0), (None, None, None)], "a double, b double, c double")
     assert [r[0] for r in rows.select(T.mean_known(F.col("a"), F.col("b"), F.col("c"))).collect()] == [80.7, 50.0, None]
+
+
+def test_form_labels_count_where_they_stand_first(spark):
+    text = "1. Name of Corporate Debtor\nA  B\n10. Reserve Price 5\n16. Location of Assets to be Auctioned Pune 10. Reserve Price 6 Unique Number - 7"
+    late = "2. CIN/LLPIN of Corporate Debtor U1 Unique Number - 3 11. EMD Amount 4"
+    df = spark.createDataFrame([(text,), (late,), ("nothing",), (None,)], "t string")
+    got = [r[0] for r in df.select(T.form_fields(F.col("t"))).collect()]
+    assert got[0] == {"corporate_debtor_pdf": "A B", "reserve_price_pdf_raw": "5", "location_raw": "Pune 10. Reserve Price 6"}
+    assert got[1] == {"cin": "U1 Unique Number - 3", "emd_amount_raw": ""} and got[2] == {} and not got[3]

@@ -114,7 +114,9 @@ def test_percentile(spark):
 
 def test_location_scores(spark):
     df = spark.createDataFrame([(x,) for x in ("Delhi NCR", "Rajpura, Punjab", "Indore, Madhya Pradesh", "Mumbai", None)], "location string")
-    assert [r.location_score for r in scoring.location_score(df).collect()] == [75, 75, 75, 50, 50]
+    assert {r.location_score for r in scoring.location_score(df).collect()} == {50}  # nothing is preferred unless told
+    params = Params(preferred_regions=("Delhi", "Rajpura", "Madhya Pradesh"))
+    assert [r.location_score for r in scoring.location_score(df, params).collect()] == [75, 75, 75, 50, 50]
 
 
 def test_preferences(spark):
@@ -133,7 +135,9 @@ def test_dedup_key_is_tagged(spark):
 
 def test_routes_are_exhaustive(spark):
     df = spark.createDataFrame([("Ranchi", "Jharkhand"), ("Noida", None), (None, None), ("", ""), ("Pune", "Maharashtra")], "location string, state string")
-    assert [r.route for r in report.location_route(df).collect()] == ["kept", "kept", "unknown_location", "unknown_location", "other_location"]
+    params = Params(included_states=("Jharkhand",), included_keywords=("noida",))
+    assert {r.route for r in report.location_route(df).collect()} == {"other_location", "unknown_location"}  # nothing is included unless told
+    assert [r.route for r in report.location_route(df, params).collect()] == ["kept", "kept", "unknown_location", "unknown_location", "other_location"]
     cars = spark.createDataFrame([("Motor Vehicle",), ("Swift VXI MH02EK5147",), ("carpet",), (None,), ("mh02ek5147",)], "nature_of_assets string")
     assert [r.excluded for r in report.asset_exclusion(cars).collect()] == [True, True, False, False, False]
 
@@ -152,6 +156,21 @@ def test_enrichment_route_and_cap(spark):
         assert [r.route for r in enrich.cap_enrichment(routed, cap, ["input_seq"]).orderBy("input_seq").collect()] == want
 
 
+def test_cap_with_ties_and_a_key(spark):
+    rows = spark.createDataFrame([(7, f"k{k}", "reenrich", False) for k in range(5)], "input_seq int, listing_key string, route string, has_row boolean")
+    got = enrich.cap_enrichment(rows, 2, ["input_seq", "listing_key"]).orderBy("listing_key").collect()
+    assert [r.route for r in got] == ["reenrich"] * 2 + ["deferred"] * 3
+
+
+def test_state_keeps_the_last_changed_row(spark):
+    rows = [(0, DAY(2024, 1, 1), "a", "b", "c", "d", 5, None, None, None), (1, DAY(2024, 1, 2), "a", "b", "c", "d", 4, None, None, None), (2, DAY(2024, 1, 3), "A ", "b", "c", "d", 4, None, None, None)]
+    changed = changes.change_status(spark.createDataFrame(rows, SCHEMA), ["input_seq"])
+    state = changes.final_state(changed, ["input_seq"], "run_date", raw=["corporate_debtor", "reserve_price"])
+    assert state.first().raw_json == '{"corporate_debtor":"a","reserve_price":4}'
+    again = changes.final_state(changes.change_status(spark.createDataFrame(rows[2:], SCHEMA), ["input_seq"], state), ["input_seq"], "run_date", raw=["corporate_debtor", "reserve_price"])
+    assert again.first().raw_json is None and changes.merge_state(state, again).first().raw_json == '{"corporate_debtor":"a","reserve_price":4}'
+
+
 def test_merge_preserves_modules(spark):
     old = spark.createDataFrame([("a", "old", DAY(2024, 1, 1), True, True, False)], "listing_key string, narrative string, narrative_at date, narrative_attempted boolean, details_at_enrich boolean, notice_at_enrich boolean")
     new = spark.createDataFrame([("a", None, True, True), ("b", "fresh", False, False)], "listing_key string, narrative string, details_parsed boolean, notice_parsed boolean")
@@ -162,13 +181,13 @@ def test_merge_preserves_modules(spark):
 
 
 def test_tiered_search_equals_contains(spark):
-    docs = [(1, "the quick brown fox jumps"), (2, "a quick brown dog"), (3, "quick-brown"), (4, None), (5, "xquick brown foxy")]
-    tiers = [(1, 1, "quick brown cat"), (1, 2, "quick brown"), (2, 1, "nothing like it"), (2, 2, "zzz"), (3, 1, "quick brown fox"), (4, 1, "own")]
+    docs = [(1, "the quick brown fox jumps"), (2, "a quick brown dog"), (3, "quick-brown"), (4, None), (5, "xquick brown foxy"), (6, "a a the a the of"), (7, "aa\tbb  cc")]
+    tiers = [(1, 1, "quick brown cat"), (1, 2, "quick brown"), (2, 1, "nothing like it"), (2, 2, "zzz"), (3, 1, "quick brown fox"), (4, 1, "own"), (5, 1, "k b"), (6, 1, " quick "), (7, 1, "a the a"), (8, 1, "quick-b"), (9, 1, "a\tb"), (10, 1, "b  c"), (11, 1, "")]
     got = enrich.tiered_search(spark.createDataFrame(tiers, "item_id int, tier int, phrase string"), spark.createDataFrame(docs, "doc_id int, text string"), 3)
     want = []
-    for item in (1, 2, 3, 4):
+    for item in range(1, 12):
         for tier, phrase in sorted((t, p) for i, t, p in tiers if i == item):
-            hits = [d for d, body in docs if body and phrase in body][:3]
+            hits = [d for d, body in docs if body and phrase and phrase in body][:3]
             if hits:
                 want += [(item, tier, d) for d in hits]
                 break

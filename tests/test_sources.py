@@ -15,6 +15,27 @@ def test_table_rows(spark):
     assert len(got) == 2 and [(r.row_idx, r.raw_text) for r in rejects.collect()] == [(4, "cut")]
 
 
+def test_records_by_header(spark):
+    page = """<table><tr><th>Details</th><th>Reserve Price</th><th>Name of Corporate Debtor</th><th>Reserve price (revised)</th></tr>
+    <tr><td><a href='/d'>x</a></td><td>5</td><td>A</td><td>6</td></tr><tr><td>y</td><td>7</td><td>B</td></tr></table>"""
+    good, rejects = pages.split_rows(pages.extract_rows(spark.createDataFrame([(1, page)], "page int, html string")))
+    got = pages.records(good, ["reserve_price_raw", "corporate_debtor", "auction_date"]).orderBy("row_idx").collect()
+    assert rejects.count() == 0 and [r.corporate_debtor.text for r in got] == ["A", "B"] and got[0].reserve_price_raw.text == "6"  # the later column counts
+    assert got[1].reserve_price_raw is None and [r.cell_flags for r in got] == [[], ["cell.missing.reserve_price_raw"]] and got[0].auction_date is None
+
+
+def test_links_in_any_quotes(spark):
+    html = """<a href="/1">a</a><A class=x HREF='/2'>b</A><a href=/3>c</a><a data-href="/no">d</a><a href="">e</a><a title='x' href='javascript:f()'>f</a>"""
+    got = pages.page_links(spark.createDataFrame([(1, html)], "page_id int, html string"), "b").orderBy("nth").collect()
+    assert [(r.url, r.flag) for r in got] == [("b/1", None), ("b/2", None), ("b/3", None), (None, "link.unusable"), (None, "link.unusable")]
+
+
+def test_nested_result_blocks(spark):
+    html = '<div class="result"><div><div><a href="u">T &amp; <b>x</b></a></div></div><span class="result__snippet">s <span>t</span> u</span></div><div class="other"><a href=v>no</a></div>'
+    got = pages.result_blocks(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")).collect()
+    assert [tuple(r) for r in got] == [(1, 0, "T & x", "u", "s t u")]
+
+
 def test_longest_header_wins(spark):
     df = spark.createDataFrame([(1, 0, "Date of Auction"), (1, 1, "Date of Notice"), (1, 2, "Other")], "page int, col_idx int, header string")
     mapped = pages.header_mapping(df)
@@ -42,3 +63,21 @@ def test_registry_files(spark, tmp_path):
     (tmp_path / "delhi.csv").write_text("CORPORATE_IDENTIFICATION_NUMBER,Company Name,PAIDUP_CAPITAL\nU2,Two,5\n", encoding="utf-8")
     got = registry.read_files(spark, {"goa": str(tmp_path / "goa.csv"), "delhi": str(tmp_path / "delhi.csv")})
     assert sorted((r.state, r.cin, r.company_name, r.paidup_capital) for r in got.collect()) == [("delhi", "U2", "Two", "5"), ("goa", "U1", "One", None)]
+
+
+def test_registry_files_as_they_come(spark, tmp_path):
+    (tmp_path / "goa.csv").write_text('CIN,CompanyName,Address\nU1,"One ""A"" Ltd","line 1\nline 2"\nU1,Two,x\n', encoding="utf-8")
+    (tmp_path / "delhi.csv").write_text("Name\nx\n", encoding="utf-8")
+    (tmp_path / "bihar.csv").write_text("CIN,CompanyName\n,x\n", encoding="utf-8")
+    paths = {s: str(tmp_path / f"{s}.csv") for s in ("goa", "delhi", "bihar", "assam")}
+    found, reasons = registry.open_files(spark, paths)
+    assert reasons == {"delhi": "no_key", "assam": "file_absent", "bihar": "no_rows"}
+    rows = found.orderBy("file_pos").collect()
+    assert [(r.company_name, r.registered_office_address) for r in rows] == [('One "A" Ltd', "line 1\nline 2"), ("Two", "x")]
+    assert registry.last_rows(found).first().company_name == "Two"
+    status = {r.state: (r.status, r.n_rows, r.duplicates) for r in registry.availability(found, list(paths), reasons).collect()}
+    assert status == {"goa": ("ok", 2, 1), "delhi": ("no_key", 0, 0), "bihar": ("no_rows", 0, 0), "assam": ("file_absent", 0, 0)}
+    asked = spark.createDataFrame([("U18101AS2002PLC000001",), ("U18101GA2002PLC000001",)], "cin string")
+    assert [r.miss_reason for r in registry.lookup(asked, found, reasons).collect()] == ["file_absent", "no_match"]
+    with pytest.raises(ValueError):
+        registry.read_files(spark, paths)
