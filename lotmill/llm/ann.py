@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import stage_table
 
 CENTROIDS = 32
-RECALL = 0.95
+RECALL = 0.97
 SAMPLE = 20_000
 #: Vectors of a length in the sample below which the length is one cell, and queries of the sample that the share is measured with.
 FEW = 64
