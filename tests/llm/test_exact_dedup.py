@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from compare import duck_rows, spark_rows
 
-from lotmill.llm.exact_dedup import OP1_SQL, exact_dedup, op1_exact_dedup
+from lotmill.llm.exact_dedup import OP1_SQL, exact_dedup, maybe_repeated, op1_exact_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ROWS = [(1, "Ab"), (2, "aB"), (3, None), (4, ""), (5, "Éa"), (6, "éa"), (None, "x"), (7, "x"), (None, "only"), (None, "only"), (8, "y" * 200_000), (9, "Y" * 200_000), (10, "z"), (10, "z"), (10, "Z"), (2, "other")]
@@ -52,6 +52,20 @@ def test_rows_that_shuffle(spark, bits, most):
     assert through + settled == len(rows) and 1000 <= settled <= 1000 + most * 32_000
 
 
+@pytest.mark.parametrize("columns", [None, ["doc_id"], ["other"]])
+def test_ranges_of_hashes(spark, columns):
+    """More rows than one small filter holds: pass one works in ranges, and few rows without a copy shuffle in either pass."""
+    rows = [(k, f"text number {k}", k % 7) for k in range(30_000)] + [(k, f"Twice {k % 500}", 3) for k in range(40_000, 41_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other long")
+    got = exact_dedup(df, max_filter_bits=2**15, columns=columns)
+    assert got.columns[:-4] == {None: ["doc_id", "text", "other"], ("doc_id",): ["doc_id"]}.get(columns and tuple(columns), ["doc_id", "other"])
+    assert answer(got) == brute([r[:2] for r in rows])
+    through, settled = branches(got)
+    assert through + settled == len(rows) and 1000 <= settled <= 1200
+    thin = df.selectExpr("doc_id AS __id", "sha2(lower(text), 256) AS text_sha256", "xxhash64(lower(text)) AS __hash")
+    assert 1000 <= maybe_repeated(thin, 16, 2**15).count() <= 1000 + 0.25 * 30_000
+
+
 def branches(df):
     """Rows of each branch of the union that ends the operator: those that pass through, and those that were shuffled."""
     parts = df._jdf.queryExecution().analyzed().children()
