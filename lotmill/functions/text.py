@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,45 +75,54 @@ def collapse_teaser(pieces: Column) -> Column:
     return F.struct(text.alias("text"), ((F.size(clean) > 1) & ~agrees).alias("uncertain"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def form_fields(text: Column) -> Column:
     """Map of field to value of a numbered form: each label's text runs to the next label that occurs, or to the end.
 
     One pattern of all labels cuts the text; the number that a label begins with names its field.  A label counts where it
     stands first; further ones belong to the value that they stand in.  The form's end cuts the last value.
     """
-    labels = F.lit("(?:" + "|".join(FORM_LABELS.values()) + ")")
+    labels = "(?=[0-9])(?:" + "|".join(FORM_LABELS.values()) + ")"  # all begin with their number: other places fail at the first sign
     numbers = {pattern.split(r"\.")[0].replace("\\", ""): name for name, pattern in FORM_LABELS.items()}
     table = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
     cut = F.struct(
-        F.regexp_extract_all(text, labels, 0).alias("heads"), F.split(text, "(?:" + "|".join(FORM_LABELS.values()) + ")", -1).alias("pieces"),
+        F.regexp_extract_all(text, F.lit(labels), 0).alias("heads"), F.split(text, labels, -1).alias("pieces"),
         F.regexp_instr(text, F.lit(FORM_END)).alias("end"), F.length(text).alias("length"),
     )
     name = lambda head: F.try_element_at(table, F.substring_index(head, ".", 1))
     entry = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
-    empty = F.array().cast("array<struct<key: string, value: string>>")
+    none = F.array().cast("array<string>")
+
+    def named(b: Column) -> Column:
+        places = F.when(F.size(b["heads"]) > 0, F.sequence(F.lit(1), F.size(b["heads"]))).otherwise(F.array().cast("array<int>"))
+        names = F.coalesce(F.transform(b["heads"], name), none)
+        return _bound(F.struct(names.alias("names"), places.alias("places")), lambda n: starts(b, n["names"], n["places"]))
 
-    def values(b: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            head, piece = F.element_at(b["heads"], k), F.element_at(b["pieces"], k + 1)
-            more = F.transform(acc, lambda e, i: F.when(i == F.size(acc) - 1, entry(e["key"], F.concat(e["value"], head, piece))).otherwise(e))
-            return F.when(F.exists(acc, lambda e: e["key"] == name(head)), more).otherwise(F.concat(acc, F.array(entry(name(head), piece))))
+    def starts(b: Column, names: Column, places: Column) -> Column:
+        first = F.filter(places, lambda k: F.array_position(names, F.element_at(names, k)) == k)
+        return _bound(first, lambda first: values(b, names, first))
 
+    def values(b: Column, names: Column, first: Column) -> Column:
         size = F.length(F.element_at(b["pieces"], -1))
         begin = b["length"] - size + 1
         over = F.when(b["end"] <= 0, 0).when(b["end"] <= begin, size).otherwise(size - b["end"] + begin)  # signs of the last value beyond the end
 
-        def bare(acc: Column) -> Column:
-            def value(e: Column, i: Column) -> Column:
-                kept = F.length(e["value"]) - F.when(i == F.size(acc) - 1, over).otherwise(0)
-                return entry(e["key"], F.trim(F.regexp_replace(F.substring(e["value"], F.lit(1), F.greatest(kept, F.lit(0))), r"\s+", " ")))
-
-            return F.transform(acc, value)
+        def value(k: Column, i: Column) -> Column:
+            following = F.coalesce(F.get(first, i + 1), F.size(b["heads"]) + 1)
+            own = F.element_at(b["pieces"], k + 1)
+            again = lambda acc, j: F.concat(acc, F.element_at(b["heads"], j), F.element_at(b["pieces"], j + 1))
+            whole = F.when(following == k + 1, own).otherwise(F.aggregate(F.sequence(k + 1, following - 1), own, again))
+            last = i == F.size(first) - 1
+            kept = F.when(last, F.substring(whole, F.lit(1), F.greatest(F.length(whole) - over, F.lit(0)))).otherwise(whole)
+            return entry(F.element_at(names, k), F.trim(F.regexp_replace(kept, r"\s+", " ")))
 
-        places = F.when(F.size(b["heads"]) > 0, F.sequence(F.lit(1), F.size(b["heads"]))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(places, empty, step, bare)
+        return F.transform(first, value)
 
-    # bound to a lambda's variable, so that the patterns run once a text and not once a label
-    return F.map_from_entries(F.element_at(F.transform(F.array(cut), values), 1))
+    return F.map_from_entries(_bound(cut, named))
 
 
 def area_mentions(text: Column) -> Column:
