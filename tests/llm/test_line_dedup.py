@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+from compare import duck_rows, spark_rows
+
+from lotmill.llm.line_dedup import OP13_SQL, Shard, dedup_lines, op13_perfect_hash_line_dedup
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def brute(texts, min_docs, min_chars=1):
+    lines = [(t or "").split("\n") for t in texts]
+    found = {}
+    for k, ls in enumerate(lines):
+        for x in {key(x) for x in ls}:
+            found[x] = found.get(x, 0) + 1
+    often = {x for x, n in found.items() if n >= min_docs and len(x) >= min_chars}
+    return [(len(ls), sum(key(x) in often for x in ls), "\n".join(x for x in ls if key(x) not in often)) for ls in lines]
+
+
+TEXTS = [None, "", "\n", "Share this\nOne", " share THIS\t\nTwo\n", "share this\nshare this\nThree", " share this\nÉtat", "état\nx", "x\r\nx", "one line only", "x" * 100_000 + "\nshare this",
+         "\n".join(f"line {k}" for k in range(20_000)) + "\nShare this\x0b", "share this", "share this"]
+
+
+@pytest.mark.parametrize("min_docs", [1, 2, 3, 8, 9])
+@pytest.mark.parametrize("max_index_bytes", [2**26, -1])
+def test_edges_both_ways(spark, min_docs, max_index_bytes):
+    """The index sent to the rows, and the lines sent to the index: the same, and as found row by row."""
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in dedup_lines(df, min_docs=min_docs, max_index_bytes=max_index_bytes, chunk=1000).collect()}
+    assert [got[k] for k in range(len(TEXTS))] == brute(TEXTS, min_docs)
+
+
+def test_shortest_keys(spark):
+    texts = ["ab\nabc"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert dedup_lines(df, min_docs=3, min_chars=3).first().kept_text == "ab" == brute(texts, 3, 3)[0][2]
+
+
+def test_perfect_hash():
+    """Slots are 0 to n - 1, each once, after a round trip through bytes; others have no count but by all of 64 bits."""
+    rng = np.random.default_rng(3)
+    h, f = rng.integers(0, 2**64, (2, 50_000), np.uint64)
+    h[1:100] = h[0]  # hashes that agree in one half
+    f[200:300] = f[200]
+    counts = rng.integers(2, 1000, 50_000)
+    shard = Shard.from_bytes(Shard.build(h, f, counts).to_bytes())
+    assert (np.sort(shard.slots(h, f)) == np.arange(50_000)).all() and (shard.counts_of(h, f) == counts).all()
+    other = rng.integers(0, 2**64, (2, 50_000), np.uint64)
+    assert not shard.counts_of(*other).any()
+    assert len(shard.to_bytes()) < 50_000 * 12.7
+    assert not Shard.from_bytes(Shard.build(*np.empty((2, 0), np.uint64), np.empty(0)).to_bytes()).counts_of(h, f).any()
+
+
+def test_many_shards(spark, monkeypatch):
+    monkeypatch.setattr("lotmill.llm.line_dedup.SHARD_KEYS", 64)
+    texts = [f"a{k}\na{k % 700}\nb{k % 90}\nall" for k in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bound in (2**26, 100):
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in dedup_lines(df, max_index_bytes=bound, chunk=300).collect()}
+        assert [got[k] for k in range(2000)] == brute(texts, 10)
+
+
+def test_clashing_columns_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a\nb", "mine", 5), (1, "a\nb", "mine", 5), (None, "A", "", 6)], "doc_id long, text string, N_Lines string, other int")
+    got = dedup_lines(df, min_docs=3)
+    assert got.columns == ["doc_id", "text", "other", "n_lines", "n_dropped", "kept_text"]
+    assert sorted(r.kept_text for r in got.collect()) == ["", "b", "b"]
+    assert dedup_lines(df.limit(0)).count() == 0
+
+
+def test_query(spark, duck, sf_dir):
+    assert spark_rows(op13_perfect_hash_line_dedup(spark, sf_dir)) == duck_rows(duck, OP13_SQL)
