@@ -13,13 +13,14 @@ from .quality import op2_weak_label_quality
 from .sharding import op6_hilbert_sharding
 from .simhash import op7_simhash_pigeonring
 from .token_file import op9_bit_packed_tokens
+from .whitening import op12_jacobi_whitening
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_weak_label_quality, op3_karmarkar_karp_packing, op4_inverted_multi_index,
         op5_fair_queue_mixing, op6_hilbert_sharding, op7_simhash_pigeonring, op8_tag_path_ratios, op9_bit_packed_tokens,
-        op10_crf_personal_data, op13_perfect_hash_line_dedup,
+        op10_crf_personal_data, op12_jacobi_whitening, op13_perfect_hash_line_dedup,
     )
 }
 
