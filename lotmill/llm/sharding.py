@@ -70,15 +70,27 @@ def is_text(kind: str) -> bool:
     return kind in ("string", "binary") or kind.startswith(("char", "varchar"))
 
 
+#: Bounds of doubles: infinities and what is beyond count as these.
+LARGEST = 1.7976931348623157e308
+
+
+def is_fraction(kind: str) -> bool:
+    return kind in ("float", "double") or kind.startswith("decimal")
+
+
 def as_number(column: Column, kind: str) -> Column:
-    """A long in the column's own order; null is before all."""
+    """A number in the column's own order, a double for fractions and decimals, else a long; null is before all, NaN after all."""
+    if is_fraction(kind):
+        number = column.cast("double")
+        bounded = F.greatest(F.least(number, F.lit(LARGEST)), F.lit(-LARGEST))
+        return F.when(number.isNull(), -LARGEST).when(F.isnan(number), LARGEST).otherwise(bounded)
     if kind in ("timestamp", "timestamp_ntz"):
         column = F.unix_micros(column.cast("timestamp"))
     elif kind == "date":
         column = F.unix_date(column).cast("long")
     else:
         column = column.cast("long")
-    return F.coalesce(column, F.lit(-(2**62)))
+    return F.coalesce(column, F.lit(-(2**63)))
 
 
 def text_cells(docs: DataFrame, column: Column, cells: int) -> list[tuple[str, int]]:
@@ -118,7 +130,8 @@ def hilbert_shards(
     gapless from 0).  ``law`` is ``rows`` (counts at most one apart) or ``bytes`` (sizes near equal).  ``size`` may be
     named in ``dims``.
 
-    Texts, numbers and times in a dimension are quantised by rank, whatever they begin with.
+    Texts, numbers and times in a dimension are quantised by rank, whatever they begin with: whole numbers and times as longs,
+    fractions and decimals as doubles.  NaN and infinity come last.
 
     Defined results: null texts have no bytes and the checksum of the empty text; a null in a dimension sorts first;
     rows of one cell are ordered by checksum and id, so that a hot cell is split like any other; with fewer rows than
@@ -152,8 +165,9 @@ def hilbert_shards(
                 cell = F.when(value >= F.lit(first), number).otherwise(cell)
             cells.append(cell.cast("int").alias(f"__c{i}"))
             continue
-        points = sorted({int(x) for x in cuts[f"c{i}"] or []})
-        at = F.array(*[F.lit(x).cast("long") for x in points]) if points else F.array().cast("array<bigint>")
+        points = sorted(set(cuts[f"c{i}"] or []))
+        number = "double" if is_fraction(kinds.get(dims[i].lower(), "")) else "bigint"
+        at = F.array(*[F.lit(x) for x in points]).cast(f"array<{number}>")
         place = F.size(F.filter(at, _below(value)))  # few values are spread over all cells, so that their first bits tell them apart
         cells.append(F.floor(place * (1 << BITS) / (len(points) + 1)).cast("int").alias(f"__c{i}"))
     rows = rows.withColumns({f"__c{i}": c for i, c in enumerate(cells)})

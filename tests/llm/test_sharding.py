@@ -71,3 +71,20 @@ def test_edges(spark):
 
 def test_main_path_is_native(spark, sf_dir):
     assert not any(w in op6_hilbert_sharding(spark, sf_dir)._jdf.queryExecution().toString() for w in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [0.1, 0.9, None, float("nan"), float("inf"), -float("inf"), 1e300, -1e300, 0.2, 0.3]), ("decimal(20,3)", [None, "0.125", "7.5", "-12345678901234567.5"]),
+    ("long", [None, -(2**63) + 1, 2**63 - 1, 0, 5]),
+])
+def test_numbers_of_any_size(spark, kind, values):
+    """Fractions are told apart, and huge, infinite and missing numbers are placed in order."""
+    df = spark.createDataFrame([(k, str(v) if v is not None else None) for k, v in enumerate(values * 4)], "doc_id long, v string").selectExpr("doc_id", "'' AS text", f"CAST(v AS {kind}) AS v")
+    got = hilbert_shards(df, shards=3, dims=["v"], carry=["v"]).collect()
+    order = sorted((r.hilbert, -1e309 if r.v is None else 1e309 if r.v != r.v else float(r.v)) for r in got)
+    assert [v for _, v in order] == sorted(v for _, v in order) and len({r.hilbert for r in got}) >= 3
+
+
+def test_two_fractions_have_many_cells(spark):
+    df = spark.range(2000).selectExpr("id AS doc_id", "'' AS text", "rand(1) AS a", "rand(2) AS b")
+    assert hilbert_shards(df, dims=["a", "b"]).select("hilbert").distinct().count() > 500
