@@ -142,8 +142,8 @@ def area_sqft(mention: Column) -> Column:
 
 
 def round1(value: Column) -> Column:
-    """One decimal, half up, settled on decimals so that every engine agrees."""
-    return F.round(value.cast("decimal(18,6)"), 1).cast("double")
+    """One decimal, half up, settled on decimals so that every engine agrees; beyond decimals, the value as it is."""
+    return F.coalesce(F.round(value.try_cast("decimal(38,6)"), 1).cast("double"), value.cast("double"))
 
 
 def plot_size(mentions: Column) -> Column:
@@ -247,6 +247,7 @@ def absolute_link(href: Column, base_url: str) -> Column:
 
 def mean_known(*scores: Column) -> Column:
     """Mean of the scores that are known, one decimal; NULL if none is."""
-    total = sum((F.coalesce(s.cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")) for s in scores[1:]), F.coalesce(scores[0].cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")))
+    known = [F.coalesce(s.try_cast("decimal(28,6)"), F.lit(0).cast("decimal(28,6)")) for s in scores]
+    total = sum(known[1:], known[0])
     count = sum((s.isNotNull().cast("int") for s in scores[1:]), scores[0].isNotNull().cast("int"))
     return round1(F.try_divide(total, count))

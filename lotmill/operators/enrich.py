@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import NARRATIVE_KEYS
+from .phrases import containing
 
 
 def refetch_gate(previewed: DataFrame, state: DataFrame) -> DataFrame:
@@ -39,14 +40,15 @@ def enrichment_route(rows: DataFrame, enrichment: DataFrame) -> DataFrame:
     """Adds ``route`` (collision, reenrich or reuse), ``has_row`` and ``reason``.
 
     Collisions are set aside.  Others are enriched again when new or changed, without a stored row, or when a source was
-    parsed that was not at the last enrichment.
+    parsed that was not at the last enrichment; a flag that is not stored counts as not parsed.
     """
     old = enrichment.select("listing_key", F.lit(True).alias("__has"), F.col("details_at_enrich").alias("__d"), F.col("notice_at_enrich").alias("__n"))
     rows = rows.join(old, "listing_key", "left")
     has = F.coalesce("__has", F.lit(False))
     reason = (
         F.when(F.col("status") == "collision", "collision").when(F.col("status").isin("new", "changed"), "status").when(~has, "no_row")
-        .when(F.col("details_parsed") & ~F.col("__d"), "details_parsed").when(F.col("notice_parsed") & ~F.col("__n"), "notice_parsed")
+        .when(F.col("details_parsed") & ~F.coalesce("__d", F.lit(False)), "details_parsed")
+        .when(F.col("notice_parsed") & ~F.coalesce("__n", F.lit(False)), "notice_parsed")
     )
     route = F.when(reason == "collision", "collision").when(reason.isNotNull(), "reenrich").otherwise("reuse")
     return rows.withColumns({"has_row": has, "reason": reason, "route": route}).drop("__has", "__d", "__n")
@@ -83,6 +85,8 @@ def merge_enrichment(old: DataFrame, new: DataFrame, modules: Sequence[str], at:
     return o.join(n, F.col("o.listing_key") == F.col("n.listing_key"), "full").select(*cols)
 
 
+#: Phrases of so many signs in all are looked up by automata; more are looked up by their words.
+MAX_PHRASE_CHARS = 1 << 23
 #: Words that are broadcast at most: some 10 MB.
 MAX_WORDS = 200_000
 
@@ -92,20 +96,18 @@ def _few(words: DataFrame) -> DataFrame:
     return F.broadcast(words) if words.limit(MAX_WORDS + 1).count() <= MAX_WORDS else words
 
 
-def tiered_search(tiers: DataFrame, corpus: DataFrame, hits: int, entity: str = "item_id", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """First tier with a hit for each entity and its first ``hits`` documents; entities without any get one row of NULLs.
+def _by_words(phrases: DataFrame, docs: DataFrame, entity: str) -> DataFrame:
+    """Phrases (``entity``, tier, phrase) and the documents that contain them, for more phrases than automata hold.
 
-    A phrase hits a document that contains it; a phrase without a word hits none.  A phrase is looked up by one word: of
-    the words inside it (not at its edges, where they may be parts of longer words) by the one that the fewest documents
-    have; where there is none, by each word of the corpus that its longer edge may be a part of.  All joins are equi joins,
-    the rarest words come first, and ``contains`` settles what meets.
+    A phrase is looked up by one word: of the words inside it (not at its edges, where they may be parts of longer words) by
+    the one that the fewest documents have; where there is none, by each word of the corpus that its longer edge may be a
+    part of.  All joins are equi joins, the rarest words come first, and ``contains`` settles what meets.
     """
-    docs = corpus.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
     in_docs = docs.select("doc_id", F.explode(F.array_distinct(F.split("body", r"\s+"))).alias("word")).where("word <> ''")
 
     words = F.filter(F.split("phrase", r"\s+"), lambda w: w != "")
     size = F.size(words)
-    phrases = tiers.select(entity, "tier", "phrase", words.alias("words")).where(size > 0)
+    phrases = phrases.select(entity, "tier", "phrase", words.alias("words"))
     inner = phrases.where(size > 2).select(entity, "tier", "phrase", F.explode(F.array_distinct(F.slice("words", 2, size - 2))).alias("word"))
     sought = inner.select("word").distinct()
     counts = in_docs.join(_few(sought), "word").groupBy("word").agg(F.count("*").alias("n"))
@@ -120,9 +122,26 @@ def tiered_search(tiers: DataFrame, corpus: DataFrame, hits: int, entity: str =
     fitting = F.filter("lengths", lambda n: n <= F.length("word"))
     parts = F.flatten(F.transform(fitting, lambda n: F.transform(starts(n), lambda k: F.substring(F.col("word"), k, n))))
     around = of.select("word", "side", F.explode(F.array_distinct(parts)).alias("edge")).join(edges.select("side", "edge").distinct(), ["side", "edge"])
-    listed = rarest.unionByName(edges.join(around, ["side", "edge"]).select(entity, "tier", "phrase", "word")).persist()  # small, and read twice
+    listed = rarest.unionByName(edges.join(around, ["side", "edge"]).select(entity, "tier", "phrase", "word"))
     met = in_docs.join(_few(listed.select("word").distinct()), "word")
-    found = met.join(listed, "word").select(entity, "tier", "phrase", "doc_id").join(docs, "doc_id").where(F.contains("body", "phrase"))
+    return met.join(listed, "word").select(entity, "tier", "phrase", "doc_id").join(docs, "doc_id").where(F.contains("body", "phrase"))
+
+
+def tiered_search(
+    tiers: DataFrame, corpus: DataFrame, hits: int, entity: str = "item_id", doc_id: str = "doc_id", text: str = "text", max_phrase_chars: int = MAX_PHRASE_CHARS,
+) -> DataFrame:
+    """First tier with a hit for each entity and its first ``hits`` documents; entities without any get one row of NULLs.
+
+    A phrase hits a document that contains it; a phrase without a word hits none.  Automata over the phrases pass over each
+    body where it lies.  Phrases of more than ``max_phrase_chars`` signs in all, which would take too many passes, are looked
+    up by their words instead.
+    """
+    docs = corpus.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
+    phrases = tiers.select(entity, "tier", "phrase").where(F.col("phrase").rlike(r"[^ \t\n\x0B\f\r]"))
+    if phrases.agg(F.coalesce(F.sum(F.length("phrase")), F.lit(0))).first()[0] <= max_phrase_chars:
+        found = containing(docs, phrases, hits).join(phrases, "phrase")
+    else:
+        found = _by_words(phrases, docs, entity)
     found = found.select(entity, "tier", "doc_id").distinct()
     best = Window.partitionBy(entity).orderBy("tier", "doc_id")
     chosen = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= hits)

@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 from ..functions.text import currency, nearest_upcoming, show_date
 from ..params import DEFAULTS, PLATE, SECTIONS, VEHICLES, Params
+from .phrases import name_places
 
 #: Input numbers that one task orders within a section.
 BLOCK = 1 << 16
 
 
-def location_route(rows: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Adds ``route``: kept, other_location or unknown_location; every row gets one."""
+def location_route(rows: DataFrame, params: Params = DEFAULTS, keywords: DataFrame | None = None, key: str = "input_seq") -> DataFrame:
+    """Adds ``route``: kept, other_location or unknown_location; every row gets one.
+
+    ``keywords`` is a table (``keyword``) of any number of further keywords, found in one pass over each location; ``key``
+    tells the rows apart.
+    """
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     state = F.coalesce(F.lower("state").isin([s.lower() for s in params.included_states]), F.lit(False))
     place = F.lower("location")
     word = F.coalesce(F.exists(F.array(*[F.lit(k) for k in params.included_keywords]).cast("array<string>"), lambda k: F.contains(place, k)), F.lit(False))
-    return rows.withColumn(
-        "route", F.when(empty("location") & empty("state"), "unknown_location").when(state | word, "kept").otherwise("other_location")
-    )
+    if keywords is not None:
+        names = keywords.select(F.lit(0).alias("ord"), F.lit("").alias("name"), F.col("keyword").alias("variant"))
+        rows = name_places(rows, "location", names, key, "__keywords", bounds=False)
+        word = word | (F.col("__keywords.n") > 0)
+    route = F.when(empty("location") & empty("state"), "unknown_location").when(state | word, "kept").otherwise("other_location")
+    return rows.withColumn("route", route).drop("__keywords")
 
 
 def asset_exclusion(rows: DataFrame) -> DataFrame:

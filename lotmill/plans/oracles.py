@@ -191,7 +191,10 @@ POSSESSION_FLAGS = """CASE WHEN p_both THEN 'possession.ambiguous' END, CASE WHE
         CASE WHEN land_classification IS NULL THEN 'land.none' END, CASE WHEN land_classification IS NOT NULL AND notice_text IS NULL THEN 'land.from_assets' END"""
 LOCATION_FLAG = "CASE WHEN location IS NULL THEN 'location.unknown' END"
 SCORE_FLAGS = f"concat_ws('; ', {PRICE_FLAG}, {LOCATION_FLAG}, {POSSESSION_FLAGS})"
-HREF = """(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)"""
+#: Anchors are cut out first, without comments, scripts and styles; then the address of each is read from its attributes.
+BARE = r"regexp_replace(html, '<!--.*?-->|<(script|style)\b.*?</(script|style)\s*>', '', 'gis')"
+ANCHOR = r"""(?i)<a(?:\s+(?:[^\s"''>=]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+))?\s*)*)?>"""
+ADDRESS = r"""(?i)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
 PLAIN = "replace(replace(replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', ''''), '&amp;', '&')"
 JSON_FIELDS = ("corporate_debtor", "notice_type", "ip_name", "auction_date", "emd_due_date", "reserve_price", "nature_of_assets", "location")
 AS_JSON = "'{' || " + " || ',' || ".join(
@@ -270,6 +273,12 @@ ORACLES = {
         CASE WHEN f.listing_key IS NOT NULL THEN f.notice_parsed ELSE e.notice_at_enrich END AS notice_at_enrich
         FROM enrichment e FULL JOIN fresh f ON e.listing_key = f.listing_key""",
     "location_route": with_views("v_listings", LOCATED) + f"SELECT input_seq, named[1] AS state, {ROUTE} AS route FROM located",
+    "place_from_table": with_views(
+        "v_listings", "names AS (SELECT n_nationkey AS ord, n_name AS name FROM nation UNION ALL SELECT 1000 + r_regionkey, r_name FROM region)",
+        "hits AS (SELECT input_seq, name, ord FROM v_listings, names WHERE regexp_matches(location, '(?i)\\b' || name || '\\b'))",
+    ) + "SELECT l.input_seq, arg_min(name, ord) AS name, CAST(count(name) AS INT) AS n FROM v_listings l LEFT JOIN hits USING (input_seq) GROUP BY l.input_seq",
+    "keyword_route": with_views("v_listings", LOCATED) + """SELECT input_seq, named[1] AS state, CASE WHEN coalesce(location, '') = '' AND len(named) = 0 THEN 'unknown_location'
+        WHEN EXISTS (SELECT 1 FROM nation WHERE n_nationkey % 3 = 0 AND contains(lower(location), lower(n_name))) THEN 'kept' ELSE 'other_location' END AS route FROM located""",
     "asset_exclusion": with_views("v_listings") + f"SELECT input_seq, {EXCLUDED} AS excluded FROM v_listings",
     "report_sections": with_views(*SECTIONED) + "SELECT section, CAST(nth AS INT) AS nth, input_seq FROM sections",
     "report_counts": with_views(*SECTIONED) + zero_filled(SECTIONS, "section", "sections"),
@@ -301,8 +310,10 @@ best AS (
     "json_props_parse": "SELECT event_id, array_to_string(list_sort(json_keys(props)), ',') AS keys, array_to_string(list_transform(json_keys(props), lambda k: json_extract_string(props, '$.' || k)), ',') AS first_values FROM events",
     "page_links": f"""SELECT *, CASE WHEN url IS NULL THEN 'link.unusable' END AS flag FROM (
         SELECT page_id, CAST(nth AS INT) - 1 AS nth, CASE WHEN href = '' OR href LIKE 'javascript%' THEN NULL WHEN href LIKE 'http%' THEN href ELSE 'https://listings.example' || href END AS url FROM (
-        SELECT page_id, nth, trim(raw, '"''') AS href FROM (
-        SELECT page_id, generate_subscripts(regexp_extract_all(html, '{HREF}', 1), 1) AS nth, unnest(regexp_extract_all(html, '{HREF}', 1)) AS raw FROM pages)))""",
+        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) AS nth, trim(replace(replace(trim(address, '"'''), '&amp;', '&'), '&#38;', '&')) AS href FROM (
+        SELECT page_id, place, regexp_extract(anchor, '{ADDRESS}', 1) AS address FROM (
+        SELECT page_id, generate_subscripts(regexp_extract_all({BARE}, '{ANCHOR}'), 1) AS place, unnest(regexp_extract_all({BARE}, '{ANCHOR}')) AS anchor FROM pages)
+        WHERE regexp_matches(anchor, '{ADDRESS}'))))""",
     "teaser_collapse": with_views("v_listings") + "SELECT input_seq, CASE WHEN input_seq % 3 = 2 THEN 'Other ... | ' || trim(nature_of_assets) ELSE trim(nature_of_assets) END AS text, input_seq % 3 = 2 AS uncertain FROM v_listings",
     "html_table_roundtrip": with_views("v_listings") + """SELECT input_seq, notice_type, auction_date, notice_date, corporate_debtor, ip_name, reserve_price, nature_of_assets,
         'https://listings.example/n/' || CAST(input_seq AS VARCHAR) || '.pdf' AS notice_url, CASE WHEN NOT cut THEN 'https://listings.example/d/' || CAST(input_seq AS VARCHAR) || '.pdf' END AS details_url,

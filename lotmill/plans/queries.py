@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import changes, dedup, enrich, report, scoring
+from ..operators import changes, dedup, enrich, phrases, report, scoring
 from ..params import FORM_REQUIRED, HEADER_FIELDS, PROXY, REGIONS, TRACKED
 from ..sources import pages as P
 from ..sources import registry as R
@@ -362,6 +362,26 @@ def location_route(spark, sf_dir):
     return report.location_route(_located(spark, sf_dir), PROXY).select("input_seq", "state", "route")
 
 
+def _place_names(spark, sf_dir):
+    """Nations, then regions: a list of names in order, with a variant each."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"), F.lower("n_name").alias("variant"))
+    return nations.unionByName(table(spark, sf_dir, "region").select((F.col("r_regionkey") + 1000).alias("ord"), F.col("r_name").alias("name"), F.col("r_name").alias("variant")))
+
+
+@query
+def place_from_table(spark, sf_dir):
+    """The first place of a table that each location names, and how many it names."""
+    rows = phrases.name_places(listings(spark, sf_dir), "location", _place_names(spark, sf_dir), "input_seq")
+    return rows.select("input_seq", "named.name", "named.n")
+
+
+@query
+def keyword_route(spark, sf_dir):
+    """Routes by a table of keywords: every third nation."""
+    keywords = table(spark, sf_dir, "nation").where("n_nationkey % 3 = 0").select(F.col("n_name").alias("keyword"))
+    return report.location_route(_located(spark, sf_dir), keywords=keywords).select("input_seq", "state", "route")
+
+
 @query
 def asset_exclusion(spark, sf_dir):
     return report.asset_exclusion(listings(spark, sf_dir)).select("input_seq", "excluded")

@@ -117,14 +117,32 @@ def missing_fields(mapped: DataFrame, expected: Sequence[str]) -> DataFrame:
     return found.select("page", F.array_sort(F.array_except(F.array(*[F.lit(e) for e in expected]), "found")).alias("missing"))
 
 
-#: An address in double, single or no quotes; tags and attributes in any case.
-HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+class _Links(HTMLParser):
+    """Addresses of all anchors that have one, as a browser sees them: no comments, scripts or styles, references decoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.hrefs: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and (href := next((v for k, v in attrs if k == "href"), None)) is not None:
+            self.hrefs.append(href.strip())
 
 
 def page_links(pages: DataFrame, base_url: str, id_col: str = "page_id") -> DataFrame:
     """Links of a page in order, absolute; NULL with a flag for scripts and empty ones."""
-    hrefs = F.transform(F.regexp_extract_all("html", F.lit(HREF), 1), lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
-    rows = pages.select(id_col, F.posexplode(hrefs).alias("nth", "href")).withColumn("url", absolute_link(F.col("href"), base_url))
+
+    @F.pandas_udf("array<string>")
+    def hrefs(htmls: pd.Series) -> pd.Series:
+        out = []
+        for html in htmls:
+            parser = _Links()
+            parser.feed(html or "")
+            parser.close()
+            out.append(parser.hrefs)
+        return pd.Series(out, dtype=object)
+
+    rows = pages.select(id_col, F.posexplode(hrefs("html")).alias("nth", "href")).withColumn("url", absolute_link(F.col("href"), base_url))
     return rows.withColumn("flag", F.when(F.col("url").isNull(), "link.unusable"))
 
 

@@ -112,3 +112,14 @@ def test_form_labels_count_where_they_stand_first(spark):
     got = [r[0] for r in df.select(T.form_fields(F.col("t"))).collect()]
     assert got[0] == {"corporate_debtor_pdf": "A B", "reserve_price_pdf_raw": "5", "location_raw": "Pune 10. Reserve Price 6"}
     assert got[1] == {"cin": "U1 Unique Number - 3", "emd_amount_raw": ""} and got[2] == {} and not got[3]
+
+
+def test_areas_of_absurd_size(spark):
+    df = spark.createDataFrame([("99,99,99,99,999 hectares",), ("9" * 400 + " acres",), ("9" * 40 + " sq ft",)], "t string")
+    got = [r[0].sqft for r in df.select(T.plot_size(T.area_mentions(F.col("t")))).collect()]
+    assert got[0] == pytest.approx(99999999999 * 107639.1, rel=1e-3) and got[2] == 1e40 and got[1] in (None, float("inf"))
+
+
+def test_rounding_beyond_decimals(spark):
+    row = spark.range(1).select(T.round1(F.lit(2.25)).alias("a"), T.round1(F.lit(1e300)).alias("b"), T.round1(F.lit(float("nan"))).alias("c"), T.mean_known(F.lit(1e15), F.lit(None).cast("double")).alias("d")).first()
+    assert (row.a, row.b, row.d) == (2.3, 1e300, 1e15) and row.c != row.c

@@ -1,6 +1,7 @@
 import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotmill.operators import changes, dedup, enrich, report, scoring
@@ -180,10 +181,12 @@ def test_merge_preserves_modules(spark):
     ]
 
 
-def test_tiered_search_equals_contains(spark):
+@pytest.mark.parametrize("chars", [2**20, 0])
+def test_tiered_search_equals_contains(spark, chars):
+    """By automata, and by words where there are too many phrases."""
     docs = [(1, "the quick brown fox jumps"), (2, "a quick brown dog"), (3, "quick-brown"), (4, None), (5, "xquick brown foxy"), (6, "a a the a the of"), (7, "aa\tbb  cc")]
     tiers = [(1, 1, "quick brown cat"), (1, 2, "quick brown"), (2, 1, "nothing like it"), (2, 2, "zzz"), (3, 1, "quick brown fox"), (4, 1, "own"), (5, 1, "k b"), (6, 1, " quick "), (7, 1, "a the a"), (8, 1, "quick-b"), (9, 1, "a\tb"), (10, 1, "b  c"), (11, 1, "")]
-    got = enrich.tiered_search(spark.createDataFrame(tiers, "item_id int, tier int, phrase string"), spark.createDataFrame(docs, "doc_id int, text string"), 3)
+    got = enrich.tiered_search(spark.createDataFrame(tiers, "item_id int, tier int, phrase string"), spark.createDataFrame(docs, "doc_id int, text string"), 3, max_phrase_chars=chars)
     want = []
     for item in range(1, 12):
         for tier, phrase in sorted((t, p) for i, t, p in tiers if i == item):
@@ -218,3 +221,10 @@ def test_problem_lines(spark):
     df = spark.createDataFrame([(k, f"p{k}") for k in range(12)], "seq int, reason string")
     row = report.problem_lines(df).first()
     assert row.first == [f"p{k}" for k in range(10)] and row.more == 2
+
+
+def test_unknown_flags_enrich_again(spark):
+    rows = spark.createDataFrame([("a", "unchanged", True, False), ("b", "unchanged", False, True), ("c", "unchanged", False, False)], "listing_key string, status string, details_parsed boolean, notice_parsed boolean")
+    stored = spark.createDataFrame([(k, None, None) for k in "abc"], "listing_key string, details_at_enrich boolean, notice_at_enrich boolean")
+    got = enrich.enrichment_route(rows, stored).orderBy("listing_key").collect()
+    assert [(r.route, r.reason) for r in got] == [("reenrich", "details_parsed"), ("reenrich", "notice_parsed"), ("reuse", None)]

@@ -30,6 +30,13 @@ def test_links_in_any_quotes(spark):
     assert [(r.url, r.flag) for r in got] == [("b/1", None), ("b/2", None), ("b/3", None), (None, "link.unusable"), (None, "link.unusable")]
 
 
+def test_links_as_a_parser_sees_them(spark):
+    html = """<a href="/x?a=1&amp;b=2">1</a><!-- <a href="/c">no</a> --><script>var s = '<a href="/s">no</a>';</script><a title="a>b" href=/t>2</a><a
+    href=" /pad ">3</a><a name=x>none</a>"""
+    got = pages.page_links(spark.createDataFrame([(1, html), (2, None)], "page_id int, html string"), "b").orderBy("nth").collect()
+    assert [(r.nth, r.url) for r in got] == [(0, "b/x?a=1&b=2"), (1, "b/t"), (2, "b/pad")]
+
+
 def test_nested_result_blocks(spark):
     html = '<div class="result"><div><div><a href="u">T &amp; <b>x</b></a></div></div><span class="result__snippet">s <span>t</span> u</span></div><div class="other"><a href=v>no</a></div>'
     got = pages.result_blocks(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")).collect()
