@@ -2,7 +2,7 @@
 
 The order of observations within a key is all that counts, so one window by key does what a row-at-a-time fold would:
 the first observation owns the key; others of another identity are collisions and touch nothing; among the owner's, each
-is compared with the one before.  Stored state enters as an observation before all others.
+is compared with the one before.  Stored state stands before all observations of its key.
 """
 
 from __future__ import annotations
@@ -25,6 +25,15 @@ def keyed(rows: DataFrame) -> DataFrame:
     })
 
 
+def held(state: DataFrame) -> DataFrame:
+    """What change detection needs of stored state, by the key as it is stored."""
+    key = F.col("listing_key") if "listing_key" in state.columns else listing_key([F.col(c) for c in IDENTITY])
+    return state.select(
+        key.alias("listing_key"), F.array(*[norm(F.col(c)) for c in IDENTITY]).alias("__owner"), F.array(*[norm(F.col(c)) for c in TRACKED]).alias("__last"),
+        F.col("reserve_price").cast("long").alias("__paid"),
+    )
+
+
 def price_drop(old: Column, new: Column, zero_is_unknown: bool = False) -> Column:
     known = old.isNotNull() & new.isNotNull()
     if zero_is_unknown:
@@ -38,17 +47,21 @@ def change_status(
     """Every observation with ``status``, ``changes`` (field, old and new text) and ``price_drop``.
 
     ``order`` names the columns by which observations follow each other.  ``state`` holds at most one row a listing with the
-    identity and tracked fields; its rows come first and are not returned.
+    identity and tracked fields, which stand before all observations; where it is bucketed by ``listing_key``, it does not move.
     """
-    now = keyed(rows).withColumn("__stored", F.lit(False))
-    if state is not None:
-        held = keyed(state).select("listing_key", *IDENTITY, *TRACKED, "__identity", "__tracked", F.lit(True).alias("__stored"))
-        now = now.unionByName(held, allowMissingColumns=True)
-    by_key = Window.partitionBy("listing_key").orderBy(F.col("__stored").desc(), *order)
-    now = now.withColumn("__collides", F.col("__identity") != F.first("__identity").over(by_key))
-    chain = Window.partitionBy("listing_key", "__collides").orderBy(F.col("__stored").desc(), *order)
-    before, old_price = F.lag("__tracked").over(chain), F.lag("reserve_price").over(chain)
-    now = now.withColumns({"__before": before, "__old_price": old_price})
+    now = keyed(rows)
+    if state is None:
+        now = now.withColumns({"__owner": F.lit(None).cast("array<string>"), "__last": F.lit(None).cast("array<string>"), "__paid": F.lit(None).cast("long")})
+    else:
+        now = now.join(held(state), "listing_key", "left")
+    by_key = Window.partitionBy("listing_key").orderBy(*order)
+    now = now.withColumn("__collides", F.col("__identity") != F.coalesce("__owner", F.first("__identity").over(by_key)))
+    chain = Window.partitionBy("listing_key", "__collides").orderBy(*order)
+    inside, own = F.lag(F.lit(True)).over(chain).isNotNull(), ~F.col("__collides")
+    now = now.withColumns({
+        "__before": F.when(inside, F.lag("__tracked").over(chain)).when(own, F.col("__last")),
+        "__old_price": F.when(inside, F.lag("reserve_price").over(chain)).when(own, F.col("__paid")),
+    })
     status = (
         F.when(F.col("__collides"), "collision").when(F.col("__before").isNull(), "new")
         .when(F.col("__before") == F.col("__tracked"), "unchanged").otherwise("changed")
@@ -62,10 +75,10 @@ def change_status(
     ])
     changed = F.col("status") == "changed"
     return (
-        now.withColumn("status", status).where(~F.col("__stored"))
+        now.withColumn("status", status)
         .withColumn("changes", F.when(changed, F.array_compact(fields)).otherwise(F.array().cast(fields_type())))
         .withColumn("price_drop", changed & price_drop(F.col("__old_price"), F.col("reserve_price"), zero_is_unknown))
-        .drop("__identity", "__tracked", "__stored", "__collides", "__before", "__old_price")
+        .drop("__identity", "__tracked", "__owner", "__last", "__paid", "__collides", "__before", "__old_price")
     )
 
 
@@ -75,13 +88,11 @@ def fields_type() -> str:
 
 def preview(rows: DataFrame, state: DataFrame) -> DataFrame:
     """Status of each row against stored state alone: rows of the same key do not see each other."""
-    new, old = keyed(rows), keyed(state)
-    old = old.select("listing_key", F.col("__identity").alias("__i"), F.col("__tracked").alias("__t"))
     status = (
-        F.when(F.col("__i").isNull(), "new").when(F.col("__i") != F.col("__identity"), "collision")
-        .when(F.col("__t") == F.col("__tracked"), "unchanged").otherwise("changed")
+        F.when(F.col("__owner").isNull(), "new").when(F.col("__owner") != F.col("__identity"), "collision")
+        .when(F.col("__last") == F.col("__tracked"), "unchanged").otherwise("changed")
     )
-    return new.join(old, "listing_key", "left").withColumn("status", status).drop("__identity", "__tracked", "__i", "__t")
+    return keyed(rows).join(held(state), "listing_key", "left").withColumn("status", status).drop("__identity", "__tracked", "__owner", "__last", "__paid")
 
 
 def history(changed: DataFrame, at: str) -> DataFrame:

@@ -1,41 +1,110 @@
-"""Change detection over snapshots as they arrive."""
+"""Change detection over snapshots as they arrive, with keyed state in Spark's state store.
+
+A stateful processor holds for each listing key its owner, the owner's last tracked values and what is known of its history.
+A batch reads and writes the keys that it brings; the state store's changelog makes up its checkpoint, so that work grows
+with the batch and not with the state, and a restart goes on where the checkpoint ends.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.changes import keyed
+from ..params import IDENTITY, TRACKED
+from ..sources.state import as_json, replace_batch
 
-from ..operators.changes import change_status, final_state, merge_state
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Normalised values as JSON arrays, prices and times as they came.
+HELD = "owner string, tracked string, price long, first_seen string, last_seen string, last_changed string, observations long, owner_json string, raw_json string"
+STATUS = (
+    "listing_key string, nth string, at string, status string, price_drop boolean, changes array<struct<field: string, old_value: string, new_value: string>>, "
+    "incoming_json string, existing_json string"
+)
 
 
-class SnapshotState:
-    """Versions of the listing state below a path; a version is complete once its marker of success is there.
+class ListingState(StatefulProcessor):
+    """Status of each observation of a key against the one before; the first observation owns the key.
 
-    Versions follow the numbers of the stream's batches, so a batch that runs again writes the same version over.
+    Observations of a batch follow each other by ``order``; a batch follows the batches before it, whatever its dates.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.listing = handle.getValueState("listing", HELD)
 
-    def read(self, version: int) -> DataFrame | None:
-        return None if version < 0 else self.spark.read.parquet(f"{self.path}/state/version={version}")
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values("nth", kind="stable")
+        held = list(self.listing.get()) if self.listing.exists() else None
+        out = []
+        for r in batch.itertuples(index=False):
+            price = None if pd.isna(r.price) else int(r.price)
+            drop, changes, existing = False, [], None
+            if held is None:
+                status, held = "new", [r.identity, r.tracked, price, r.at, r.at, r.at, 1, r.row_json, r.row_json]
+            elif held[0] != r.identity:
+                status, existing = "collision", held[8]
+            else:
+                status = "unchanged" if held[1] == r.tracked else "changed"
+                if status == "changed":
+                    drop = held[2] is not None and price is not None and price < held[2]
+                    pairs = zip(TRACKED, json.loads(held[1]), json.loads(r.tracked))
+                    changes = [{"field": f, "old_value": a, "new_value": b} for f, a, b in pairs if a != b]
+                    held[5], held[8] = max(held[5], r.at), r.row_json
+                held[1:3], held[3], held[4], held[6] = [r.tracked, price], min(held[3], r.at), max(held[4], r.at), held[6] + 1
+            out.append((key[0], r.nth, r.at, status, drop, changes, r.row_json, existing))
+        self.listing.update(tuple(held))
+        yield pd.DataFrame(out, columns=["listing_key", "nth", "at", "status", "price_drop", "changes", "incoming_json", "existing_json"])
 
-    def apply(self, batch: DataFrame, version: int, order: Sequence[str], at: str) -> None:
-        """Statuses of one batch and the next version of the state."""
-        old = self.read(version - 1)
-        changed = change_status(batch, order, old)
-        changed.write.mode("overwrite").parquet(f"{self.path}/changes/version={version}")
-        changed = self.spark.read.parquet(f"{self.path}/changes/version={version}")
-        new = final_state(changed, order, at)
-        (new if old is None else merge_state(old, new)).write.mode("overwrite").parquet(f"{self.path}/state/version={version}")
+    def close(self) -> None:
+        pass
 
 
-def follow(stream: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ("run_date", "input_seq"), at: str = "run_date") -> StreamingQuery:
-    """Apply every arriving batch of snapshots to the state below ``path``; late rows count when they arrive."""
-    state = SnapshotState(stream.sparkSession, path)
-    return (
-        stream.writeStream.foreachBatch(lambda batch, k: state.apply(batch, k, order, at))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def statuses(stream: DataFrame, order: Sequence[str], at: str) -> DataFrame:
+    """The stream of statuses: key, place in the order (``nth``), time, status, changes, price drop, and the rows as JSON."""
+    rows = keyed(stream)
+    asked = rows.select(
+        "listing_key", F.to_json("__identity").alias("identity"), F.to_json("__tracked").alias("tracked"), F.col("reserve_price").cast("long").alias("price"),
+        F.array_join(F.array(*[_sortable(rows, c) for c in order]), " ").alias("nth"), F.col(at).cast("string").alias("at"),
+        as_json(rows.select(*IDENTITY, *TRACKED, *[c for c in (*order, at) if c not in (*IDENTITY, *TRACKED)])).alias("row_json"),
     )
+    return asked.groupBy("listing_key").transformWithStateInPandas(ListingState(), outputStructType=STATUS, outputMode="Append", timeMode="None")
+
+
+def _sortable(rows: DataFrame, column: str) -> F.Column:
+    """Text that sorts as the column does: whole numbers with leading zeros, others (dates, times, texts) as they are shown."""
+    if dict(rows.dtypes)[column] in ("tinyint", "smallint", "int", "bigint"):
+        return F.lpad((F.col(column).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def follow(
+    stream: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ("run_date", "input_seq"), at: str = "run_date", writer: str = "stream",
+) -> StreamingQuery:
+    """Statuses of every arriving batch, as a batch of a log below ``path``; a batch that runs again replaces what it wrote."""
+    spark = stream.sparkSession
+    out = statuses(stream, order, at)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)  # the query takes the setting along when it starts
+    try:
+        return (
+            out.writeStream.foreachBatch(lambda batch, k: replace_batch(batch, path, writer, k))
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
+def listing_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state after the last batch, a row for each listing key, out of the checkpoint."""
+    rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "listing").load()
+    return rows.select(F.col("key.listing_key").alias("listing_key"), "value.*")
