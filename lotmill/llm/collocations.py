@@ -1,6 +1,6 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
-A pass for each length of prefix, from none to three words, reads whole texts in blocks of ``BLOCK_WORDS`` words.  A block
+A pass for each length of prefix, from none to three words, reads whole texts in blocks of some ``BLOCK_CHARS`` signs.  A block
 counts the words after each prefix and sends one stripe a prefix: its next words and their counts.  Stripes of a prefix meet
 in one task and are merged word by word.  An entry of a merged stripe is an extension's count; a count is at once the total
 of the next, longer prefix; and the largest entries of a stripe, and of the entries that end alike, tell what holds a phrase.
@@ -30,7 +30,7 @@ TOP = 2000
 MAX_WORDS = 4
 #: A phrase goes where a longer one holds at least so many hundredths of its occurrences.
 HELD = 80
-BLOCK_WORDS = 1 << 20
+BLOCK_CHARS = 6 << 20
 SLICE_CHARS = 1 << 20
 MAX_FILTER_BITS = 2**29
 BITS_PER_PHRASE = 16
@@ -38,7 +38,8 @@ PARTS = 1024
 #: Bits of one bitmap of Spark's.
 BITMAP = 32_768
 BREAKS = ".,;:!?\x0b\x0c\r"
-STRIPES = "lang string, prefix string, part int, nexts array<string>, counts array<long>"
+#: A stripe travels as one text: its next words, with a tab and the count behind those that come more than once.
+STRIPES = "lang string, prefix string, part int, nexts string"
 
 
 def _mixed(z: np.ndarray) -> np.ndarray:
@@ -51,12 +52,16 @@ def word_hash(lang: str, word: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{lang}\n{word}".encode("utf-8", "surrogatepass"))
 
 
+def _joined(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return _mixed(phrase * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
 def phrase_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words at each place of a run of word hashes."""
     places = max(0, len(hashes) - size + 1)
     out = hashes[:places]
     for k in range(1, size):
-        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + places])
+        out = _joined(out, hashes[k : k + places])
     return out
 
 
@@ -98,19 +103,6 @@ def phrase_filter(phrases: DataFrame, size: int, max_filter_bits: int) -> Phrase
     return PhraseFilter(bits, data)
 
 
-class _Ids(dict):
-    """Numbers of a language's words in a block; white space left over is -2, a break -1."""
-
-    def __init__(self, words: list[tuple[str, str]], lang: str) -> None:
-        super().__init__({"": -2, "\n": -1})
-        self.words, self.lang = words, lang
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self.words)
-        self.words.append((self.lang, word))
-        return number
-
-
 def _slices(text: str) -> Iterator[str]:
     """A text in parts of bounded length, cut at a space."""
     start = 0
@@ -124,74 +116,115 @@ def _slices(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def _numbered(langs: list[str], pieces: list[str]) -> tuple[list[tuple[str, str]], np.ndarray]:
+    """Words of pieces of text, told apart by language, and the number of the word at each place; a break is -1."""
+    tokens = pc.split_pattern(pc.replace_substring(pa.array(pieces, pa.string()), "\n", " \n "), " ")
+    names = {g: k for k, g in enumerate(dict.fromkeys(langs))}
+    lang = np.repeat(np.array([names[g] for g in langs], np.int64), np.asarray(tokens.value_lengths()))
+    encoded = tokens.flatten().dictionary_encode()
+    number, texts = np.asarray(encoded.indices).astype(np.int64), encoded.dictionary.to_pylist()
+    kind = np.array([-2 if t == "" else -1 if t == "\n" else 0 for t in texts], np.int64)[number] if texts else number
+    lang, number, kind = (x[kind > -2] for x in (lang, number, kind))
+    both = lang * len(texts) + number
+    used, ids = np.unique(both[kind == 0], return_inverse=True) if len(names) * len(texts) > 1 << 26 else _dense(both[kind == 0], len(names) * len(texts))
+    places = np.full(len(kind), -1, np.int64)
+    places[kind == 0] = ids
+    listed = list(names)
+    return [(listed[c // len(texts)], texts[c % len(texts)]) for c in used.tolist()], places
+
+
+def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the place of each code among them."""
+    there = np.zeros(size, bool)
+    there[codes] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[codes]
+
+
 def blocks(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[tuple[list[tuple[str, str]], np.ndarray]]:
-    """Words and word numbers by place, a bounded number at a time; windows of ``prefix`` + 1 words lie in one block each."""
-    words, ids, runs, held = [], {}, [], 0
+    """Words and word numbers by place, of a bounded length of text at a time; windows of ``prefix`` + 1 words lie in one block each."""
+    langs, pieces, held = [], [], 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for part in (*_slices(text), "\n"):
-                numbers = ids[lang] if lang in ids else ids.setdefault(lang, _Ids(words, lang))
-                tokens = part.replace("\n", " \n ").split(" ")
-                run = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                runs.append(run[run > -2])
-                held += len(runs[-1])
-                if held >= BLOCK_WORDS:
-                    places = np.concatenate(runs)
+                langs.append(lang)
+                pieces.append(part)
+                held += len(part)
+                if held >= BLOCK_CHARS:
+                    words, places = _numbered(langs, pieces)
                     yield words, places
-                    last, old = places[len(places) - prefix :].tolist() if prefix else [], words
-                    words, ids = [], {}
-                    again = [-1 if k < 0 else ids.setdefault(old[k][0], _Ids(words, old[k][0]))[old[k][1]] for k in last]
-                    runs, held = [np.array(again, np.int64)], prefix
-    if runs:
-        yield words, np.concatenate(runs)
+                    last = places[len(places) - prefix :] if prefix else places[:0]
+                    last = last[np.flatnonzero(np.append(-1, last) < 0)[-1] :].tolist()  # words since the last break: a window may go on
+                    langs, pieces, held = [lang], [" ".join(words[k][1] for k in last)], 0
+    if pieces:
+        yield _numbered(langs, pieces)
+
+
+def _counted(spans: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct windows in the order of their prefixes: a number for each prefix, their words by place, and their counts."""
+    used = np.unique(np.concatenate(spans))
+    size = max(1, len(used))
+    if size ** len(spans) < 2**63:  # a window is one number
+        code = reduce(lambda whole, word: whole * size + word, (np.searchsorted(used, s) for s in spans))
+        code, counts = np.unique(code, return_counts=True)
+        group, left, words = code // size, code, []
+        for _ in spans:
+            left, word = np.divmod(left, size)
+            words.append(used[word] if len(used) else word)
+        return group, words[::-1], counts
+    group = spans[0]
+    for s in spans[1:-1]:
+        group = np.unique(group * (used[-1] + 1) + s, return_inverse=True)[1]
+    code, first, counts = np.unique(group * (used[-1] + 1) + spans[-1], return_index=True, return_counts=True)
+    return code // (used[-1] + 1), [s[first] for s in spans], counts
+
+
+def _parts(prefix: list[np.ndarray], nexts: np.ndarray, hashes: np.ndarray, hot: dict[int, int]) -> np.ndarray:
+    """Part of each entry: by its next word where there is no prefix or a hot one."""
+    if not prefix:
+        return (_mixed(hashes[nexts]) % np.uint64(PARTS)).astype(np.int64)
+    if not hot or not len(nexts):
+        return np.zeros(len(nexts), np.int64)
+    keys = np.sort(np.fromiter(hot, np.uint64, len(hot)))
+    cut = np.array([hot[int(k)] for k in keys], np.uint64)
+    mine = reduce(_joined, (hashes[w] for w in prefix))
+    where = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+    return np.where(keys[where] == mine, _mixed(hashes[nexts]) % cut[where], 0).astype(np.int64)
 
 
 def stripes_of(words: list[tuple[str, str]], ids: np.ndarray, prefix: int, known: PhraseFilter | None, hot: dict[int, int]) -> pa.RecordBatch:
     """Stripes of a block: for each prefix, and each part of it, its next words and their counts."""
     hashes = np.array([word_hash(*w) for w in words] + [0], np.uint64)
-    places = max(0, len(ids) - prefix)
     if prefix:
-        spans, unbroken = len(ids) - prefix + 1, ids >= 0
-        at_each = phrase_hashes(hashes[ids], prefix)
-        good = reduce(np.logical_and, (unbroken[k : k + spans] for k in range(prefix))) if spans > 0 else np.empty(0, bool)
-        good[good] = known.holds(at_each[good])
+        spans, unbroken = max(0, len(ids) - prefix + 1), ids >= 0
+        good = reduce(np.logical_and, (unbroken[k : k + spans] for k in range(prefix)))
+        good[good] = known.holds(phrase_hashes(hashes[ids], prefix)[good])
         at = np.flatnonzero(good[:-1] & good[1:])
     else:
-        at = np.flatnonzero(ids[:places] >= 0)
-    size = len(words) + 1
-    if prefix:
-        group, first = ids[at], at
-        for k in range(1, prefix):
-            group = np.unique(group * size + ids[at + k], return_inverse=True)[1]
-        code, first, counts = np.unique(group * size + ids[at + prefix], return_index=True, return_counts=True)
-        group = code // size
-    else:  # one stripe a language, and its parts
-        langs = {g: k for k, g in enumerate(dict.fromkeys(g for g, _ in words))}
-        code, first, counts = np.unique(ids[at], return_index=True, return_counts=True)
-        group = np.array([langs[words[c][0]] for c in code], np.int64)
-    first = at[first]
-    part = np.zeros(len(first), np.int64)
-    if prefix and hot:
-        keys = np.sort(np.fromiter(hot, np.uint64, len(hot)))
-        cut = np.array([hot[int(k)] for k in keys], np.int64)
-        mine = at_each[first]
-        where = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-        part = np.where(keys[where] == mine, _mixed(hashes[ids[first + prefix]]).astype(np.int64) % cut[where], 0)
-    elif not prefix:
-        part = _mixed(hashes[ids[first]]).astype(np.int64) % PARTS
-    order = np.lexsort((part, group))
-    group, part, first, counts = group[order], part[order], first[order], counts[order]
-    heads = np.flatnonzero(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(part) != 0)])) if len(first) else np.empty(0, np.int64)
+        at = np.flatnonzero(ids >= 0)
+    langs = {g: k for k, g in enumerate(dict.fromkeys(g for g, _ in words))}
+    group, (*begin, nexts), counts = _counted([ids[at + k] for k in range(prefix + 1)])
+    if not prefix:  # one stripe a language, and its parts
+        group = np.array([langs[g] for g, _ in words], np.int64)[nexts] if words else group
+    key = group * PARTS + _parts(begin, nexts, hashes, hot) if group.max(initial=0) < 2**52 else None
+    if key is None:  # numbers of prefixes made small
+        group = np.cumsum(np.diff(group, prepend=group[:1]) != 0)
+        key = group * PARTS + _parts(begin, nexts, hashes, hot)
+    if (np.diff(key) < 0).any():
+        order = np.argsort(key, kind="stable")
+        key, nexts, counts, begin = key[order], nexts[order], counts[order], [w[order] for w in begin]
+    heads = np.flatnonzero(np.diff(key, prepend=-1))
     texts = pa.array([w for _, w in words], pa.string())
-    begins = [texts.take(pa.array(ids[first[heads] + k])) for k in range(prefix)]
+    begins = [texts.take(pa.array(w[heads])) for w in begin]
     joined = begins[0] if prefix == 1 else pc.binary_join_element_wise(*begins, " ") if prefix else pa.array([""] * len(heads), pa.string())
-    ends = pa.array(np.append(heads, len(first)), pa.int32())
+    after, often = texts.take(pa.array(nexts)), pa.array(counts > 1)
+    counted = pc.binary_join_element_wise(after, pa.array(counts).cast(pa.string()), "\t")
+    stripe = pa.ListArray.from_arrays(pa.array(np.append(heads, len(key)), pa.int32()), pc.if_else(often, counted, after))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([g for g, _ in words], pa.string()).take(pa.array(ids[first[heads]])), joined, pa.array(part[heads], pa.int32()),
-            pa.ListArray.from_arrays(ends, texts.take(pa.array(ids[first + prefix]))), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
+            pa.array([g for g, _ in words], pa.string()).take(pa.array(nexts[heads])), joined, pa.array(key[heads] % PARTS, pa.int32()),
+            pc.binary_join(stripe, " "),
         ],
-        names=["lang", "prefix", "part", "nexts", "counts"],
+        names=["lang", "prefix", "part", "nexts"],
     )
 
 
@@ -207,8 +240,11 @@ def stripes(texts: DataFrame, prefix: int, known: PhraseFilter | None, hot: dict
         release_memory()
 
     met = texts.mapInArrow(work, STRIPES).repartition("lang", "prefix", "part")
-    entries = met.select("lang", "prefix", "part", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    return entries.groupBy("lang", "prefix", "part", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("f")).drop("part")
+    entries = met.select("lang", "prefix", "part", F.explode(F.split("nexts", " ", -1)).alias("e"))
+    tab = F.locate("\t", F.col("e"))
+    count = F.when(tab == 0, 1).otherwise(F.expr("substring(e, locate('\t', e) + 1)").cast("long"))
+    entries = entries.select("lang", "prefix", "part", F.substring_index("e", "\t", 1).alias("next"), count.alias("n"))
+    return entries.groupBy("lang", "prefix", "part", "next").agg(F.sum("n").alias("f")).drop("part")
 
 
 def _hot(counts: DataFrame, words: int) -> dict[int, int]:

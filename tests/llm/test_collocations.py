@@ -54,7 +54,7 @@ def test_small_blocks_and_hot_prefixes(spark, monkeypatch, block, chars, parts):
     rows = [r if r[1] is None else (r[0], r[1][:3000]) for r in texts()]
     want = brute(rows, 5)
     df = spark.createDataFrame(rows, "lang string, text string").coalesce(2)
-    monkeypatch.setattr(C, "BLOCK_WORDS", block)
+    monkeypatch.setattr(C, "BLOCK_CHARS", block)
     monkeypatch.setattr(C, "SLICE_CHARS", chars)
     monkeypatch.setattr(C, "PARTS", parts)
     assert answer(collocations(df, min_count=5)) == want
