@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import currency, nearest_upcoming, show_date
-from ..params import DEFAULTS, PLATE, SECTIONS, VEHICLES, Params
+from ..params import DEFAULTS, PLATE, SECTIONS, STATUSES, VEHICLES, Params
 from .phrases import name_places
 
 #: Input numbers that one task orders within a section.
@@ -117,6 +119,47 @@ def run_summary(changed: DataFrame, routed: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b))
 
 
+def write_counted(rows: DataFrame, path: str, counts: Mapping[str, Column], whole: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
+    """Write ``rows`` to ``path`` and count in the same pass: no second scan.  Returns the counts.
+
+    ``whole`` names counts that have to add up: of each key the listed counts, together, are that count.  Where they do
+    not, rows got lost or were counted twice, and what was written is not to be used: an error says so.
+    """
+    seen = Observation()
+    rows.observe(seen, *[c.alias(name) for name, c in counts.items()]).write.mode("overwrite").parquet(path)
+    found = {name: int(n) for name, n in seen.get.items()}
+    for name, parts in (whole or {}).items():
+        if found[name] != sum(found[p] for p in parts):
+            raise ValueError(f"{name} is {found[name]}, but {' + '.join(parts)} are {sum(found[p] for p in parts)}")
+    return found
+
+
+def status_counts() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), **{f"n_{s}": F.count_if(F.col("status") == s) for s in STATUSES}}
+
+
+def route_counts() -> dict[str, Column]:
+    """Enrichment routes; deferred rows count as reused, as well as on their own."""
+    return {
+        "rows": F.count(F.lit(1)), "reenriched": F.count_if(F.col("route") == "reenrich"), "reused": F.count_if(F.col("route").isin("reuse", "deferred")),
+        "deferred": F.count_if(F.col("route") == "deferred"), "skipped_collision": F.count_if(F.col("route") == "collision"),
+    }
+
+
+def filter_counts() -> dict[str, Column]:
+    """Listings by ``route``, and those that ``excluded`` keeps out."""
+    kept_in = {r: F.count_if((F.col("route") == r) & ~F.col("excluded")) for r in ("kept", "other_location", "unknown_location")}
+    return {"rows": F.count(F.lit(1)), **kept_in, "excluded": F.count_if("excluded")}
+
+
+def fetch_counts() -> dict[str, Column]:
+    """Sources that are fetched and those whose fields come from stored state."""
+    return {"rows": F.count(F.lit(1)), **{
+        f"{s}_{'fetched' if fetched else 'reused'}": F.count_if(F.col(f"need_{s}") if fetched else ~F.col(f"need_{s}"))
+        for s in ("details", "notice") for fetched in (True, False)
+    }}
+
+
 def fetch_summary(gated: DataFrame) -> DataFrame:
     """One row: sources that are fetched and those whose fields come from stored state, of rows with ``need_details`` and ``need_notice``."""
     return gated.agg(*[

@@ -147,6 +147,10 @@ REGISTRY = f"""registry AS (
 lasts AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY state, cin ORDER BY file_pos DESC) AS nth, count(*) OVER (PARTITION BY state, cin) - 1 AS duplicates FROM registry)
   WHERE nth = 1)"""
+EXPECTED = ("andhra pradesh", "delhi", "goa", "karnataka", "maharashtra", "sikkim", "tamil nadu", "telangana", "uttar pradesh", "west bengal")
+BAD_FILES = "('goa', 'delhi', 'sikkim')"
+WHY_GONE = f"""(CASE e.state WHEN 'delhi' THEN 'no_key' WHEN 'sikkim' THEN 'no_rows' WHEN 'goa' THEN 'file_absent'
+    ELSE CASE WHEN e.state IN {EXPECTED} AND e.state NOT IN (SELECT state FROM registry WHERE state IS NOT NULL) THEN 'file_absent' END END)"""
 NAMED = "[" + ", ".join(f"CASE WHEN regexp_matches(location, '(?i)\\b{n.replace(' ', chr(92) + 's+')}\\b') THEN '{n}' END" for n, _ in REGIONS) + "]"
 LOCATED = f"located AS (SELECT *, list_filter({NAMED}, lambda x: x IS NOT NULL) AS named FROM v_listings)"
 STATUS = "CASE WHEN input_seq % 8 = 0 THEN 'new' WHEN input_seq % 8 = 1 THEN 'changed' WHEN input_seq % 97 = 5 THEN 'collision' ELSE 'unchanged' END"
@@ -201,6 +205,10 @@ AS_JSON = "'{' || " + " || ',' || ".join(
     f"'\"{f}\":' || coalesce(" + (f"CAST({f} AS VARCHAR)" if f == "reserve_price" else f"CAST(to_json(CAST({f} AS VARCHAR)) AS VARCHAR)") + ", 'null')" for f in JSON_FIELDS
 ) + " || '}'"
 BEFORE, AFTER = (part.replace("'", "''") for part in PROMPT.split("%s"))
+LINKS = f"""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) AS nth, trim(replace(replace(trim(address, '"'''), '&amp;', '&'), '&#38;', '&')) AS href FROM (
+        SELECT page_id, place, regexp_extract(anchor, '{ADDRESS}', 1) AS address FROM (
+        SELECT page_id, generate_subscripts(regexp_extract_all({BARE}, '{ANCHOR}'), 1) AS place, unnest(regexp_extract_all({BARE}, '{ANCHOR}')) AS anchor FROM pages)
+        WHERE regexp_matches(anchor, '{ADDRESS}'))"""
 
 ORACLES = {
     "price_percentile": with_views("v_listings") + f"SELECT input_seq, batch_date, reserve_price, {percentile('batch_date')} AS price_score, {PRICE_FLAG} AS price_flag FROM v_listings",
@@ -252,12 +260,15 @@ ORACLES = {
         {flags('cin IF cin IS NULL', 'location_raw IF input_seq % 11 = 0 OR location IS NULL')} AS missing, FALSE AS mismatch FROM v_listings""",
     "registry_normalize": with_views("v_registry", REGISTRY) + "SELECT file_pos, cin, state, company_name, company_status, paidup_capital, CAST(NULL AS VARCHAR) AS company_class FROM registry",
     "registry_dedup": with_views("v_registry", REGISTRY) + "SELECT cin, state, file_pos, company_name, duplicates FROM lasts",
-    "registry_status": with_views("v_registry", REGISTRY, "n AS (SELECT state, count(*) AS n_rows, count(DISTINCT cin) AS n_numbers FROM registry GROUP BY state)")
-    + """SELECT e.state, CASE WHEN e.state = 'goa' THEN 'missing' WHEN n_rows IS NULL THEN 'empty' ELSE 'ok' END AS status, coalesce(n_rows, 0) AS n_rows, coalesce(n_rows - n_numbers, 0) AS duplicates
-        FROM (VALUES ('andhra pradesh'), ('delhi'), ('goa'), ('karnataka'), ('maharashtra'), ('sikkim'), ('tamil nadu'), ('telangana'), ('uttar pradesh'), ('west bengal')) e(state) LEFT JOIN n USING (state)""",
-    "registry_lookup": with_views("v_listings", "v_registry", REGISTRY, f"asked AS (SELECT input_seq, {CIN} AS number, {STATE_OF} AS registry_state FROM v_listings)")
-    + """SELECT input_seq, registry_state, company_name, company_status, CASE WHEN number IS NULL THEN 'no_cin' WHEN registry_state IS NULL THEN 'unmapped_code' WHEN registry_state = 'goa' THEN 'file_absent'
-        WHEN l.cin IS NULL THEN 'no_match' END AS miss_reason FROM asked LEFT JOIN lasts l ON l.state = registry_state AND l.cin = number AND registry_state <> 'goa'""",
+    "registry_status": with_views("v_registry", REGISTRY, f"n AS (SELECT state, count(*) AS n_rows, count(DISTINCT cin) AS n_numbers FROM registry WHERE state NOT IN {BAD_FILES} GROUP BY state)")
+    + f"""SELECT e.state, coalesce({WHY_GONE}, 'ok') AS status, coalesce(n_rows, 0) AS n_rows, coalesce(n_rows - n_numbers, 0) AS duplicates
+        FROM (VALUES {", ".join(f"('{x}')" for x in EXPECTED)}) e(state) LEFT JOIN n USING (state)""",
+    "registry_lookup": with_views("v_listings", "v_registry", REGISTRY, f"asked AS (SELECT input_seq, {CIN} AS number, {STATE_OF} AS state FROM v_listings)")
+    + f"""SELECT input_seq, e.state AS registry_state, company_name, company_status, CASE WHEN number IS NULL THEN 'no_cin' WHEN e.state IS NULL THEN 'unmapped_code' WHEN {WHY_GONE} IS NOT NULL THEN {WHY_GONE}
+        WHEN l.cin IS NULL THEN 'no_match' END AS miss_reason FROM asked e LEFT JOIN lasts l ON l.state = e.state AND l.cin = number AND e.state NOT IN {BAD_FILES}""",
+    "registry_of_two_states": with_views("v_registry", REGISTRY) + "SELECT state, cin, company_name, duplicates FROM lasts WHERE state IN ('karnataka', 'west bengal')",
+    "registry_csv": with_views("v_registry") + """SELECT file_pos AS n, cin, CASE file_pos % 3 WHEN 0 THEN company_name || chr(10) || 'second "line", of ' || CAST(file_pos AS VARCHAR)
+        WHEN 1 THEN '"' || company_name || '"' ELSE company_name END AS company_name FROM v_registry""",
     "refetch_gate": with_views("v_snapshots", *STATE, LATE, PREVIEW) + f"SELECT input_seq, status, {FRESH} OR NOT coalesce(old_details, FALSE) AS need_details, {FRESH} OR NOT coalesce(old_notice, FALSE) AS need_notice FROM preview",
     "field_reuse": with_views("v_snapshots", *STATE, LATE, PREVIEW, f"g AS (SELECT *, known AND NOT ({FRESH} OR NOT coalesce(old_details, FALSE)) AS reused FROM preview)")
     + "SELECT input_seq, CASE WHEN reused THEN 'stored ' || old_ip ELSE 'fresh' END AS location, CASE WHEN reused THEN old_details ELSE details_parsed END AS details_parsed, reused FROM g",
@@ -310,10 +321,7 @@ best AS (
     "json_props_parse": "SELECT event_id, array_to_string(list_sort(json_keys(props)), ',') AS keys, array_to_string(list_transform(json_keys(props), lambda k: json_extract_string(props, '$.' || k)), ',') AS first_values FROM events",
     "page_links": f"""SELECT *, CASE WHEN url IS NULL THEN 'link.unusable' END AS flag FROM (
         SELECT page_id, CAST(nth AS INT) - 1 AS nth, CASE WHEN href = '' OR href LIKE 'javascript%' THEN NULL WHEN href LIKE 'http%' THEN href ELSE 'https://listings.example' || href END AS url FROM (
-        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) AS nth, trim(replace(replace(trim(address, '"'''), '&amp;', '&'), '&#38;', '&')) AS href FROM (
-        SELECT page_id, place, regexp_extract(anchor, '{ADDRESS}', 1) AS address FROM (
-        SELECT page_id, generate_subscripts(regexp_extract_all({BARE}, '{ANCHOR}'), 1) AS place, unnest(regexp_extract_all({BARE}, '{ANCHOR}')) AS anchor FROM pages)
-        WHERE regexp_matches(anchor, '{ADDRESS}'))))""",
+        {LINKS}))""",
     "teaser_collapse": with_views("v_listings") + "SELECT input_seq, CASE WHEN input_seq % 3 = 2 THEN 'Other ... | ' || trim(nature_of_assets) ELSE trim(nature_of_assets) END AS text, input_seq % 3 = 2 AS uncertain FROM v_listings",
     "html_table_roundtrip": with_views("v_listings") + """SELECT input_seq, notice_type, auction_date, notice_date, corporate_debtor, ip_name, reserve_price, nature_of_assets,
         'https://listings.example/n/' || CAST(input_seq AS VARCHAR) || '.pdf' AS notice_url, CASE WHEN NOT cut THEN 'https://listings.example/d/' || CAST(input_seq AS VARCHAR) || '.pdf' END AS details_url,
@@ -321,21 +329,40 @@ best AS (
         FROM (SELECT *, input_seq % 50 = 1 AND date_diff('day', DATE '1990-01-01', notice_date) % 2 = 0 AS cut FROM v_listings)""",
     "malformed_row_reject": with_views("v_listings") + """SELECT CAST(date_diff('day', DATE '1990-01-01', notice_date) AS INT) AS page, CASE WHEN input_seq % 50 = 0 THEN 'row.too_few_cells' ELSE 'good' END AS kind, count(*) AS n
         FROM v_listings GROUP BY 1, 2""",
-    "header_mapping": "SELECT CAST(page_id AS BIGINT) AS page, CAST(k AS INT) AS col_idx, ["
-    + ", ".join(f"'{f}'" for f in HEADER_FIELDS.values()) + f"][k + 1] AS field, CASE WHEN page_id % 10 = 3 THEN '{MISSING}' ELSE '' END AS missing FROM pages, range({len(HEADER_FIELDS)}) r(k) WHERE page_id % 10 <> 3 OR k <> 6",
+    "header_mapping": with_views("v_listings", f"h AS (SELECT * FROM (VALUES {', '.join(str((k, f)) for k, f in enumerate(HEADER_FIELDS.values()))}) AS t(nth, field))")
+    + f"""SELECT page, CAST(CASE WHEN page % 2 = 1 THEN {len(HEADER_FIELDS) - 1} - nth ELSE nth END AS INT) AS col_idx, field, 'emd_amount_raw' AS missing
+        FROM (SELECT DISTINCT CAST(notice_date - DATE '1990-01-01' AS INT) AS page FROM v_listings), h""",
     "prompt_build": with_views("v_listings") + f"SELECT input_seq, '{BEFORE}' || {AS_JSON} || '{AFTER}' AS prompt FROM v_listings",
     "response_parse": with_views("v_listings") + """SELECT input_seq, CASE WHEN input_seq % 4 < 3 THEN corporate_debtor END AS summary, CASE WHEN input_seq % 4 < 2 THEN 1 END AS n_risks,
         CASE input_seq % 4 WHEN 2 THEN 'narrative.missing.risk_notes; narrative.missing.data_gaps' WHEN 3 THEN 'narrative.unparseable' ELSE '' END AS flags FROM v_listings""",
     "result_blocks": f"""SELECT page_id, CAST(nth AS INT) AS nth, title, url, 'About ' || title AS snippet FROM (
         SELECT page_id, url, trim(regexp_replace({PLAIN.format(c="regexp_extract(html, '<title>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')) AS title FROM pages), range(3) r(nth)
         WHERE title <> '' AND (nth <> 1 OR page_id % 2 = 1)""",
-    "assembled": with_views("v_listings", *SCORED, "v_registry", REGISTRY, f"asked AS (SELECT *, {CIN} AS number, {STATE_OF} AS registry_state FROM scored)")
+    "assembled": with_views("v_listings", *SCORED, "v_registry", REGISTRY, f"asked AS (SELECT *, {CIN} AS number, {STATE_OF} AS state FROM scored)")
     + f"""SELECT input_seq, reserve_price, location, score_a, score_b, score_c, combined, company_name, company_status, paidup_capital,
-        concat_ws('; ', {PRICE_FLAG}, {LOCATION_FLAG}, CASE WHEN number IS NULL THEN 'registry.no_cin' WHEN registry_state IS NULL THEN 'registry.unmapped_code' WHEN registry_state = 'goa' THEN 'registry.file_absent'
-        WHEN l.cin IS NULL THEN 'registry.no_match' END, {POSSESSION_FLAGS}) AS flags FROM asked LEFT JOIN lasts l ON l.state = registry_state AND l.cin = number AND registry_state <> 'goa'""",
+        concat_ws('; ', {PRICE_FLAG}, {LOCATION_FLAG}, CASE WHEN number IS NULL THEN 'registry.no_cin' WHEN e.state IS NULL THEN 'registry.unmapped_code' WHEN {WHY_GONE} IS NOT NULL THEN 'registry.' || {WHY_GONE}
+        WHEN l.cin IS NULL THEN 'registry.no_match' END, {POSSESSION_FLAGS}) AS flags FROM asked e LEFT JOIN lasts l ON l.state = e.state AND l.cin = number AND e.state NOT IN {BAD_FILES}""",
     "assembled_entries": with_views("v_snapshots", *ROUTES, folded("c")) + f"""SELECT c.input_seq, c.listing_key, c.status, c.price_drop,
         CASE WHEN c.status = 'changed' THEN concat_ws('; ', {', '.join(f"CASE WHEN c.prev[{k}] <> c.tracked[{k}] THEN '{t} ' || c.prev[{k}] || ' ' || c.tracked[{k}] END" for k, t in enumerate(TRACKED, 1))}) ELSE '' END AS changes,
         CASE WHEN c.status <> 'collision' THEN e.narrative END AS narrative, r.route = 'reuse' AS enrichment_reused,
         CASE WHEN c.status = 'collision' THEN 'enrichment.skipped_collision' ELSE '' END AS flags
         FROM c JOIN routed r ON c.input_seq = r.input_seq LEFT JOIN enrichment e ON c.listing_key = e.listing_key WHERE c.run_date > {SPLIT}""",
 }
+
+SHORT = "page % 2 = 0 AND input_seq % 50 = 1"
+ORACLES |= {
+    "state_in_buckets": with_views("v_snapshots", folded("c"), final("s", "c")) + f"SELECT listing_key, corporate_debtor, ip_name, {', '.join(TRACKED)}, first_seen, last_seen, last_changed, observations FROM s",
+    "history_rerun": ORACLES["change_history"],
+    "stream_status": ORACLES["change_status"],
+    "collision_log": with_views("v_snapshots", folded("c"), final("s", "c")) + """SELECT CAST(c.input_seq AS VARCHAR) AS incoming_input_seq, c.listing_key, c.run_date AS detected_at, s.corporate_debtor AS existing_corporate_debtor,
+        s.ip_name AS existing_ip_name, c.corporate_debtor AS incoming_corporate_debtor, c.ip_name AS incoming_ip_name, FALSE AS resolved FROM c JOIN s USING (listing_key) WHERE c.status = 'collision'""",
+    "answer_fields": with_views("v_listings") + """SELECT input_seq, CASE WHEN input_seq % 4 < 2 THEN corporate_debtor END AS summary, CASE WHEN input_seq % 4 < 2 THEN input_seq % 10 END AS confidence,
+        CASE WHEN input_seq % 4 < 2 THEN notice_type END AS risk_notes, CASE WHEN input_seq % 4 = 2 THEN 'summary.type; confidence.type' ELSE '' END AS flags FROM v_listings""",
+    "answer_extra_keys": with_views("v_listings") + """SELECT input_seq, 'source' AS name, '{"seq":' || CAST(input_seq AS VARCHAR) || '}' AS value, 'OBJECT<seq: BIGINT>' AS type FROM v_listings WHERE input_seq % 4 < 2""",
+    "json_value_types": """SELECT event_id, name, CAST(json_extract(props, '$.' || name) AS VARCHAR) AS value,
+        CASE json_type(props, '$.' || name) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'BIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE json_type(props, '$.' || name) END AS type
+        FROM (SELECT event_id, props, unnest(json_keys(props)) AS name FROM events)""",
+    "listing_rows_sql": with_views("v_listings", "p AS (SELECT *, CAST(notice_date - DATE '1990-01-01' AS INT) AS page FROM v_listings)") + f"""SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY input_seq) AS INT) AS row_idx, corporate_debtor,
+        coalesce(CAST(reserve_price AS VARCHAR), '') AS reserve_price_raw, CASE WHEN {SHORT} THEN 'cell.missing.details_pdf_url' ELSE '' END AS flags FROM p""",
+    "page_anchors_sql": f"SELECT page_id, count(*) AS n_links, count(DISTINCT href) AS n_different FROM ({LINKS}) GROUP BY page_id",
+}

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import tables
 from ..functions import text as T
+from ..functions import variant as V
 from ..operators import changes, dedup, enrich, phrases, report, scoring
 from ..params import FORM_REQUIRED, HEADER_FIELDS, PROXY, REGIONS, TRACKED
 from ..sources import pages as P
 from ..sources import registry as R
+from ..sources.csv_records import read_csv
+from ..sources.registry_source import registry_availability, registry_rows
+from ..sources.keyed import KeyedTable
+from ..sources.stage import fresh_path, staged
+from ..sources.state import apply_batch
 from ..sources.views import table, view
+from ..streaming.snapshots import follow
 
 TODAY = "DATE '1998-06-01'"
 SPLIT = "DATE '2024-01-15'"
-UNAVAILABLE = ["goa"]
+EXPECTED = ["andhra pradesh", "delhi", "goa", "karnataka", "maharashtra", "sikkim", "tamil nadu", "telangana", "uttar pradesh", "west bengal"]
 ORDER = ["run_date", "input_seq"]
 QUERIES = {}
 
@@ -115,9 +125,11 @@ def identity_key(spark, sf_dir):
 
 
 def _state(spark, sf_dir):
+    """State after the earlier snapshots; stored, as most queries read it more than once."""
     early = snapshots(spark, sf_dir).where(f"run_date <= {SPLIT}")
     rows = changes.change_status(early, ORDER)
-    return changes.final_state(rows, ORDER, "run_date", ["details_parsed"]).withColumn("notice_parsed", F.pmod(F.length("corporate_debtor"), F.lit(2)) == 0)
+    state = changes.final_state(rows, ORDER, "run_date", ["details_parsed"]).withColumn("notice_parsed", F.pmod(F.length("corporate_debtor"), F.lit(2)) == 0)
+    return staged(state, "state")
 
 
 def _late(spark, sf_dir):
@@ -290,18 +302,56 @@ def registry_dedup(spark, sf_dir):
     return R.last_rows(_registry(spark, sf_dir)).select("cin", "state", "file_pos", "company_name", "duplicates")
 
 
+def _registry_folder(spark, sf_dir):
+    """The registry as a folder of CSV files by state: none of goa, one of delhi without a column of numbers, one of sikkim without rows."""
+    folder = fresh_path(spark, "registry")
+    raw = _registry(spark, sf_dir).where("state IS NOT NULL AND state NOT IN ('goa', 'delhi', 'sikkim')")
+    columns = [F.col("cin").alias("CIN"), F.col("company_name").alias("CompanyName"), F.col("company_status").alias("CompanyStatus"), F.col("paidup_capital").alias("PaidupCapital")]
+    slugs = F.regexp_replace(T.state_slug(F.col("state")), r"\.csv$", "")
+    raw.select(*columns, slugs.alias("slug"), "file_pos").repartition("slug").sortWithinPartitions("slug", "file_pos").drop("file_pos").write.partitionBy("slug").csv(folder, header=True, escape='"')
+    spark.range(1).select(F.lit("x").alias("Name")).coalesce(1).write.csv(f"{folder}/slug=delhi", header=True)
+    spark.range(1).select(F.lit("").alias("CIN"), F.lit("x").alias("CompanyName")).coalesce(1).write.csv(f"{folder}/slug=sikkim", header=True)
+    return folder
+
+
+def _from_files(spark, sf_dir):
+    """Registry rows out of the files, and why states are missing."""
+    folder = _registry_folder(spark, sf_dir)
+    there = registry_availability(spark, folder, EXPECTED)
+    return registry_rows(spark, folder, EXPECTED), there
+
+
 @query
 def registry_status(spark, sf_dir):
-    expected = ["andhra pradesh", "delhi", "goa", "karnataka", "maharashtra", "sikkim", "tamil nadu", "telangana", "uttar pradesh", "west bengal"]
-    return R.availability(_registry(spark, sf_dir), expected, UNAVAILABLE)
+    registry, there = _from_files(spark, sf_dir)
+    return R.availability(registry, EXPECTED, {r.state: r.status for r in there.where("status <> 'ok'").collect()})
 
 
 @query
 def registry_lookup(spark, sf_dir):
-    rows = R.lookup(listings(spark, sf_dir), _registry(spark, sf_dir), UNAVAILABLE)
+    registry, there = _from_files(spark, sf_dir)
+    rows = R.lookup(listings(spark, sf_dir), registry, {r.state: r.status for r in there.where("status <> 'ok'").collect()})
     return rows.select("input_seq", "registry_state", "company_name", "company_status", "miss_reason")
 
 
+@query
+def registry_of_two_states(spark, sf_dir):
+    """A lookup that needs two states opens their files only."""
+    rows, _ = _from_files(spark, sf_dir)
+    return R.last_rows(rows.where("state IN ('karnataka', 'west bengal')")).select("state", "cin", "company_name", "duplicates")
+
+
+@query
+def registry_csv(spark, sf_dir):
+    """Registry rows with line breaks and quotes in their values, written as one CSV file and read back split by split."""
+    path = fresh_path(spark, "registry-csv")
+    k = F.col("file_pos")
+    name = F.when(k % 3 == 0, F.concat(F.col("company_name"), F.lit('\nsecond "line", of '), k.cast("string"))).when(k % 3 == 1, F.concat(F.lit('"'), F.col("company_name"), F.lit('"'))).otherwise(F.col("company_name"))
+    rows = view(spark, sf_dir, "v_registry").select(F.col("file_pos").cast("string").alias("n"), F.col("cin").alias("CIN"), name.alias("CompanyName"))
+    rows.repartitionByRange("n").write.csv(path, header=True, escape='"', quoteAll=True)
+    return read_csv(spark, path).select(F.col("n").cast("bigint").alias("n"), F.col("CIN").alias("cin"), F.col("CompanyName").alias("company_name"))
+
+
 @query
 def refetch_gate(spark, sf_dir):
     state = _state(spark, sf_dir)
@@ -402,9 +452,18 @@ def report_counts(spark, sf_dir):
     return report.section_counts(_sections(spark, sf_dir))
 
 
+def _one_row(spark, counts):
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
 @query
 def run_summary(spark, sf_dir):
-    return report.run_summary(_changed(spark, sf_dir), enrich.cap_enrichment(_routed(spark, sf_dir), PROXY.enrichment_cap, ["input_seq"]))
+    """Counted while the statuses and the routes are written; both add up to their rows."""
+    statuses = report.write_counted(_changed(spark, sf_dir), fresh_path(spark, "changes"), report.status_counts(), {"rows": ["n_new", "n_changed", "n_unchanged", "n_collision"]})
+    routed = enrich.cap_enrichment(_routed(spark, sf_dir), PROXY.enrichment_cap, ["input_seq"])
+    routes = report.write_counted(routed, fresh_path(spark, "routes"), report.route_counts(), {"rows": ["reenriched", "reused", "skipped_collision"]})
+    order = ["n_new", "n_changed", "n_unchanged", "n_collision", "reenriched", "reused", "deferred", "skipped_collision"]
+    return _one_row(spark, {k: (statuses | routes)[k] for k in order})
 
 
 @query
@@ -423,12 +482,17 @@ def listing_cards(spark, sf_dir):
 @query
 def fetch_summary(spark, sf_dir):
     state = _state(spark, sf_dir)
-    return report.fetch_summary(enrich.refetch_gate(changes.preview(_late(spark, sf_dir), state), state))
+    gated = enrich.refetch_gate(changes.preview(_late(spark, sf_dir), state), state)
+    counts = report.write_counted(gated, fresh_path(spark, "fetches"), report.fetch_counts(), {"rows": ["details_fetched", "details_reused"]})
+    return _one_row(spark, {k: v for k, v in counts.items() if k != "rows"})
 
 
 @query
 def filter_summary(spark, sf_dir):
-    return report.filter_summary(report.asset_exclusion(report.location_route(_located(spark, sf_dir), PROXY)))
+    """Counted while the routed listings are written; every listing has one route or is excluded."""
+    routed = report.asset_exclusion(report.location_route(_located(spark, sf_dir), PROXY))
+    counts = report.write_counted(routed, fresh_path(spark, "routed"), report.filter_counts(), {"rows": ["kept", "other_location", "unknown_location", "excluded"]})
+    return _one_row(spark, {k: v for k, v in counts.items() if k != "rows"})
 
 
 @query
@@ -528,12 +592,11 @@ def malformed_row_reject(spark, sf_dir):
 
 @query
 def header_mapping(spark, sf_dir):
-    """Headers of each page, decorated by the page's number."""
-    heads = F.array(*[F.lit(h.upper()) for h in HEADERS])
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), F.posexplode(heads).alias("col_idx", "header"))
-    pages = pages.where((F.col("page") % 10 != 3) | (F.col("col_idx") != 6)).withColumn("header", F.concat(F.lit(" The "), "header", F.lit(" #"), F.col("page").cast("string")))
-    missing = P.missing_fields(P.header_mapping(pages), list(HEADER_FIELDS.values()))
-    return P.header_mapping(pages).select("page", "col_idx", "field").join(missing.select("page", joined("missing").alias("missing")), "page")
+    """Fields of the columns of each rendered page, by the header that is read from it; one that no page has is missing."""
+    heads = P.extract_rows(_tables(spark, sf_dir, vary=True)).where("is_header").select("page", F.posexplode("headers").alias("col_idx", "header"))
+    mapped = staged(P.header_mapping(heads), "headers")
+    missing = P.missing_fields(mapped, [*HEADER_FIELDS.values(), "emd_amount_raw"])
+    return mapped.select("page", "col_idx", "field").join(missing.select("page", joined("missing").alias("missing")), "page")
 
 
 @query
@@ -566,7 +629,8 @@ def result_blocks(spark, sf_dir):
 @query
 def assembled(spark, sf_dir):
     """Listings with their scores, their registry entry and all flags."""
-    rows = R.lookup(scored(spark, sf_dir), _registry(spark, sf_dir), UNAVAILABLE)
+    registry, there = _from_files(spark, sf_dir)
+    rows = R.lookup(scored(spark, sf_dir), registry, {r.state: r.status for r in there.where("status <> 'ok'").collect()})
     flags = F.concat(T.flags(F.col("price_flag"), F.col("location_flag"), F.concat(F.lit("registry."), F.col("miss_reason"))), "possession_flags")
     return rows.select("input_seq", "reserve_price", "location", "score_a", "score_b", "score_c", "combined", "company_name", "company_status", "paidup_capital", joined(flags).alias("flags"))
 
@@ -578,3 +642,95 @@ def assembled_entries(spark, sf_dir):
     rows = enrich.assemble(changes.change_status(_late(spark, sf_dir), ORDER, state), _routed(spark, sf_dir, state), _enrichment(state))
     shown = F.transform("changes", lambda c: F.concat_ws(" ", c["field"], c["old_value"], c["new_value"]))
     return rows.select("input_seq", "listing_key", "status", "price_drop", joined(shown).alias("changes"), "narrative", "enrichment_reused", joined("entry_flags").alias("flags"))
+
+
+def _keyed_state(spark, sf_dir):
+    """State, history and collisions of the earlier and the later snapshots as two batches, the second one run twice."""
+    early, late = snapshots(spark, sf_dir).where(f"run_date <= {SPLIT}"), _late(spark, sf_dir)
+    schema = changes.final_state(changes.change_status(early.limit(0), ORDER), ORDER, "run_date").schema
+    root = fresh_path(spark, "listings")
+    held = KeyedTable(spark, f"listings_{uuid.uuid4().hex}", f"{root}/state", schema, buckets=16)
+    for number, batch in ((0, early), (1, late), (1, late)):
+        apply_batch(held, batch, number, ORDER, "run_date", f"{root}/logs")
+    return held, f"{root}/logs"
+
+
+@query
+def state_in_buckets(spark, sf_dir):
+    held, _ = _keyed_state(spark, sf_dir)
+    return held.read().select("listing_key", "corporate_debtor", "ip_name", *TRACKED, "first_seen", "last_seen", "last_changed", "observations")
+
+
+@query
+def history_rerun(spark, sf_dir):
+    """History after a batch that ran twice: each change once."""
+    _, logs = _keyed_state(spark, sf_dir)
+    return spark.read.parquet(f"{logs}/history").select("listing_key", "changed_at", "input_seq", "field", "old_value", "new_value", "is_price_drop")
+
+
+@query
+def collision_log(spark, sf_dir):
+    """Colliding observations with the listing that owns their key, fields out of both JSON texts."""
+    _, logs = _keyed_state(spark, sf_dir)
+    field = lambda side, name: F.get_json_object(f"{side}_json", f"$.{name}").alias(f"{side}_{name}")
+    return spark.read.parquet(f"{logs}/collisions").select(
+        field("incoming", "input_seq"), "listing_key", "detected_at", *[field(side, name) for side in ("existing", "incoming") for name in ("corporate_debtor", "ip_name")], "resolved",
+    )
+
+
+@query
+def stream_status(spark, sf_dir):
+    """The earlier, then the later snapshots through the stream, which starts twice from its checkpoint: statuses as in one go."""
+    root = fresh_path(spark, "stream")
+    for part in (snapshots(spark, sf_dir).where(f"run_date <= {SPLIT}"), _late(spark, sf_dir)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/in")
+        follow(stream, f"{root}/out", f"{root}/checkpoint", ORDER).awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.select(F.get_json_object("incoming_json", "$.input_seq").cast("bigint").alias("input_seq"), "listing_key", "status", "price_drop", joined(F.transform("changes", lambda c: c["field"])).alias("fields"))
+
+
+def _answers(spark, sf_dir):
+    """Answers made of the listings: of another type, with keys that nobody knows, fenced, lists, and no JSON."""
+    k = F.col("input_seq")
+    full = F.to_json(F.struct(F.col("corporate_debtor").alias("summary"), (k % 10).alias("confidence"), F.array("notice_type").alias("risk_notes"), F.struct(k.alias("seq")).alias("source")))
+    odd = F.to_json(F.struct(F.array("corporate_debtor").alias("summary"), F.lit("high").alias("confidence"), F.lit(None).cast("string").alias("risk_notes")), {"ignoreNullFields": "false"})
+    text = F.when(k % 4 == 0, full).when(k % 4 == 1, F.concat(F.lit("```json\n"), full, F.lit("\n```"))).when(k % 4 == 2, odd).when(k % 8 == 3, F.lit("[1]")).otherwise(F.lit("I cannot say."))
+    return listings(spark, sf_dir).select("input_seq", V.as_variant(text).alias("answer"))
+
+
+@query
+def answer_fields(spark, sf_dir):
+    """Fields of answers of any shape by their types; a changed type is NULL and flagged."""
+    rows = V.typed(_answers(spark, sf_dir), "answer", {"summary": "string", "confidence": "bigint", "risk_notes": "array<string>"})
+    return rows.select("input_seq", "summary", "confidence", joined("risk_notes").alias("risk_notes"), joined("type_flags").alias("flags"))
+
+
+@query
+def answer_extra_keys(spark, sf_dir):
+    """Keys of answers that no field knows, with their values and types."""
+    return V.extra_keys(_answers(spark, sf_dir), "answer", "input_seq", ["summary", "confidence", "risk_notes"])
+
+
+@query
+def json_value_types(spark, sf_dir):
+    """Every key of the events' properties with its value and type."""
+    rows = table(spark, sf_dir, "events").select("event_id", V.as_variant(F.col("props")).alias("v"))
+    return V.each_value(rows, "v", "event_id")
+
+
+@query
+def listing_rows_sql(spark, sf_dir):
+    """Rendered tables read back in SQL alone, columns decided when the query is analysed."""
+    tables.register(spark)
+    return spark.sql(
+        "SELECT page, row_idx, corporate_debtor, reserve_price_raw, array_join(cell_flags, '; ') AS flags FROM listing_rows(TABLE({pages}), 'corporate_debtor,reserve_price_raw,details_pdf_url')",
+        pages=_tables(spark, sf_dir, vary=True),
+    )
+
+
+@query
+def page_anchors_sql(spark, sf_dir):
+    """Addresses as they stand on the given pages, counted in SQL."""
+    tables.register(spark)
+    return spark.sql("SELECT page_id, count(*) AS n_links, count(DISTINCT href) AS n_different FROM page_anchors(TABLE({pages})) GROUP BY page_id", pages=table(spark, sf_dir, "pages"))

@@ -129,18 +129,19 @@ class _Links(HTMLParser):
             self.hrefs.append(href.strip())
 
 
+def anchors(html: str | None) -> list[str]:
+    parser = _Links()
+    parser.feed(html or "")
+    parser.close()
+    return parser.hrefs
+
+
 def page_links(pages: DataFrame, base_url: str, id_col: str = "page_id") -> DataFrame:
     """Links of a page in order, absolute; NULL with a flag for scripts and empty ones."""
 
     @F.pandas_udf("array<string>")
     def hrefs(htmls: pd.Series) -> pd.Series:
-        out = []
-        for html in htmls:
-            parser = _Links()
-            parser.feed(html or "")
-            parser.close()
-            out.append(parser.hrefs)
-        return pd.Series(out, dtype=object)
+        return pd.Series([anchors(html) for html in htmls], dtype=object)
 
     rows = pages.select(id_col, F.posexplode(hrefs("html")).alias("nth", "href")).withColumn("url", absolute_link(F.col("href"), base_url))
     return rows.withColumn("flag", F.when(F.col("url").isNull(), "link.unusable"))
@@ -188,20 +189,25 @@ class _Results(HTMLParser):
             self.blocks[-1][self.part[0]] += data
 
 
+def result_rows(html: str | None, most: int) -> list[tuple[int, str, str, str]]:
+    """Place, title, address and snippet of the first ``most`` blocks, without those that have no title."""
+    parser = _Results()
+    parser.feed(html or "")
+    parser.close()
+    out = []
+    for nth, block in enumerate(parser.blocks[:most]):
+        title, snippet = (" ".join((block[k] or "").split()) for k in ("title", "snippet"))
+        if title:
+            out.append((nth, title, block["url"], snippet))
+    return out
+
+
 def result_blocks(pages: DataFrame, most: int = 3) -> DataFrame:
     """Search results: the first ``most`` blocks of a page; of these, blocks without a title are dropped."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for page, html in zip(batch["page_id"], batch["html"]):
-                parser = _Results()
-                parser.feed(html or "")
-                parser.close()
-                for nth, block in enumerate(parser.blocks[:most]):
-                    title, snippet = (" ".join((block[k] or "").split()) for k in ("title", "snippet"))
-                    if title:
-                        out.append((page, nth, title, block["url"], snippet))
+            out = [(page, *row) for page, html in zip(batch["page_id"], batch["html"]) for row in result_rows(html, most)]
             yield pd.DataFrame(out, columns=["page_id", "nth", "title", "url", "snippet"])
 
     return pages.select("page_id", "html").mapInPandas(work, "page_id long, nth int, title string, url string, snippet string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import registrar_state, strip, without_placeholder
 from ..params import REGISTRY_HEADERS
+from .csv_records import read_csv
 
 
 def match_header(headers: Sequence[str], variants: Sequence[str]) -> str | None:
@@ -47,12 +48,13 @@ def open_files(spark: SparkSession, paths: Mapping[str, str]) -> tuple[DataFrame
     """Registry of the CSV files that can be used, and why the others cannot: state -> reason.
 
     Reasons: ``file_absent``, ``unreadable``, ``no_key`` (no column of company numbers), ``no_rows`` (none with a number).
-    Values may hold line breaks, and quotes that are doubled.  A file is one split, so that its rows keep their order.
+    Values may hold line breaks, and quotes that are doubled; a file is read in as many splits as it has, and ``file_pos`` is
+    the number of a row's record, whatever the splits.
     """
     parts, reasons = {}, {}
     for state, path in paths.items():
         try:
-            raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+            raw = read_csv(spark, path)
         except AnalysisException as e:
             reasons[state] = "file_absent" if e.getCondition() == "PATH_NOT_FOUND" else "unreadable"
             continue
@@ -94,10 +96,15 @@ def availability(registry: DataFrame, expected: Sequence[str], missing: Mapping[
 
 
 def lookup(rows: DataFrame, registry: DataFrame, unavailable: Mapping[str, str] | Sequence[str] = (), fields: Sequence[str] = ("company_name", "company_status", "paidup_capital")) -> DataFrame:
-    """Adds the registry's fields and, where there is no match, ``miss_reason``."""
+    """Adds the registry's fields and, where there is no match, ``miss_reason``.
+
+    The registry is cut down to the numbers that are looked up before the last row of each is found.
+    """
     rows = rows.withColumns({"__cin": F.upper(strip(F.col("cin"))), "__state": registrar_state(F.col("cin"))})
     why = _reasons(unavailable, "file_absent")
-    there = last_rows(registry).where(~F.col("state").isin(list(why)) if why else F.lit(True))
+    sought = rows.where("__state IS NOT NULL").select(F.col("__state").alias("state"), F.col("__cin").alias("cin")).distinct()
+    there = registry.where(~F.col("state").isin(list(why)) if why else F.lit(True)).join(sought, ["state", "cin"], "left_semi")
+    there = last_rows(there)
     there = there.select(F.col("state").alias("__s"), F.col("cin").alias("__c"), *fields)
     gone = F.try_element_at(F.create_map(*[F.lit(x) for pair in why.items() for x in pair]), F.col("__state")) if why else F.lit(None).cast("string")
     joined = rows.join(there, (F.col("__state") == F.col("__s")) & (F.col("__cin") == F.col("__c")), "left")

@@ -1,6 +1,9 @@
+import csv
+import os
+
 import pytest
 
-from lotmill.sources import pages, registry
+from lotmill.sources import csv_records, pages, registry, registry_source
 
 PAGE = """<table><tr><td>menu</td></tr></table><table><tr><th>Date</th><th>Name of Corporate Debtor</th><th>Reserve Price</th><th>Details</th></tr>
 <tr><td>1-1-2024</td><td>Acme <b>Ltd</b> &amp; Co</td><td>5</td><td><a href="/d/1.pdf">PDF</a> <a href="/no">x</a></td></tr><tr></tr>
@@ -88,3 +91,69 @@ def test_registry_files_as_they_come(spark, tmp_path):
     assert [r.miss_reason for r in registry.lookup(asked, found, reasons).collect()] == ["file_absent", "no_match"]
     with pytest.raises(ValueError):
         registry.read_files(spark, paths)
+
+
+NASTY = [
+    ["CIN", "Company Name", "Note"], ["U1", 'a "b" c', "x"], ["U2", "two\nlines", ""], ["U3", '"', ","], ["U4", "", 'ends in quote"'], ["U5", "a,b\r\nc", "\n\n"],
+    ["U6", 'x"",y', "z"], ["U7", "plain", "é" * 50],
+]
+
+
+@pytest.mark.parametrize("split", [2**27, 4096, 333])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_in_any_number_of_splits(spark, tmp_path, split, end):
+    """The same rows and places however the file is split, breaks in quotes across the splits included."""
+    rows = [[f"U{k}", *(NASTY[1 + k % 7][1:])] for k in range(500)] + [["U500", "long\n" * 900, 'q""q']]
+    with open(tmp_path / "a.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f, lineterminator=end).writerows([NASTY[0], *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = csv_records.read_csv(spark, str(tmp_path / "a.csv"))
+        assert got.columns == ["CIN", "Company Name", "Note", "file_pos"]
+        have = [list(r) for r in got.orderBy("file_pos").collect()]
+        assert csv_records._lines(spark, str(tmp_path / "a.csv")).select("split").distinct().count() >= min(20, os.path.getsize(tmp_path / "a.csv") // split)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert have == [[*[v or None for v in r], k] for k, r in enumerate(rows, 1)]
+
+
+def test_stray_quotes_and_odd_files(spark, tmp_path):
+    texts = {"stray": 'CIN,Name\nU1,5" pipe\nU2,"say "hi" now"\nU3,x\n\nU4\nU5,a,b\n', "bom": '\ufeff"CIN","Name"\n"U1","a\nb"', "empty": "", "twice": "A,a,CIN,\n1,2,U1,\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    read = lambda n: csv_records.read_csv(spark, str(tmp_path / f"{n}.csv"))
+    assert [(r.CIN, r.Name, r.file_pos) for r in read("stray").orderBy("file_pos").collect()][0::2] == [("U1", '5" pipe', 1), ("U3", "x", 3), ("U5", "a", 6)]
+    assert [tuple(r) for r in read("bom").collect()] == [("U1", "a\nb", 1)]
+    assert read("empty").count() == 0 and [tuple(r) for r in read("twice").collect()] == [("1", "2", "U1", 1)]
+
+
+def test_registry_data_source(spark, tmp_path):
+    opened = tmp_path / "opened"
+    opened.mkdir()
+    folder = tmp_path / "reg"
+    (folder / "slug=west_bengal").mkdir(parents=True)
+    (folder / "goa.csv").write_text('CIN,CompanyName,CompanyStatus\n u1 ,"One\nLtd",-\nU1,Two,Active\n,x,y\n', encoding="utf-8")
+    (folder / "slug=west_bengal" / "part-0.csv").write_text("Company Name,CORPORATE_IDENTIFICATION_NUMBER\nThree,U3\n", encoding="utf-8")
+    (folder / "delhi.csv").write_text("Name\nx\n", encoding="utf-8")
+    (folder / "bihar.csv").write_text("CIN,CompanyName\n,x\n", encoding="utf-8")
+    (folder / "kerala.csv").write_text("", encoding="utf-8")
+    states = ["goa", "west bengal", "delhi", "bihar", "assam", "kerala"]
+    rows = registry_source.registry_rows(spark, folder.as_uri(), states, opened=opened.as_uri())
+    assert sorted((r.state, r.cin, r.company_name, r.company_status) for r in rows.where("state IN ('goa', 'west bengal')").collect()) == [
+        ("goa", "U1", "One\nLtd", None), ("goa", "U1", "Two", "Active"), ("west bengal", "U3", "Three", None),
+    ]
+    assert sorted(p.name for p in opened.iterdir()) == ["goa.csv-goa", "part-0.csv-west bengal"]
+    assert rows.where("state = 'nowhere'").count() == 0 and registry.last_rows(rows.where("state = 'goa'")).first().company_name == "Two"
+    there = {r.state: (r.status, r.n_rows) for r in registry_source.registry_availability(spark, folder.as_uri(), states).collect()}
+    assert there == {"goa": ("ok", 2), "west bengal": ("ok", 1), "delhi": ("no_key", 0), "bihar": ("no_rows", 0), "assam": ("file_absent", 0), "kerala": ("no_key", 0)}
+
+
+def test_lookup_cuts_the_registry_down_first(spark):
+    rows = spark.createDataFrame([("U18101GA2002PLC000001",)], "cin string")
+    found = spark.createDataFrame([("goa", "U18101GA2002PLC000001", "a", "b", "1", 1), ("goa", "U18101GA2002PLC000001", "c", "b", "1", 2)], "state string, cin string, company_name string, company_status string, paidup_capital string, file_pos long")
+    got = registry.lookup(rows, found)
+    assert got.first().company_name == "c"
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("LeftSemi")
