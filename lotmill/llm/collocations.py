@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,8 +49,23 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def word_hash(lang: str, word: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{lang}\n{word}".encode("utf-8", "surrogatepass"))
+def word_hashes(langs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """64 bits of each word in its language; both as object arrays of texts."""
+    return _joined(pd.util.hash_array(langs), pd.util.hash_array(words, categorize=False))
+
+
+class Words(NamedTuple):
+    """Words of a block by number: their languages, as places in ``langs``, and texts."""
+
+    langs: list[str]
+    lang: np.ndarray
+    texts: pa.Array
+
+    def hashes(self) -> np.ndarray:
+        if not len(self.lang):
+            return np.zeros(1, np.uint64)
+        of_lang = pd.util.hash_array(np.array(self.langs, object))
+        return np.append(_joined(of_lang[self.lang], pd.util.hash_array(self.texts.to_numpy(zero_copy_only=False), categorize=False)), np.uint64(0))
 
 
 def _joined(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -87,8 +103,10 @@ def phrase_filter(phrases: DataFrame, size: int, max_filter_bits: int) -> Phrase
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, words = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            flat = np.array([word_hash(g, w) for g, p in zip(langs, words) for w in p.split(" ")], np.uint64)
+            langs, words = batch.column(0).to_pylist(), pc.split_pattern(batch.column(1), " ").flatten().to_numpy(zero_copy_only=False)
+            if not len(words):
+                continue
+            flat = word_hashes(np.repeat(np.array(langs, object), size), words)
             slots = np.concatenate(PhraseFilter.slots(phrase_hashes(flat, size)[::size], bits))
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(slots) + 1)], names=["slot"])  # Spark's bitmaps count from 1
 
@@ -116,21 +134,22 @@ def _slices(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def _numbered(langs: list[str], pieces: list[str]) -> tuple[list[tuple[str, str]], np.ndarray]:
+def _numbered(langs: list[str], pieces: list[str]) -> tuple[Words, np.ndarray]:
     """Words of pieces of text, told apart by language, and the number of the word at each place; a break is -1."""
     tokens = pc.split_pattern(pc.replace_substring(pa.array(pieces, pa.string()), "\n", " \n "), " ")
     names = {g: k for k, g in enumerate(dict.fromkeys(langs))}
     lang = np.repeat(np.array([names[g] for g in langs], np.int64), np.asarray(tokens.value_lengths()))
     encoded = tokens.flatten().dictionary_encode()
-    number, texts = np.asarray(encoded.indices).astype(np.int64), encoded.dictionary.to_pylist()
-    kind = np.array([-2 if t == "" else -1 if t == "\n" else 0 for t in texts], np.int64)[number] if texts else number
+    number, texts = np.asarray(encoded.indices).astype(np.int64), encoded.dictionary
+    blank, cut = (np.asarray(pc.equal(texts, t)) for t in ("", "\n"))
+    kind = np.where(blank, -2, np.where(cut, -1, 0))[number]
     lang, number, kind = (x[kind > -2] for x in (lang, number, kind))
     both = lang * len(texts) + number
     used, ids = np.unique(both[kind == 0], return_inverse=True) if len(names) * len(texts) > 1 << 26 else _dense(both[kind == 0], len(names) * len(texts))
     places = np.full(len(kind), -1, np.int64)
     places[kind == 0] = ids
-    listed = list(names)
-    return [(listed[c // len(texts)], texts[c % len(texts)]) for c in used.tolist()], places
+    size = max(1, len(texts))
+    return Words(list(names), used // size, texts.take(pa.array(used % size))), places
 
 
 def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +159,7 @@ def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(there), (np.cumsum(there) - 1)[codes]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[tuple[list[tuple[str, str]], np.ndarray]]:
+def blocks(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[tuple[Words, np.ndarray]]:
     """Words and word numbers by place, of a bounded length of text at a time; windows of ``prefix`` + 1 words lie in one block each."""
     langs, pieces, held = [], [], 0
     for batch in batches:
@@ -154,7 +173,7 @@ def blocks(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[tuple[lis
                     yield words, places
                     last = places[len(places) - prefix :] if prefix else places[:0]
                     last = last[np.flatnonzero(np.append(-1, last) < 0)[-1] :].tolist()  # words since the last break: a window may go on
-                    langs, pieces, held = [lang], [" ".join(words[k][1] for k in last)], 0
+                    langs, pieces, held = [lang], [" ".join(words.texts[k].as_py() for k in last)], 0
     if pieces:
         yield _numbered(langs, pieces)
 
@@ -191,9 +210,9 @@ def _parts(prefix: list[np.ndarray], nexts: np.ndarray, hashes: np.ndarray, hot:
     return np.where(keys[where] == mine, _mixed(hashes[nexts]) % cut[where], 0).astype(np.int64)
 
 
-def stripes_of(words: list[tuple[str, str]], ids: np.ndarray, prefix: int, known: PhraseFilter | None, hot: dict[int, int]) -> pa.RecordBatch:
+def stripes_of(words: Words, ids: np.ndarray, prefix: int, known: PhraseFilter | None, hot: dict[int, int]) -> pa.RecordBatch:
     """Stripes of a block: for each prefix, and each part of it, its next words and their counts."""
-    hashes = np.array([word_hash(*w) for w in words] + [0], np.uint64)
+    hashes = words.hashes()
     if prefix:
         spans, unbroken = max(0, len(ids) - prefix + 1), ids >= 0
         good = reduce(np.logical_and, (unbroken[k : k + spans] for k in range(prefix)))
@@ -201,10 +220,9 @@ def stripes_of(words: list[tuple[str, str]], ids: np.ndarray, prefix: int, known
         at = np.flatnonzero(good[:-1] & good[1:])
     else:
         at = np.flatnonzero(ids >= 0)
-    langs = {g: k for k, g in enumerate(dict.fromkeys(g for g, _ in words))}
     group, (*begin, nexts), counts = _counted([ids[at + k] for k in range(prefix + 1)])
     if not prefix:  # one stripe a language, and its parts
-        group = np.array([langs[g] for g, _ in words], np.int64)[nexts] if words else group
+        group = words.lang[nexts]
     key = group * PARTS + _parts(begin, nexts, hashes, hot) if group.max(initial=0) < 2**52 else None
     if key is None:  # numbers of prefixes made small
         group = np.cumsum(np.diff(group, prepend=group[:1]) != 0)
@@ -213,7 +231,7 @@ def stripes_of(words: list[tuple[str, str]], ids: np.ndarray, prefix: int, known
         order = np.argsort(key, kind="stable")
         key, nexts, counts, begin = key[order], nexts[order], counts[order], [w[order] for w in begin]
     heads = np.flatnonzero(np.diff(key, prepend=-1))
-    texts = pa.array([w for _, w in words], pa.string())
+    texts = words.texts
     begins = [texts.take(pa.array(w[heads])) for w in begin]
     joined = begins[0] if prefix == 1 else pc.binary_join_element_wise(*begins, " ") if prefix else pa.array([""] * len(heads), pa.string())
     after, often = texts.take(pa.array(nexts)), pa.array(counts > 1)
@@ -221,7 +239,7 @@ def stripes_of(words: list[tuple[str, str]], ids: np.ndarray, prefix: int, known
     stripe = pa.ListArray.from_arrays(pa.array(np.append(heads, len(key)), pa.int32()), pc.if_else(often, counted, after))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([g for g, _ in words], pa.string()).take(pa.array(nexts[heads])), joined, pa.array(key[heads] % PARTS, pa.int32()),
+            pa.array(words.langs, pa.string()).take(pa.array(words.lang[nexts[heads]])), joined, pa.array(key[heads] % PARTS, pa.int32()),
             pc.binary_join(stripe, " "),
         ],
         names=["lang", "prefix", "part", "nexts"],
@@ -247,13 +265,14 @@ def stripes(texts: DataFrame, prefix: int, known: PhraseFilter | None, hot: dict
     return entries.groupBy("lang", "prefix", "part", "next").agg(F.sum("n").alias("f")).drop("part")
 
 
-def _hot(counts: DataFrame, words: int) -> dict[int, int]:
+def _hot(counts: DataFrame, total: int) -> dict[int, int]:
     """Parts by hash of the prefixes with more than 1 / ``PARTS`` of all words: no more than ``PARTS`` of each length."""
-    rows = counts.where(F.col("f") * F.lit(PARTS).cast("decimal(10,0)") > words).collect()
+    rows = counts.where(F.col("f") * F.lit(PARTS).cast("decimal(10,0)") > total).collect()
     out = {}
     for r in rows:
-        flat = np.array([word_hash(r.lang, w) for w in r.phrase.split(" ")], np.uint64)
-        out[int(phrase_hashes(flat, len(flat))[0])] = -(-r.f * PARTS // words)
+        words = np.array(r.phrase.split(" "), object)
+        flat = word_hashes(np.full(len(words), r.lang, object), words)
+        out[int(phrase_hashes(flat, len(flat))[0])] = -(-r.f * PARTS // total)
     return out
 
 
