@@ -123,8 +123,9 @@ class CachedEncoder:
     def _cut_word(text: str) -> tuple[list[str], int]:
         if SEPARATORS.search(text):
             return PLAIN_WORDS.findall(text), 0
-        if text.isascii() or unicodedata.is_normalized("NFC", text) and "Σ" not in text:
-            text = text.lower()
+        low = text.lower()  # some marks join or change places only beside the small letter: such texts are left to the tokenizer
+        if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low):
+            text = low
             if not TOUCHING.search(text):
                 text = text.replace(",", " , ").replace(".", " . ")
         return text.split(), 0
