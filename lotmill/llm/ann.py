@@ -7,9 +7,10 @@ a share of all vectors; their vectors are then ranked by exact cosine on the ori
 the sample that the centroids are fitted on: it is what finds ``recall`` of the true neighbours there, a few hundredths
 where vectors form clusters and most of all vectors where they have no structure.
 
-Entries are kept in lists, one for each centroid of the first half, and a list of more than ``list_rows`` vectors is
-dealt into several by hash, so that a hot cell is many small lists.  Queries travel to the lists that they probe, and each
-list returns its best few only.  A list that many queries probe is copied for each ``CHUNK`` of them, so that what moves
+Entries are kept in lists, one for each centroid of the first half, in the order of the second half's centroids, and a list of
+more than ``list_rows`` vectors is dealt into several by hash, so that a hot cell is many small lists.  Queries travel to the
+lists that they probe and are multiplied with the cells that they probe there and no others; each list returns its best few.
+Centroids grow with the root of the number of vectors, so that cells, and what is multiplied beyond the share, stay small.  A list that many queries probe is copied for each ``CHUNK`` of them, so that what moves
 stays in proportion to what is compared.  Equal vectors are one entry with their least ids, as many as could ever be
 returned.  Vectors of each length have cells and lists of their own.
 """
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 
 from .common import stage_table
 
-CENTROIDS = 32
+#: Centroids a half: the root of the number of vectors by ``ROOT``, within these bounds.
+LEAST_CENTROIDS, MOST_CENTROIDS, ROOT = 16, 256, 8
 RECALL = 0.97
 SAMPLE = 20_000
-#: Vectors of a length in the sample below which the length is one cell, and queries of the sample that the share is measured with.
+#: Vectors of a length below which the length is one cell, lengths that are indexed (those of most vectors), and queries of the
+#: sample that the share is measured with.
 FEW = 64
+LENGTHS = 64
 ASKED = 512
 LIST_ROWS = 8192
 #: Queries that one task holds beside a list, and that it compares at a time.
@@ -87,6 +91,27 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, wanted: float
     return pairs
 
 
+def centroids_for(vectors: int) -> int:
+    return min(MOST_CENTROIDS, max(LEAST_CENTROIDS, int(vectors**0.5 / ROOT)))
+
+
+def scored(queries: np.ndarray, asked: list[list[int]], units: np.ndarray, cell: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Query, entries and products of the cells that each query asks for; ``cell`` rises.  A cell is multiplied once for all its queries."""
+    cells, starts = np.unique(cell, return_index=True)
+    ends = np.append(starts[1:], len(cell))
+    by_cell: dict[int, list[int]] = {}
+    for q, wanted in enumerate(asked):
+        for b in wanted:
+            by_cell.setdefault(int(b), []).append(q)
+    found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for b, start, end in zip(cells.tolist(), starts.tolist(), ends.tolist()):
+        if (who := by_cell.get(b)) is not None:
+            for q, row in zip(who, queries[who] @ units[start:end].T):
+                found.setdefault(q, []).append((np.arange(start, end), row))
+    for q, parts in found.items():
+        yield q, np.concatenate([e for e, _ in parts]), np.concatenate([r for _, r in parts])
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     largest = np.abs(vectors).max(axis=1, keepdims=True)
     scaled = vectors / largest  # first, so that squares neither vanish nor overflow
@@ -103,7 +128,7 @@ def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 class MultiIndex:
     """Centroids of both halves, the number of entries in each cell, and the share of them that a query looks at."""
 
-    def __init__(self, vectors: np.ndarray, count: int = CENTROIDS, k: int = 5, recall: float = RECALL, probe: float | None = None):
+    def __init__(self, vectors: np.ndarray, count: int = LEAST_CENTROIDS, k: int = 5, recall: float = RECALL, probe: float | None = None):
         units = unit(vectors)
         self.half = units.shape[1] // 2
         if len(units) < FEW:
@@ -158,7 +183,7 @@ def search(
     k: int = 5,
     recall: float = RECALL,
     probe: float | None = None,
-    centroids: int = CENTROIDS,
+    centroids: int | None = None,
     sample: int = SAMPLE,
     list_rows: int = LIST_ROWS,
     chunk: int = CHUNK,
@@ -173,17 +198,19 @@ def search(
     (neighbours in all vectors are nearer than those in a sample, so they are found no less often).
 
     Defined results: vectors that are null, all zero or hold a null or non-finite component take no part, nor do null
-    ids; with vectors of several lengths each length, however many there are, is a world of its own (one of which the
-    sample holds only few vectors is searched whole); rows that repeat id and vector count once; of equal scores the
+    ids; with vectors of several lengths each length, however many there are, is a world of its own (the ``LENGTHS`` with most
+    vectors are indexed, each with its part of the sample; others, and those of fewer than ``FEW`` vectors, are searched
+    whole); rows that repeat id and vector count once; of equal scores the
     smaller id comes first; fewer candidates than ``k`` are all returned; without candidates or queries the result is
     empty; other columns are left out.
     """
     rows = stage_table(usable(vectors, id_col, vector_col), "vectors")
     asked = rows.where("id % 50 = 0") if queries is None else stage_table(usable(queries, id_col, vector_col), "asked")
-    drawn: dict[int, list] = {}
-    for r in rows.orderBy(F.xxhash64("id", "vec")).limit(sample).collect():
-        drawn.setdefault(len(r["vec"]), []).append(r["vec"])
-    indexes = {dim: MultiIndex(np.array(vecs, float), centroids, k, recall, probe) for dim, vecs in drawn.items() if len(vecs) >= FEW}
+    many = rows.groupBy(F.size("vec").alias("dim")).count().where(F.col("count") >= FEW).orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()
+    indexes = {}
+    for r in many:
+        drawn = rows.where(F.size("vec") == r["dim"]).orderBy(F.xxhash64("id", "vec")).limit(max(FEW, sample // len(many))).collect()
+        indexes[r["dim"]] = MultiIndex(np.array([d["vec"] for d in drawn], float), centroids or centroids_for(r["count"]), k, recall, probe)
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -233,20 +260,20 @@ def search(
     def compare(asking: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asking) and len(entries):
+            entries = entries.sort_values("b", kind="stable")
             ids, cell = entries["id"].to_numpy(), entries["b"].to_numpy()
             vecs = np.stack(entries["vec"].to_numpy()).astype(float)
             units = unit(vecs)
             for at in range(0, len(asking), BLOCK):
                 block = asking.iloc[at : at + BLOCK]
-                qvecs = np.stack(block["qvec"].to_numpy()).astype(float)
-                near = unit(qvecs) @ units.T
-                for q, qvec, bs, row in zip(block["q"], qvecs, block["bs"], near):
-                    row = np.where(np.isin(cell, bs) & (ids != q), row, -np.inf)
+                qs, qvecs = block["q"].to_numpy(), np.stack(block["qvec"].to_numpy()).astype(float)
+                for q, there, row in scored(unit(qvecs), list(block["bs"]), units, cell):
+                    row = np.where(ids[there] != qs[q], row, -np.inf)
                     limit = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-                    top = np.flatnonzero((row >= limit - CLOSE) & (row > -np.inf))
-                    exact = cosine(qvec, vecs[top])
+                    top = there[(row >= limit - CLOSE) & (row > -np.inf)]
+                    exact = cosine(qvecs[q], vecs[top])
                     best = np.lexsort((ids[top], -exact))[:k]
-                    out += zip([q] * len(best), ids[top][best], exact[best])
+                    out += zip([qs[q]] * len(best), ids[top][best], exact[best])
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     key = ("dim", "a", "p", "c")

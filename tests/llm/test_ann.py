@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from lotmill.llm.ann import MultiIndex, op4_inverted_multi_index, search, walk
+from lotmill.llm.ann import MultiIndex, centroids_for, op4_inverted_multi_index, scored, search, unit, walk
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -86,3 +86,50 @@ def test_walk_is_by_summed_distance():
     sums = [a[i] + b[j] for i, j in pairs]
     assert len(set(pairs)) == 63 and sums == sorted(sums)
     assert len(walk(a, b, np.ones((7, 9), int), 10)) == 10
+
+
+def share_scored(vecs, recall, count):
+    """Of all entries, the share that queries probe and the share that they are multiplied with; and the recall."""
+    index = MultiIndex(vecs, count, recall=recall)
+    a, b = index.cells(vecs)
+    np.add.at(index.sizes, (a, b), 1)
+    order = np.lexsort((b, a))
+    vecs, a, b = unit(vecs[order]), a[order], b[order]
+    asked = np.arange(0, len(vecs), 50)
+    walks = list(index.probes(vecs[asked], 6))
+    probed = sum(int(index.sizes[p]) for w in walks for p in w)
+    multiplied, best = 0, {}
+    for first in range(len(index.first)):
+        at = np.flatnonzero(a == first)
+        for q, there, row in scored(vecs[asked], [[y for x, y in w if x == first] for w in walks], vecs[at], b[at]):
+            multiplied += len(row)
+            best.setdefault(q, []).extend(zip(row.tolist(), at[there].tolist()))
+    hits = 0
+    for q, me in enumerate(asked):
+        truth = vecs @ vecs[me]
+        truth[me] = -2
+        near = set(np.argsort(-truth)[:5].tolist())
+        hits += len(near & {i for _, i in sorted(x for x in best[q] if x[1] != me)[::-1][:5]})
+    n = len(asked) * len(vecs)
+    return probed / n, multiplied / n, hits / (5 * len(asked))
+
+
+def test_work_is_in_proportion_to_what_is_probed(spark):
+    rng = np.random.default_rng(8)
+    clustered = rng.normal(size=(400, 16))[np.arange(12_000) % 400] + 0.1 * rng.normal(size=(12_000, 16))
+    probed, multiplied, recall = share_scored(clustered, 0.9, 32)
+    assert multiplied <= 1.1 * probed and multiplied < 0.02 and recall >= 0.9
+    flat = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()], float)
+    probed, multiplied, recall = share_scored(flat, 0.97, centroids_for(len(flat)))
+    assert multiplied <= 1.1 * probed < 0.9 and recall >= 0.9
+    print(probed, multiplied, recall)
+
+
+def test_a_length_that_the_sample_would_miss(spark):
+    """A length with few of all vectors, but many of its own, has an index of its own."""
+    rng = np.random.default_rng(9)
+    rows = [(k, [float(x) for x in rng.normal(size=4)]) for k in range(3000)] + [(k, [float(x) for x in rng.normal(size=3)]) for k in range(5000, 5200)]
+    got = search(spark.createDataFrame(rows, SCHEMA), sample=400, recall=1.0).collect()
+    want = brute([r for r in rows if len(r[1]) == 4]) + brute([r for r in rows if len(r[1]) == 3])
+    assert len(got) == len(want) and len({x[:3:2] for x in want} & {(r.query_id, r.vec_id) for r in got}) >= 0.9 * len(want)
+    assert (centroids_for(10), centroids_for(51_282), centroids_for(10**6), centroids_for(10**10)) == (16, 28, 125, 256)
