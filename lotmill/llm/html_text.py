@@ -1,14 +1,14 @@
 """Main text of web pages by tag-path ratios.
 
 Every piece of text hangs at the end of a path of tags from the root.  For each path of a page the length of text and
-the number of punctuation marks are divided by the number of pieces and smoothed over neighbouring paths; both, taken by
-their logarithms, and the share of text outside links are fused into one score.  Tags, roles and the words of class names
+the number of punctuation marks are divided by the number of pieces and smoothed over neighbouring paths, mostly over those
+of the same parent; a heading is worth what follows it.  Both, taken by their logarithms, and the share of text outside links are fused into one score.  Tags, roles and the words of class names
 and ids weigh: a path through a menu, a form or a box named so has a small part of its score, one through an article
 several times as much.  Nothing of them decides by itself: a wrapper of the whole page weighs on all paths alike.
 
 The path of the greatest score by its text points to the content.  From its element the region grows to the one around as
-long as what that adds scores well enough beside what is there already, and within the region a threshold on the score
-chooses the paths.  Only what a browser does not show as text (scripts, styles, hidden elements) is left out at once.
+long as what that adds scores well enough beside what is there already (the less it adds, the more alike), and within the region a threshold on the score
+chooses the paths; lists of links and linked quotes stay where content stands on both sides of them.  Only what a browser does not show as text (scripts, styles, hidden elements) is left out at once.
 """
 
 from __future__ import annotations
@@ -65,8 +65,12 @@ SELDOM, MOSTLY, HEADING = 0.03, 4.0, 0.5
 PROSE = 6.0
 #: A path of links only keeps this much of its score.
 LINKS = 0.05
-#: The region grows to the element around it if what that adds scores this much of what is there (by text).
-GROW = 0.3
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a neighbouring path of another parent counts in smoothing, beside one of the same parent.
+APART = 0.1
+#: The region grows to the element around it if what that adds scores so much of what is there (by text): ``GROW`` where it
+#: adds ``LARGE`` of the text or more, and nearly alike where it adds little, as a sentence of an advert does.
+GROW, ALIKE, LARGE = 0.5, 0.95, 1.0
 #: Paths of the region that have this much of the best score are content.
 CONTENT = 0.08
 
@@ -210,23 +214,37 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, str, int]]]:
     return paths, out
 
 
+def unlinked(pieces: list[tuple[int, str, int]]) -> dict[int, float]:
+    """What links leave of each path's score: all without links, ``LINKS`` of a path of links only."""
+    sums: dict[int, list[int]] = {}
+    for path, text, linked in pieces:
+        s = sums.setdefault(path, [0, 0])
+        s[0] += len(text)
+        s[1] += min(linked, len(text))
+    return {p: (1 - LINKS) * (1 - x / n) + LINKS for p, (n, x) in sums.items()}
+
+
 def ratios(paths: Paths, pieces: list[tuple[int, str, int]], width: float = 1.0) -> dict[int, float]:
     """Score of each path: smoothed text and punctuation ratios, fused, with the path's links and its weight."""
     sums: dict[int, list[int]] = {}
-    for path, text, linked in pieces:
-        s = sums.setdefault(path, [0, 0, 0, 0])
+    for path, text, _ in pieces:
+        s = sums.setdefault(path, [0, 0, 0])
         s[0] += len(text)
         s[1] += len(_MARKS.findall(text))
         s[2] += 1
-        s[3] += min(linked, len(text))
     order = list(sums)
-    part = [(1 - LINKS) * (1 - s[3] / s[0]) + LINKS for s in sums.values()]  # what links and weights leave of a path
-    part = [x * paths.weight[p] for x, p in zip(part, order)]
+    part = [x * paths.weight[p] for p, x in unlinked(pieces).items()]  # what links and weights leave of a path
     raw = [(s[0] / s[2], s[1] / s[2]) for s in sums.values()]
+    for k in range(len(order) - 2, -1, -1):  # a heading is worth what follows it
+        if paths.label[order[k]] in HEADINGS and raw[k + 1] > raw[k]:
+            raw[k] = raw[k + 1]
     kernel = [math.exp(-(d * d) / (2 * width * width)) for d in range(3)]
     scores = {}
     for k, path in enumerate(order):
-        near = [(kernel[abs(j - k)] * min(1.0, part[j] / part[k]), raw[j]) for j in range(max(0, k - 2), min(len(order), k + 3))]
+        near = []
+        for j in range(max(0, k - 2), min(len(order), k + 3)):
+            along = 1.0 if paths.parent[order[j]] == paths.parent[path] else APART
+            near.append((kernel[abs(j - k)] * (along if j != k else 1.0) * min(1.0, part[j] / part[k]), raw[j]))
         total = sum(w for w, _ in near)
         length, marks = (sum(w * r[i] for w, r in near) / total for i in (0, 1))
         scores[path] = math.log1p(length) * (1 + math.log1p(marks)) * part[k]
@@ -257,21 +275,33 @@ def main_text(page: str) -> str:
     for p in range(1, len(mass)):
         weight.append(weight[paths.parent[p]] * (max(1.0, paths.own[p]) if p in chain else paths.own[p]))
     scores = {p: s * weight[p] / paths.weight[p] for p, s in scores.items()}
-    under, worth = list(map(float, mass)), [scores.get(p, 0.0) * n for p, n in enumerate(mass)]
+    limit = CONTENT * scores[best]
+    under = [float(n) if scores.get(p, 0.0) >= limit else 0.0 for p, n in enumerate(mass)]  # of what could be content
+    worth = [scores.get(p, 0.0) * n for p, n in enumerate(under)]
     for p in range(len(mass) - 1, 0, -1):  # a path's number is greater than its parent's
         under[paths.parent[p]] += under[p]
         worth[paths.parent[p]] += worth[p]
     region = max(0, paths.parent[best])
     while (around := paths.parent[region]) >= 0:
         more, adds = under[around] - under[region], worth[around] - worth[region]
-        if more > 0 and adds / more < GROW * worth[region] / under[region]:
+        need = GROW + (ALIKE - GROW) * max(0.0, 1 - more / (LARGE * under[region]))
+        if more > 0 and adds / more < need * worth[region] / under[region]:
             break
         region = around
     inside = [False] * len(mass)
     for p in range(len(mass)):
         inside[p] = p == region or p > 0 and inside[paths.parent[p]]
-    limit = CONTENT * scores[best]
-    return "\n".join(text for path, text, _ in pieces if inside[path] and scores[path] >= limit)
+    kept = [inside[path] and scores[path] >= limit for path, _, _ in pieces]
+    linked = {p: scores[p] / x if weight[p] >= 1 else 0.0 for p, x in unlinked(pieces).items()}
+    k = 0
+    while k < len(pieces):  # lists of links and linked quotes between two pieces of content belong to it
+        end = k
+        while end < len(pieces) and not kept[end] and inside[pieces[end][0]] and linked[pieces[end][0]] >= limit:
+            end += 1
+        if end > k and k and end < len(pieces) and kept[k - 1] and kept[end]:
+            kept[k:end] = [True] * (end - k)
+        k = max(end, k + 1)
+    return "\n".join(text for (_, text, _), keep in zip(pieces, kept) if keep)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:

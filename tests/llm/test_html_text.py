@@ -1,4 +1,5 @@
 import html
+import math
 import re
 import time
 
@@ -111,3 +112,58 @@ def test_edges(spark):
     assert found[:5] == ["", "", "no markup at all, just text.", "x é z.", ""]
     assert found[5].count("\n") == 49_999 and found[6:8] == ["", ""] and found[8] == "deep, text."
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("part, shown", [
+    ('<ul><li><a href=/1>One boat</a><li><a href=/2>Two oars, and a sail</a></ul>', "One boat\nTwo oars, and a sail"), ("<blockquote><a href=/q>As somebody said: it was late.</a></blockquote>", "As somebody said: it was late."),
+])
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_links_in_the_middle_of_an_article_stay(part, shown, holder):
+    page = f"<body><nav>{MENU}</nav><{holder}>{BODY}{part}{BODY}</{holder}><div>{LINKS}</div></body>"
+    assert main_text(page) == f"{TEXT}\n{shown}\n{TEXT}"
+    assert main_text(page.replace("<ul>", '<ul class="related">').replace("<blockquote>", '<blockquote hidden>')) == f"{TEXT}\n{TEXT}"
+
+
+def given():
+    import duckdb
+
+    want = {}
+    for page_id, page in duckdb.execute("SELECT page_id, html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall():
+        article = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        want[page] = "\n".join(p for p in parts if p)
+    return want
+
+
+def test_ratios_find_the_given_articles_without_names(monkeypatch):
+    """No word list and no element that holds articles: text and punctuation by path tell articles from adverts."""
+    monkeypatch.setattr(html_text, "NEVER_NAMES", frozenset())
+    monkeypatch.setattr(html_text, "HOLDERS", frozenset())
+    pages = given()
+    assert sum(main_text(page) == want for page, want in pages.items()) >= 0.95 * len(pages)
+    monkeypatch.setattr(html_text, "ratios", lambda paths, pieces, width=1.0: {p: paths.weight[p] for p, _, _ in pieces})
+    assert sum(main_text(page) == want for page, want in pages.items()) <= 0.05 * len(pages)
+
+
+def test_ratios_equal_brute_force():
+    """Each path's sums, smoothed over its neighbours in page order, row by row."""
+    for page in [PAGE, *[p for p, _ in UNNAMED], *list(given())[:40]]:
+        paths, pieces = blocks(page)
+        order = list(dict.fromkeys(p for p, _, _ in pieces))
+        mine = {p: [x for x in pieces if x[0] == p] for p in order}
+        part = {p: paths.weight[p] * (0.95 * (1 - sum(min(n, len(t)) for _, t, n in mine[p]) / sum(len(t) for _, t, _ in mine[p])) + 0.05) for p in order}
+        mean = lambda p, f: sum(f(t) for _, t, _ in mine[p]) / len(mine[p])
+        marks = lambda t: sum(c in ".,;:!?…。，、！？；：¿¡" for c in t)
+
+
+        def raw(p):  # a heading is worth what follows it, where that is more
+            own, after = (mean(p, len), mean(p, marks)), order[order.index(p) + 1 :]
+            return max(own, raw(after[0])) if paths.label[p] in html_text.HEADINGS and after else own
+
+        want = {}
+        for k, p in enumerate(order):
+            near = [(math.exp(-((j - k) ** 2) / 2) * min(1, part[q] / part[p]) * (1 if paths.parent[q] == paths.parent[p] else 0.1), q) for j, q in enumerate(order) if abs(j - k) <= 2]
+            smooth = lambda i: sum(w * raw(q)[i] for w, q in near) / sum(w for w, _ in near)
+            want[p] = math.log(1 + smooth(0)) * (1 + math.log(1 + smooth(1))) * part[p]
+        got = ratios(paths, pieces)
+        assert got.keys() == want.keys() and all(math.isclose(got[p], want[p], rel_tol=1e-9) for p in got)
