@@ -210,11 +210,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape(word: str) -> str:
-    """Digits to 9 (with their number up to four), letters to a and A, runs squeezed, at most 24 signs."""
-    word = word[:64]
+    """The whole word: digits to 9 (with their number up to four), letters to a and A, runs squeezed."""
     word = _LETTER.sub("a", _UPPER.sub("A", word))
     word = _DIGITS.sub(lambda m: "9" * min(4, len(m[0])), word)
-    return re.sub(r"([^9])\1+", r"\1", word)[:24]
+    return re.sub(r"([^9])\1+", r"\1", word)
 
 
 def features(words: list[str]) -> list[list[int]]:
@@ -222,8 +221,8 @@ def features(words: list[str]) -> list[list[int]]:
     shapes, plain, sizes, mixed, cues = [], [], [], [], []
     for w in words:
         shapes.append(shape(w))
-        plain.append(w.strip(".,;:!?()[]\"'").lower()[:16])
-        n = sum(map(len, _DIGITS.findall(w[:256])))
+        plain.append(w.strip(".,;:!?()[]\"'").lower())
+        n = sum(map(len, _DIGITS.findall(w)))
         sizes.append(next(k for k, most in enumerate((0, 1, 2, 3, 4, 5, 6, 8, 10, 11, 15, 19, 1 << 30)) if n <= most))
         letters = bool(n) and bool(_HAS_LETTER.search(w))
         mixed.append(f"{letters}{next(k for k, most in enumerate((7, 15, 31, 1 << 30)) if len(w) <= most)}" if letters else "")
@@ -457,7 +456,7 @@ def op10_crf_personal_data(spark, sf_dir):
     return found.select(
         "doc_id",
         *[F.size(F.filter(base, _of(kind))).cast("long").alias(f"n_{kind}") for kind in PERSONAL],
-        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.filter("pii", lambda s: s["kind"] != "secret")).alias("spans"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"),
         F.size(secrets).cast("long").alias("n_secret"), listed(secrets).alias("secrets"), F.size("pii").cast("long").alias("n_all"),
     )
 
