@@ -94,7 +94,7 @@ def shapes(text: str) -> tuple[np.ndarray, np.ndarray]:
     seen[b" again"] = sum(map(eq, words, words[1:]))
     held: dict[int, int] = {}
     for shape, n in seen.items():
-        bucket = zlib.crc32(shape[:32]) % FEATURES
+        bucket = zlib.crc32(shape) % FEATURES
         held[bucket] = held.get(bucket, 0) + n
     n = len(words)
     values = np.sqrt(np.array(list(held.values())) / n) * min(1.0, n / SURE_WORDS)
