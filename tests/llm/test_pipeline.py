@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 def test_registered():
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mixing", "packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
 
 
 def test_stages_against_brute_force(spark, sf_dir):
