@@ -157,3 +157,36 @@ def test_lookup_cuts_the_registry_down_first(spark):
     assert got.first().company_name == "c"
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("LeftSemi")
+
+
+def test_long_pages_leave_in_small_batches(spark):
+    head = "<table><tr><th>Reserve Price</th><th>Corporate Debtor</th></tr>"
+    html = head + "".join(f'<tr><td>{k}</td><td><a href="/{k}">D &amp; {k}</a></td></tr>' for k in range(2500)) + "</table>"
+    batches = list(pages.row_batches(7, pages.listing_table(html, ["reserve price"])))
+    assert [b.num_rows for b in batches] == [1000, 1000, 501] and batches[2].column("row_idx")[-1].as_py() == 2500
+    df = spark.createDataFrame([(7, html), (8, ""), (9, None), (10, html)], "page int, html string").coalesce(1)
+    got = pages.extract_rows(df).orderBy("page", "row_idx").collect()
+    assert [(r.page, r.row_idx) for r in got] == [(p, k) for p in (7, 10) for k in range(2501)]
+    assert got[0].is_header and not got[1].is_header and got[2500].headers == ["Reserve Price", "Corporate Debtor"]
+    assert got[2500].cells[1].asDict(True) == {"text": "D & 2499", "href": "/2499", "pieces": ["D & 2499"]}
+
+
+def test_plain_markup_is_read_as_the_parser_reads_it():
+    import random
+
+    def parsed(html):
+        parser = pages._Tables()
+        parser.feed(html)
+        parser.close()
+        return parser.tables
+
+    bits = [
+        "<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<TH class=\"x\">", "</th>", '<a href="/x">', '<A title="t" HREF="y" href="z">', '<a href="?a=1&amp;copy=2">', "<a>", "</a>",
+        "<b>", "</b>", "<br/>", "<td/>", "text", " ", "a &lt; b", "&amp", "&#65;", "a < b", "<!-- <td> -->", "<script>", "</script>", "<td x='>'>", "<", "&", " ", "\x1c", "<p x=\"1\">",
+    ]
+    dice, plain = random.Random(1), 0
+    for n in range(20000):
+        html = "".join(dice.choices(bits[:20] if n % 2 else bits, k=dice.randint(1, 14)))
+        plain += pages._plain_tables(html) is not None
+        assert pages.tables_of(html) == parsed(html), html
+    assert plain > 2000
