@@ -63,3 +63,38 @@ def test_a_batch_costs_its_own_keys(spark, tmp_path):
         updated.append(sum(s["numRowsUpdated"] for p in query.recentProgress for s in p["stateOperators"]))
     assert updated == [3000, 7]
     assert spark.read.parquet(str(tmp_path / "out")).where("status = 'unchanged'").count() == 7
+
+
+def test_one_call_serves_many_keys():
+    """Rows of many keys, mixed and in several frames; a state row is read and written once a key; prices stay whole numbers."""
+    import pandas as pd
+
+    from lotmill.streaming.snapshots import ListingState
+
+    held, calls = {}, {"get": 0, "put": 0}
+
+    class Map:
+        def getValue(self, key):
+            calls["get"] += 1
+            return held.get(key)
+
+        def updateValue(self, key, value):
+            calls["put"] += 1
+            held[key] = value
+
+    class Handle:
+        def getMapState(self, *_):
+            return Map()
+
+    state = ListingState()
+    state.init(Handle())
+    tracked = [json.dumps(["t", "land", str(p), "d"]) for p in range(3)]
+    price = [str(2**53 + 2 - k) for k in range(2)] + [None]
+    rows = [(f"k{key}", "me" if key != 5 or n < 2 else "other", tracked[n], price[n], f"{n}", f"2024-01-0{n + 1}", "{}") for n in (1, 0, 2) for key in range(9)]
+    frame = pd.DataFrame(rows, columns=["listing_key", "identity", "tracked", "price", "nth", "at", "row_json"])
+    got = pd.concat(state.handleInputRows((0,), iter([frame[:11], frame[11:]]), None))
+    assert got["listing_key"].tolist() == [f"k{key}" for key in range(9) for _ in range(3)]
+    for key, part in got.groupby("listing_key"):
+        assert part["status"].tolist() == ["new", "changed", "collision" if key == "k5" else "changed"]
+        assert part["price_drop"].tolist() == [False, True, False]
+    assert calls == {"get": 9, "put": 9} and held[("k0",)][6] == 3 and held[("k5",)][6] == 2
