@@ -26,12 +26,15 @@ def keyed(rows: DataFrame) -> DataFrame:
 
 
 def held(state: DataFrame) -> DataFrame:
-    """What change detection needs of stored state, by the key as it is stored."""
+    """What change detection needs of stored state, by the key as it is stored.
+
+    State grows with the listings, so it is merged and not sent to the driver; rows are sorted by the key in any case.
+    """
     key = F.col("listing_key") if "listing_key" in state.columns else listing_key([F.col(c) for c in IDENTITY])
     return state.select(
         key.alias("listing_key"), F.array(*[norm(F.col(c)) for c in IDENTITY]).alias("__owner"), F.array(*[norm(F.col(c)) for c in TRACKED]).alias("__last"),
         F.col("reserve_price").cast("long").alias("__paid"),
-    )
+    ).hint("merge")
 
 
 def price_drop(old: Column, new: Column, zero_is_unknown: bool = False) -> Column:

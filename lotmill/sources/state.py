@@ -53,7 +53,7 @@ def collisions(changed: DataFrame, state: DataFrame, at: str) -> DataFrame:
     """Colliding observations beside the listing that owns their key, both as JSON, unresolved."""
     hits = changed.where("status = 'collision'")
     incoming = hits.select("listing_key", F.col(at).alias("detected_at"), as_json(hits.drop("changes")).alias("incoming_json"))
-    existing = state.select("listing_key", as_json(state).alias("existing_json"))
+    existing = state.select("listing_key", as_json(state).alias("existing_json")).hint("merge")  # it grows with the listings
     return incoming.join(existing, "listing_key", "left").select(
         "listing_key", "detected_at", "existing_json", "incoming_json", F.lit(False).alias("resolved"), F.lit(None).cast("string").alias("resolution_note")
     )

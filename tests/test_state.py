@@ -122,3 +122,14 @@ def test_report_replaces_its_date_only(spark, tmp_path):
         state.write_report(spark.range(n).toDF("nth"), F.lit(day).cast("date"), path)
     got = {r.report_date: r["count"] for r in spark.read.parquet(path).groupBy("report_date").count().collect()}
     assert got == {datetime.date(2024, 1, 1): 1, datetime.date(2024, 1, 2): 2}
+
+
+def test_stored_state_is_not_sent_to_the_driver(spark):
+    """However small: state grows with the listings, and a broadcast of it goes through the driver."""
+    df = spark.createDataFrame(observations(30, 3), SCHEMA)
+    order = ["run_date", "input_seq"]
+    stored = changes.final_state(changes.change_status(df, order), order, "run_date")
+    changed = changes.change_status(df, order, stored)
+    for rows in (changed, changes.preview(df, stored), state.collisions(changed, stored, "run_date")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
