@@ -228,3 +228,15 @@ def test_unknown_flags_enrich_again(spark):
     stored = spark.createDataFrame([(k, None, None) for k in "abc"], "listing_key string, details_at_enrich boolean, notice_at_enrich boolean")
     got = enrich.enrichment_route(rows, stored).orderBy("listing_key").collect()
     assert [(r.route, r.reason) for r in got] == [("reenrich", "details_parsed"), ("reenrich", "notice_parsed"), ("reuse", None)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_patterns_are_tried_once_a_row(spark):
+    """What several scores and flags are made of is worked out once: each pattern stands in the plan once."""
+    rows = spark.createDataFrame([(1, "physical possession", "land of 2 acres", "x")], "input_seq long, notice_text string, nature_of_assets string, location string").repartition(1)
+    plan = _plan(scoring.plot_score(scoring.possession_score(rows)))
+    assert plan.count("physical possession") == plan.count("symbolic possession") == plan.count(r"\bindustrial\b") == 1
+    assert plan.count("regexp_extract(") == 2
