@@ -59,12 +59,12 @@ def change_status(
         now = now.join(held(state), "listing_key", "left")
     by_key = Window.partitionBy("listing_key").orderBy(*order)
     now = now.withColumn("__collides", F.col("__identity") != F.coalesce("__owner", F.first("__identity").over(by_key)))
-    chain = Window.partitionBy("listing_key", "__collides").orderBy(*order)
-    inside, own = F.lag(F.lit(True)).over(chain).isNotNull(), ~F.col("__collides")
-    now = now.withColumns({
-        "__before": F.when(inside, F.lag("__tracked").over(chain)).when(own, F.col("__last")),
-        "__old_price": F.when(inside, F.lag("reserve_price").over(chain)).when(own, F.col("__paid")),
-    })
+    # the owner's observation before, in the same order as above: rows are sorted once
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(~F.col("__collides"), F.struct(F.col("__tracked").alias("tracked"), F.col("reserve_price").cast("long").alias("price"))), ignorenulls=True)
+    stored = F.struct(F.col("__last").alias("tracked"), F.col("__paid").alias("price"))
+    now = now.withColumn("__prior", last.over(earlier)).withColumn("__prior", F.when(~F.col("__collides"), F.coalesce("__prior", stored)))
+    now = now.withColumns({"__before": F.col("__prior.tracked"), "__old_price": F.col("__prior.price")})
     status = (
         F.when(F.col("__collides"), "collision").when(F.col("__before").isNull(), "new")
         .when(F.col("__before") == F.col("__tracked"), "unchanged").otherwise("changed")
@@ -81,7 +81,7 @@ def change_status(
         now.withColumn("status", status)
         .withColumn("changes", F.when(changed, F.array_compact(fields)).otherwise(F.array().cast(fields_type())))
         .withColumn("price_drop", changed & price_drop(F.col("__old_price"), F.col("reserve_price"), zero_is_unknown))
-        .drop("__identity", "__tracked", "__owner", "__last", "__paid", "__collides", "__before", "__old_price")
+        .drop("__identity", "__tracked", "__owner", "__last", "__paid", "__collides", "__prior", "__before", "__old_price")
     )
 
 
@@ -114,13 +114,15 @@ def final_state(changed: DataFrame, order: Sequence[str], at: str, carried: Sequ
     own = changed.where("status <> 'collision'")
     rank = F.struct(*order)
     moved = F.col("status").isin("new", "changed")
-    shown = F.to_json(F.struct(*[F.col(c) for c in raw]), {"ignoreNullFields": "false"})
-    return own.groupBy("listing_key").agg(
-        *[F.min_by(c, rank).alias(c) for c in IDENTITY],
-        *[F.max_by(c, rank).alias(c) for c in (*TRACKED, *carried)],
-        F.min(at).alias("first_seen"), F.max(at).alias("last_seen"),
-        F.max(F.when(F.col("status").isin("new", "changed"), F.col(at))).alias("last_changed"),
-        F.count("*").alias("observations"), F.max_by(F.when(moved, shown), F.when(moved, rank)).alias("raw_json"),
+    together = lambda columns: F.struct(*[F.col(c) for c in columns])
+    found = own.groupBy("listing_key").agg(
+        F.min_by(together(IDENTITY), rank).alias("__first"), F.max_by(together((*TRACKED, *carried)), rank).alias("__last"),
+        F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.max(F.when(moved, F.col(at))).alias("last_changed"),
+        F.count("*").alias("observations"), F.max_by(F.when(moved, together(raw)), F.when(moved, rank)).alias("__raw"),
+    )
+    return found.select(
+        "listing_key", *[F.col("__first")[c].alias(c) for c in IDENTITY], *[F.col("__last")[c].alias(c) for c in (*TRACKED, *carried)],
+        "first_seen", "last_seen", "last_changed", "observations", F.to_json("__raw", {"ignoreNullFields": "false"}).alias("raw_json"),
     )
 
 

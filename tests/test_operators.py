@@ -240,3 +240,9 @@ def test_patterns_are_tried_once_a_row(spark):
     plan = _plan(scoring.plot_score(scoring.possession_score(rows)))
     assert plan.count("physical possession") == plan.count("symbolic possession") == plan.count(r"\bindustrial\b") == 1
     assert plan.count("regexp_extract(") == 2
+
+
+def test_observations_are_sorted_once(spark):
+    """Both what owns a key and what came before are told in one order of the observations."""
+    plan = _plan(changes.change_status(spark.createDataFrame(observations(30, 3), SCHEMA), ["run_date", "input_seq"]))
+    assert plan.count("Sort [") == 1
