@@ -1,11 +1,13 @@
 """Near-duplicates by SimHash at a stated similarity of word shingles, every link confirmed exactly.
 
 Two texts with 0.8 of their shingles in common have SimHashes of 64 bits that differ in some ten bits, up to twenty.  A
-radius that wide has no selective run of equal segments, so fingerprints alone cannot bring such texts together on a
-large corpus.  Here the runs of equal segments are replaced by MinHash keys: a text has ``BANDS`` keys of ``ROWS`` values
-each, and two texts of similarity s share a key with probability 1 - (1 - s^ROWS)^BANDS, which is 0.99997 at 0.8.  What
-a key brings together is then pruned as in the SimHash operator, by chains of segments on the ring whose differences keep
-within the budgets of ``RADIUS`` bits, and what is left is settled by comparing the sets of shingles themselves.
+radius that wide has no selective run of equal segments, so fingerprints alone cannot bring all such texts together on a
+large corpus.  Runs of equal segments, chains and Hamming distances are taken as in the SimHash operator, with its radius,
+and the fingerprints that they link are one key of their texts.  Beside it stand MinHash keys, for texts that no run
+reaches: a text has ``BANDS`` of ``ROWS`` values each, and two texts of similarity s share one with probability
+1 - (1 - s^ROWS)^BANDS, which is 0.99997 at 0.8.  What a key brings together is then pruned by chains of segments on the
+ring whose differences keep within the budgets of ``RADIUS`` bits, and what is left is settled by comparing the sets of
+shingles themselves.
 
 Texts that keys bring together, at one or more removes, are a cluster.  A small cluster is compared whole in one task.  A
 large one is dealt into blocks at random, ``DEALS`` times over, and each block compared; in a group of copies that joins
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import A_TO_Z, release_memory, stage_table, text_or_empty
 from .simhash import MAX_BROADCAST_ROWS, components, ring_near
+from .simhash import links as fingerprint_links
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -80,23 +83,24 @@ def simhash(hashes: np.ndarray) -> np.uint64:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Id, ``node`` (hash of the text), ``size`` (distinct shingles) and ``keys`` of every row."""
+    """Id, ``node`` (hash of the text), ``size`` (distinct shingles), ``fp`` (SimHash, a signed long) and ``keys`` of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, found = [], []
+            sizes, prints, found = [], [], []
             for text in batch.column("__text"):
                 hashes = shingles(text.as_py(), words)
                 sizes.append(len(hashes))
+                prints.append(simhash(hashes))
                 found.append(keys(hashes))
-            columns = {"__id": batch.column("__id"), "node": batch.column("node"), "size": pa.array(sizes, pa.int64())}
+            columns = {"__id": batch.column("__id"), "node": batch.column("node"), "size": pa.array(sizes, pa.int64()), "fp": np.array(prints, np.uint64).view(np.int64)}
             yield pa.RecordBatch.from_pydict({**columns, "keys": pa.array(found, pa.list_(pa.int64()))})
         release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("node"))
-    return rows.mapInArrow(work, f"__id {kind}, node long, size long, keys array<long>")
+    return rows.mapInArrow(work, f"__id {kind}, node long, size long, fp long, keys array<long>")
 
 
 def similar(
@@ -172,9 +176,16 @@ def _unsettled(keyed: DataFrame, large: DataFrame, block: int) -> DataFrame:
     return rows.join(ends, [*key, "at"]).groupBy("node", "part").agg(F.collect_list("cell").alias("cells"))
 
 
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """Node, size, ``band`` and ``key``: what runs of equal segments link is the key of the last band, those before are MinHash keys."""
+    near = components(fingerprint_links(nodes.select("fp").distinct())).select(F.col("node").alias("__fp"), F.col("least").alias("__least"))
+    rings = nodes.join(near, F.col("fp") == F.col("__fp"), "left").select("node", "size", F.lit(BANDS).alias("band"), F.coalesce("__least", "fp").alias("key"))
+    return nodes.select("node", "size", F.posexplode("keys").alias("band", "key")).unionByName(rings)
+
+
 def links(docs: DataFrame, nodes: DataFrame, text_col: str, words: int, similarity: float, block: int) -> DataFrame:
     """Edges (a, b) between the ``nodes`` whose texts are similar enough."""
-    keyed = nodes.select("node", "size", F.posexplode("keys").alias("band", "key"))
+    keyed = _keyed(nodes)
     least = keyed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "key", "least")
     keyed = stage_table(keyed.join(least, ["band", "key"]), "keys")
     joined = components(keyed.select(F.col("node").alias("a"), F.col("least").alias("b")).where("a <> b").distinct())
@@ -204,7 +215,7 @@ def drop_similar(
     """
     rows = stage_table(signatures(docs, id_col, text_col, words), "signatures")
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("node").alias("text_hash")))
-    nodes = stage_table(rows.groupBy("node").agg(first.alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
+    nodes = stage_table(rows.groupBy("node").agg(first.alias("first"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
     joined = components(links(docs, nodes, text_col, words, similarity, block)).withColumnRenamed("node", "__node")
     nodes = nodes.select("node", "first").join(joined, F.col("node") == F.col("__node"), "left").withColumn("least", F.coalesce("least", "node"))
     keepers = nodes.groupBy("least").agg(F.min("first").alias("keeper"))

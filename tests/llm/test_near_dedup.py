@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 from lotmill.llm import near_dedup
 from lotmill.llm.near_dedup import drop_similar
@@ -82,6 +83,24 @@ def test_group_of_copies_is_settled_by_dealing(spark, monkeypatch):
     assert seen[0].count() == 400 and seen[0].select("part").distinct().count() == 1
 
 
+def test_runs_of_equal_segments_bring_texts_together(spark):
+    """Where no MinHash key is shared, fingerprints within the radius of the SimHash operator are candidates all the same."""
+    rng = random.Random(11)
+    texts = []
+    while len(texts) < 6:
+        base = [f"w{rng.randrange(9000)}" for _ in range(3000)]
+        copy = [*base[:-1], "end"]
+        a, b = (near_dedup.simhash(near_dedup.shingles(" ".join(t))) for t in (base, copy))
+        if 0 < int(a ^ b).bit_count() <= 2:
+            texts += [" ".join(base), " ".join(copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_dedup.signatures(df, "doc_id", "text", 5)
+    alone = rows.withColumn("keys", F.transform(F.sequence(F.lit(1), F.lit(near_dedup.BANDS)), lambda k: F.xxhash64("node", k)))
+    nodes = {r.node: r.__getitem__("__id") for r in rows.collect()}
+    found = near_dedup.links(df, alone, "text", 5, 0.8, 512).collect()
+    assert sorted(sorted((nodes[e.a], nodes[e.b])) for e in found) == [[0, 1], [2, 3], [4, 5]]
+
+
 def test_repeats_and_null_ids(spark):
     long = " ".join(f"w{k}" for k in range(100))
     near = long.replace("w50", "other")
