@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def pack_documents(
     largest, least = min(LARGEST_PIECE, window), min(BUNDLE, window // 4)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, max_words).encode
+        words = encoder(tokenizer_path, max_words)
         context = TaskContext.get()
         following = (context.partitionId() if context else 0) << 36
         waiting: list[list[tuple]] = []  # bundles of pieces of left-overs: id, start, doc_tokens, ids
@@ -139,11 +140,11 @@ def pack_documents(
 
         kind = None
         for batch in batches:
-            docs_in, texts = batch.column(0), batch.column(1).to_pylist()
+            docs_in, texts = batch.column(0), batch.column(1)
             kind, keys = docs_in.type, docs_in.to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(pc.utf8_length(texts).to_pylist()):
                 rows = []
-                for doc, ids in zip(keys[a:b], encode(texts[a:b])):
+                for doc, ids in zip(keys[a:b], words.encode(texts[a:b].to_pylist())):
                     ids = np.concatenate([ids, end])
                     total = len(ids)
                     whole = total // window * window
@@ -163,6 +164,7 @@ def pack_documents(
                     yield made(rows, kind)
         if waiting:
             yield made(settle(), kind)
+        words.forget()  # idle workers stand beside those of whatever comes next
         release_memory()
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("__text")).mapInArrow(work, schema)

@@ -18,10 +18,11 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table, text_or_empty, without, word_count
+from .common import release_memory, stage_table, text_or_empty, without, word_count
 
 OUT = ("quality_score", "keep")
 FEATURES = 1 << 12
@@ -135,12 +136,14 @@ class QualityModel:
         weights, bias = self.weights, self.bias
 
         @F.pandas_udf("double")
-        def scorer(texts: pd.Series) -> pd.Series:
-            out = np.empty(len(texts))
-            for k, text in enumerate(texts):
-                buckets, values = shapes(text)
-                out[k] = bias + values @ weights[buckets]
-            return pd.Series(1 / (1 + np.exp(-np.clip(out, -40, 40))))
+        def scorer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                out = np.empty(len(texts))
+                for k, text in enumerate(texts):
+                    buckets, values = shapes(text)
+                    out[k] = bias + values @ weights[buckets]
+                yield pd.Series(1 / (1 + np.exp(-np.clip(out, -40, 40))))
+            release_memory()
 
         scored = without(docs, OUT).withColumn("quality_score", scorer(text_or_empty(text_col)))
         return scored.withColumn("keep", F.col("quality_score") >= threshold)
@@ -160,9 +163,9 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = np.array([r["count"] for r in found], float)
     posterior, tables, share = estimate(table, counts)
 
-    beliefs = spark.createDataFrame(
-        [(r["votes"], float(p)) for r, p in zip(found, posterior)] or [("", 0.5)], "votes string, belief double"
-    )
+    # of an Arrow table, as rows of a list start Python workers of another kind, which stay beside those that score
+    known = pa.table({"votes": pa.array([r["votes"] for r in found], pa.string()), "belief": pa.array(posterior, pa.float64())})
+    beliefs = spark.createDataFrame(known)
     marked = cast.join(F.broadcast(beliefs), "votes")
     sides, chosen = {True: 0.0, False: 0.0}, None
     for p, n in zip(posterior, counts):
@@ -176,6 +179,7 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             found = [shapes(t) for t in batch["text"]]
             yield pd.DataFrame({"order": batch["order"], "belief": batch["belief"], "k": [f[0] for f in found], "v": [f[1] for f in found]})
+        release_memory()
 
     drawn = docs.select(order.alias("order"), text.alias("text")).join(chosen, "order")
     rows = drawn.mapInPandas(featurise, "order long, belief double, k array<long>, v array<double>").dropDuplicates(["order"]).orderBy("order").collect()

@@ -95,6 +95,10 @@ class CachedEncoder:
             self.young, self.old = dict(self.pinned), self.young
         return out
 
+    def forget(self) -> None:
+        """Let go of all words; vocabulary and tokenizer stay."""
+        self.young, self.old = dict(self.pinned), {}
+
     def _cut(self, text: str) -> tuple[list[str], int]:
         """Words of a text, and how many ids of the first one are cut off again."""
         cut = self._cut_byte if self.kind == "byte" else self._cut_word
@@ -207,20 +211,20 @@ _encoders: dict[str, CachedEncoder] = {}
 
 
 def encoder(path: str, max_words: int = MAX_WORDS) -> CachedEncoder:
-    """One for each Python worker, kept over tasks."""
+    """One for each Python worker, kept over tasks; so are its words, unless a task lets go of them."""
     if path not in _encoders:
         _encoders[path] = CachedEncoder(path)
     _encoders[path].max_words = max_words
     return _encoders[path]
 
 
-def slices(texts: list[str], most: int = 2_000_000):
-    """Ranges of a batch of about ``most`` characters each."""
+def slices(sizes: list[int], most: int = 2_000_000):
+    """Ranges of a batch of about ``most`` characters each; ``sizes``: characters of each text."""
     start = total = 0
-    for k, text in enumerate(texts):
-        total += len(text)
+    for k, size in enumerate(sizes):
+        total += size
         if total >= most:
             yield start, k + 1
             start, total = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)

@@ -185,7 +185,7 @@ def write_token_files(
         writer = out = None
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices([len(t) for t in texts]):
                 if writer is None:
                     files.create_dir(folder, recursive=True)
                     out = files.open_output_stream(path)

@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from lotmill.llm.packing import karmarkar_karp, op3_karmarkar_karp_packing, pack_block, pack_documents
-from lotmill.llm.token_cache import CachedEncoder
+from lotmill.llm.token_cache import CachedEncoder, encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -111,3 +112,18 @@ def test_large_ids_beside_null(spark):
     assert {r.doc_id for r in pack_documents(df, PATH).collect()} == set(ids)
     names = spark.createDataFrame([("x", "a"), (None, "b")], "doc_id string, text string")
     assert {r.doc_id for r in pack_documents(names, PATH).collect()} == {"x", None}
+
+
+def test_a_task_lets_go_of_its_words(spark, monkeypatch, tokenizer):
+    works = []
+    df = spark.range(1).selectExpr("id AS doc_id", "'' AS text")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, work, schema: works.append(work) or self)
+    pack_documents(df, PATH)
+    texts = {k: f"word{k} and others" for k in range(500)}
+    for _ in range(2):  # the second task meets all words anew
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(texts), "__text": list(texts.values())})
+        rows = [(r["doc_id"], r["ids_crc32"]) for out in works[0](iter([batch])) for r in out.to_pylist()]
+        wanted = [np.array(e.ids + [2], "<u4") for e in tokenizer.encode_batch(list(texts.values()), add_special_tokens=False)]
+        assert sorted(rows) == [(k, zlib.crc32(ids.tobytes())) for k, ids in enumerate(wanted)]
+        held = encoder(PATH)
+        assert held.young == held.pinned and not held.old

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import regex
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from lotmill.llm import quality
@@ -122,3 +123,14 @@ def test_whole_text_counts():
 def test_model_tells_about_labellers(spark, sf_dir):
     model = fit_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     assert set(model.accuracy) == {"signs", "shouts", "exclaims", "cells", "repeats", "plain", "sentences", "variety"} and 0.5 < model.share < 1
+
+
+def test_beliefs_need_no_workers_of_their_own(spark, monkeypatch):
+    prose = "It was a mild day, and the people of the town went out. They came back at night, tired and glad."
+    df = spark.createDataFrame([(k, f"{prose} Then number {k} spoke." if k % 4 else "### | | !!! " * k) for k in range(80)], "doc_id long, text string")
+
+    def refused(*args, **named):
+        raise AssertionError("rows of a list go through Python workers")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    assert classify_quality(df).count() == 80 and classify_quality(df.where("false")).count() == 0
